@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import quality
+from quern.llm import quality, toxicity
 from quern.llm.common import table
 
-SPACE = r"[\x20\x09-\x0D]+"
+
+def held_out() -> Column:
+    """Rows of the third that no label is learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.Model:
+    """A model of the rows of docs and labels that are not held out."""
+    return toxicity.train(docs.select("doc_id", "text").where(~held_out()), table(spark, sf_dir, "labels").where(~held_out()))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +53,7 @@ SELECT *, failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept FROM f
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op10_quality_ledger": op10_quality_ledger,
     }
 
