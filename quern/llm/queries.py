@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import quality, toxicity
+from quern.llm import quality, sentencepiece_bpe, toxicity
 from quern.llm.common import table
 
 
@@ -27,6 +28,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return entries.withColumn("base_failed", entries.failures.bitwiseAND(quality.mask(quality.POLICIES[1])) != 0)
@@ -54,6 +59,7 @@ SELECT *, failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept FROM f
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_sentencepiece": op2_sentencepiece,
         "op10_quality_ledger": op10_quality_ledger,
     }
 
