@@ -82,8 +82,18 @@ class Memo(dict):
         found = self._old.get(key)
         if found is None:
             found = self._f(key)
+        self.put(key, found)
+        return found
+
+    def find(self, key):
+        """What is kept for a key, or None."""
+        found = self.get(key)
+        if found is None and (found := self._old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
         if len(self) >= self._most:
             self._old = dict(self)
             self.clear()
-        self[key] = found
-        return found
+        self[key] = value

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import quality, sentencepiece_bpe, toxicity
+from quern.llm import packing, quality, sentencepiece_bpe, toxicity
 from quern.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return entries.withColumn("base_failed", entries.failures.bitwiseAND(quality.mask(quality.POLICIES[1])) != 0)
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_sentencepiece": op2_sentencepiece,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op10_quality_ledger": op10_quality_ledger,
     }
 

@@ -34,6 +34,8 @@ from quern.llm.common import Memo, map_slices
 
 BLANK = "▁"
 MEMO_CHUNKS, MEMO_PAIRS = 300_000, 400_000
+#: Longer chunks hardly repeat and are not kept.
+MEMO_CHARS = 64
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 #: Models by digest, so that a worker process reads each once.
@@ -130,18 +132,18 @@ class Model:
         if BLANK * 2 in text:
             return self.merge(text)
         longest, end = self._longest(text), len(text)
-        failed, taken, at = 0, [], 0
+        failed, taken, at = bytearray(end // 8 + 1), [], 0
         piece = longest[0]
         while at < end:
             before = taken[-1] if taken else None
-            while piece and (failed >> (at + len(piece)) & 1 or before is not None and not self.pairs[before, piece]):
+            while piece and (failed[(to := at + len(piece)) >> 3] >> (to & 7) & 1 or before is not None and not self.pairs[before, piece]):
                 piece = self.shorter[piece]
             if piece:
                 taken.append(piece)
                 at += len(piece)
                 piece = longest[at] if at < end else ""
             elif taken:
-                failed |= 1 << at
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = taken.pop()
                 at -= len(piece)
                 piece = self.shorter[piece]
@@ -164,6 +166,9 @@ class Model:
         ids = self._ids(text)
         return len(ids), ",".join(map(str, ids)), self.surface(ids)
 
+    def _found(self, text: str) -> tuple[int, str, str]:
+        return self.chunks[text] if len(text) <= MEMO_CHARS else self._chunk(text)
+
     def surface(self, ids: list[int]) -> str:
         """What ids stand for, with blanks as spaces, before a leading one is dropped."""
         shown = [self.shown[i] for i in ids]
@@ -192,7 +197,7 @@ class Model:
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text."""
-        return [int(x) for c in self.split(text) for x in self.chunks[c][1].split(",")] if text else []
+        return [int(x) for c in self.split(text) for x in self._found(c)[1].split(",")] if text else []
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids."""
@@ -203,7 +208,7 @@ class Model:
         """Number of ids, hash of the joined ids, hash of the decoded text."""
         if not text:
             return 0, _sha256(""), _sha256("")
-        n, ids, shown = zip(*map(self.chunks.__getitem__, self.split(text)), strict=True)
+        n, ids, shown = zip(*map(self._found, self.split(text)), strict=True)
         decoded = "".join(shown)
         if self.dummy_prefix and decoded[:1] == " ":
             decoded = decoded[1:]
