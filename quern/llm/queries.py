@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import packing, quality, sentencepiece_bpe, toxicity
+from quern.llm import html_extraction, packing, quality, sentencepiece_bpe, toxicity
 from quern.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_sentencepiece": op2_sentencepiece,
+        "op5_html_extraction": op5_html_extraction,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op10_quality_ledger": op10_quality_ledger,
     }
