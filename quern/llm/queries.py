@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import html_extraction, packing, quality, sentencepiece_bpe, toxicity
+from quern.llm import html_extraction, packing, quality, sentencepiece_bpe, topk, toxicity
 from quern.llm.common import table
 
 
@@ -40,6 +40,20 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e, true), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return entries.withColumn("base_failed", entries.failures.bitwiseAND(quality.mask(quality.POLICIES[1])) != 0)
@@ -70,11 +84,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_sentencepiece": op2_sentencepiece,
         "op5_html_extraction": op5_html_extraction,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_exact_topk": op7_exact_topk,
         "op10_quality_ledger": op10_quality_ledger,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_exact_topk": OP7_SQL,
         "op10_quality_ledger": OP10_SQL,
     }
