@@ -23,7 +23,9 @@ table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -37,7 +39,7 @@ from tokenizers import Tokenizer
 
 from quern.llm.common import Memo, map_slices, stored
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 MEMO_CHARS = 64
 CHUNK_WORDS = 4096
 #: The least large length as a share of the capacity, and how many groups. All are planned, and the plan with fewest
@@ -51,34 +53,63 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of whole texts by a word-level tokenizer, whose results a bounded memo keeps by word.
+    """Ids of whole texts by a lower-casing word-level tokenizer, whose results a bounded memo keeps by word.
 
     The tokenizer drops white space before it merges and normalises no character across a blank, so a text's ids are
-    those of its words in turn. Words that are not in the memo are handed to the tokenizer together.
+    those of its words in turn; a full stop or comma that ends a word after an ASCII letter or digit is a word of its
+    own. Words that are not in the memo are handed to the tokenizer together.
     """
 
     def __init__(self, spec: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(spec.decode())
         self.known = Memo(None, MEMO_WORDS)
+        self.ends = {x: self._encode([x])[0] for x in (b".", b",")}
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [array("I", c.ids).tobytes() for c in codes]
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        words = (text or "").encode().split()
-        return b"".join(x for at in range(0, len(words), CHUNK_WORDS) for x in self._some(words[at : at + CHUNK_WORDS]))
-
-    def _some(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        found = list(map(known.get, words))
-        if None in found:
-            found = [known.find(w) if x is None else x for w, x in zip(words, found, strict=True)]
-            new = list({w for w, x in zip(words, found, strict=True) if x is None})
-            codes = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            fresh = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(new, codes, strict=True)}
-            found = [fresh[w] if x is None else x for w, x in zip(words, found, strict=True)]
-            for w, x in fresh.items():
-                if len(w) <= MEMO_CHARS:
-                    known.put(w, x)
-        return found
+        raw = (text or "").encode()
+        if b"<|" not in raw:  # else it may name a special token, which case matters for
+            raw = raw.lower()
+        words, get, out = raw.split(), self.known.get, []
+        for at in range(0, len(words), CHUNK_WORDS):
+            some = words[at : at + CHUNK_WORDS]
+            found = list(map(get, some))
+            if None in found:
+                self._fill(some, found)
+            out.append(b"".join(found))
+        return b"".join(out)
+
+    def _fill(self, words: list[bytes], found: list[bytes | None]) -> None:
+        """Put the ids of the words that have none yet into found, and into the memo."""
+        known, ends = self.known, self.ends
+        missing = {words[i]: None for i, x in enumerate(found) if x is None}
+        cut: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in missing:
+            ids = known.find(word)
+            if ids is None and word[-1:] in ends and word[-2:-1].isalnum():
+                cut[word] = word[:-1], word[-1:]
+                if (core := known.find(word[:-1])) is not None:
+                    ids = core + ends[word[-1:]]
+                    self._keep(word, ids)
+            missing[word] = ids
+        new = list({cut[w][0] if w in cut else w for w, x in missing.items() if x is None})
+        fresh = dict(zip(new, self._encode(new), strict=True)) if new else {}
+        for word, ids in fresh.items():
+            self._keep(word, ids)
+        for word, ids in missing.items():
+            if ids is None:
+                missing[word] = fresh[word] if word not in cut else fresh[cut[word][0]] + ends[cut[word][1]]
+                self._keep(word, missing[word])
+        found[:] = [missing[w] if x is None else x for w, x in zip(words, found, strict=True)]
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        if len(word) <= MEMO_CHARS:
+            self.known.put(word, ids)
 
 
 def encoder_of(spec: bytes) -> WordEncoder:
