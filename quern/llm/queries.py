@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import html_extraction, packing, quality, sentencepiece_bpe, topk, toxicity
+from quern.llm import html_extraction, packing, pii, quality, sentencepiece_bpe, topk, toxicity
 from quern.llm.common import table
 
 
@@ -54,6 +54,10 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return entries.withColumn("base_failed", entries.failures.bitwiseAND(quality.mask(quality.POLICIES[1])) != 0)
@@ -85,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_extraction": op5_html_extraction,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_topk": op7_exact_topk,
+        "op9_personal_data": op9_personal_data,
         "op10_quality_ledger": op10_quality_ledger,
     }
 
