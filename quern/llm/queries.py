@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import html_extraction, packing, pii, quality, sentencepiece_bpe, topk, toxicity
+from quern.llm import html_extraction, near_duplicates, packing, pii, quality, sentencepiece_bpe, topk, toxicity
 from quern.llm.common import table
 
 
@@ -54,6 +54,11 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.find(table(spark, sf_dir, "documents").select("doc_id", "text"), near_duplicates.Params(words=2))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_extraction": op5_html_extraction,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_topk": op7_exact_topk,
+        "op8_near_duplicates": op8_near_duplicates,
         "op9_personal_data": op9_personal_data,
         "op10_quality_ledger": op10_quality_ledger,
     }
