@@ -19,9 +19,15 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
+def _load() -> None:
+    from quern.plans import dataset, evaluation  # noqa: F401  they register themselves
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return {name: f for name, (f, _) in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return {name: sql for name, (_, sql) in _QUERIES.items() if sql}
