@@ -7,8 +7,9 @@ sets agree in a coordinate with the probability of their Jaccard similarity. Doc
 1. Equal sets become one node, so groups of copies cost one posting however large they are.
 2. Prefix and skip merging: two nodes with ``matches`` of k coordinates in common share one of any k - matches + 1.
    Each node is posted under its rarest so many pairs alone, so lists of common values are never merged.
-3. A posting list is known by its least node. All lists with the same one are joined into one group, so a family of
-   near copies, which shares many lists, is met a few times and not once a list.
+3. Lists are cut by the sets' sizes, which must be within the least similarity of each other. A list is then known by
+   its least node. All lists with the same one are joined into one group, so a family of near copies, which shares
+   many lists, is met a few times and not once a list.
 4. Groups are cut into tiles of bounded weight, by a hash. A tile counts the collisions of its nodes in numpy and
    passes on those nodes that have a partner with enough of them: rows grow with nodes, not with pairs.
 5. For these the full sets are made again from the texts, and tiles confirm links: the intersections of a node with
@@ -85,7 +86,7 @@ class Shingler:
         hashes = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
         n = min(self.params.words, len(words))
         count = len(words) - n + 1
-        total = np.full(count, self.turns[-1] * np.uint64(n))
+        total = np.full(count, n, np.uint64) * self.turns[-1]
         for i in range(n):
             total = _mixed(total + hashes[i : i + count]) * self.turns[i]
         return np.unique(_mixed(total))
@@ -105,10 +106,10 @@ def set_key(shingles: np.ndarray) -> bytes:
 
 
 def prints(docs: DataFrame, params: Params, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_key, n_shingles, node (a key of the set, null if empty), signature of each row."""
+    """doc_id, text_key, n_shingles, set_key (null if the set is empty), signature of each row."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType
-    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("signature", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", to_arrow_type(kind)), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("signature", pa.list_(pa.int32()))])
 
     def make():
         of = Shingler(params)
@@ -130,7 +131,13 @@ def prints(docs: DataFrame, params: Params, id_col: str, text_col: str) -> DataF
 
         return kernel
 
-    return map_slices(source, schema, f"doc_id {kind.simpleString()}, text_key long, n_shingles long, node binary, signature array<int>", make)
+    return map_slices(source, schema, f"doc_id {kind.simpleString()}, text_key long, n_shingles long, set_key binary, signature array<int>", make)
+
+
+def nodes_of(printed: DataFrame) -> DataFrame:
+    """A row a distinct set, numbered: node, set_key, signature, n_shingles, one of its texts, least id, copies."""
+    made = printed.where("set_key IS NOT NULL").groupBy("set_key", "signature", "n_shingles").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), F.count("*").alias("n"))
+    return stored(made.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers hold once they are written
 
 
 def groups(nodes: DataFrame, params: Params) -> DataFrame:
@@ -140,9 +147,13 @@ def groups(nodes: DataFrame, params: Params) -> DataFrame:
     # A pair that no other node has comes first in any order by rarity, so only the shared ones need be told apart.
     ranked = posted.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))  # at most k a node
     kept = F.slice("tokens", F.lit(1), F.greatest(F.lit(0), F.lit(params.prefix - params.k) + F.size("tokens")))
-    prefix = stored(ranked.select("node", F.explode(kept).alias("t")).select("node", "t.token"), "prefix")
-    heads = prefix.groupBy("token").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("token", "head")
-    return prefix.join(heads, "token").select("head", "node").distinct()
+    prefix = ranked.select("node", F.explode(kept).alias("t")).select("node", "t.token")
+    # Sizes of linked sets are at most one step apart; each node is posted at its step and the next.
+    step = F.floor(F.log("n_shingles") / float(np.log(100 / params.percent) * (1 + 1e-9))).cast("int")
+    sized = nodes.select("node", F.explode(F.array(step, step + 1)).alias("step"))
+    posts = stored(prefix.join(sized, "node").select("node", "token", "step"), "posts")
+    heads = posts.groupBy("token", "step").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("token", "step", "head")
+    return posts.join(heads, ["token", "step"]).select("head", "node").distinct()
 
 
 def tiles(members: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
@@ -183,10 +194,9 @@ def _tilewise(rows: DataFrame, names: list[str], ddl: str, schema: pa.Schema, ma
 
 def _starts(table: pa.Table) -> np.ndarray:
     """Where tiles begin in rows that are sorted by tile."""
-    heads, tile = table.column("head").to_pylist(), table.column("tile").to_numpy()
+    head, tile = (table.column(c).to_numpy() for c in ("head", "tile"))
     new = np.ones(table.num_rows, bool)
-    new[1:] = tile[1:] != tile[:-1]
-    new[1:] |= np.fromiter((a != b for a, b in zip(heads, heads[1:], strict=False)), bool, max(0, table.num_rows - 1))
+    new[1:] = (tile[1:] != tile[:-1]) | (head[1:] != head[:-1])
     return np.flatnonzero(new)
 
 
@@ -219,7 +229,7 @@ def partners(signatures: np.ndarray, block: np.ndarray, two: bool, least: int) -
 
 def candidates(tiled: DataFrame, params: Params) -> DataFrame:
     """head, tile, block, two, node, n_partners: the rows of tiles that collide often enough with another."""
-    schema = pa.schema([("head", pa.binary()), ("tile", pa.int32()), ("block", pa.int32()), ("two", pa.bool_()), ("node", pa.binary()), ("n_partners", pa.int64())])
+    schema = pa.schema([("head", pa.int64()), ("tile", pa.int32()), ("block", pa.int32()), ("two", pa.bool_()), ("node", pa.int64()), ("n_partners", pa.int64())])
 
     def make():
         def work(table: pa.Table):
@@ -236,39 +246,36 @@ def candidates(tiled: DataFrame, params: Params) -> DataFrame:
 
         return work
 
-    return _tilewise(tiled, ["block", "two", "node", "signature"], "head binary, tile int, block int, two boolean, node binary, n_partners long", schema, make)
+    return _tilewise(tiled, ["block", "two", "node", "signature"], "head long, tile int, block int, two boolean, node long, n_partners long", schema, make)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str) -> DataFrame:
-    """node, shingles (64-bit numbers) of the wanted nodes, from a second pass over the texts.
+    """node, shingles (64-bit numbers) of the wanted nodes (node, text_key, set_key), from a second look at the texts.
 
-    A bit map of bounded size tells most other texts apart before anything is shuffled.
+    A bit map of bounded size tells most other texts apart before their sets are made or anything is shuffled.
     """
-    marks = wanted.select(F.pmod(F.hash("node"), F.lit(BITS)).alias("bit")).distinct().collect()  # at most BITS numbers
+    marks = wanted.select(F.pmod("text_key", F.lit(BITS)).alias("bit")).distinct().collect()  # at most BITS numbers
     bits = np.zeros(BITS, bool)
     bits[[r.bit for r in marks]] = True
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(np.packbits(bits))
-    schema = pa.schema([("node", pa.binary()), ("shingles", pa.binary())])
+    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    schema = pa.schema([("text_key", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.binary())])
 
     def make():
-        of = Shingler(params)
+        of, known, done = Shingler(params), np.unpackbits(shipped.value) == 1, set()
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [s for s in map(of.shingles, batch.column("text").to_pylist()) if len(s)]
-            return pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            keys = batch.column("text_key").to_numpy()
+            rows = [i for i in np.flatnonzero(known[keys % BITS]) if keys[i] not in done]  # a task needs a text once
+            if len(done) < BITS:
+                done.update(keys[rows].tolist())
+            some = batch.take(pa.array(rows, pa.int64()))
+            sets = [of.shingles(x) for x in some.column("text").to_pylist()]
+            return pa.RecordBatch.from_arrays([some.column("text_key"), pa.array(map(set_key, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
 
         return kernel
 
-    made = map_slices(docs.select(F.col(text_col).alias("text")).where("text IS NOT NULL"), schema, "node binary, shingles binary", make)
-
-    def passed(batches):
-        known = np.unpackbits(shipped.value)
-        for batch in batches:
-            yield batch.filter(pa.array(known[batch.column("bit").to_numpy()] == 1))
-
-    marked = made.withColumn("bit", F.pmod(F.hash("node"), F.lit(BITS))).mapInArrow(passed, "node binary, shingles binary, bit int").drop("bit")
-    return marked.join(wanted.select("node").distinct(), "node", "left_semi").groupBy("node", "shingles").agg(F.lit(1).alias("one")).drop("one")
+    made = map_slices(docs.select(F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")), schema, "text_key long, set_key binary, shingles binary", make)
+    return made.join(wanted.select("node", "text_key", "set_key"), ["text_key", "set_key"]).groupBy("node", "shingles").agg(F.lit(1).alias("one")).drop("one")
 
 
 def confirm(sets: list[np.ndarray], n_partners: np.ndarray, block: np.ndarray, two: bool, percent: int) -> list[int]:
@@ -310,11 +317,11 @@ def confirm(sets: list[np.ndarray], n_partners: np.ndarray, block: np.ndarray, t
 
 def links(found: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     """a, b: stars of linked nodes, one for each component of a tile."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def make():
         def work(table: pa.Table):
-            names = table.column("node").to_pylist()
+            names = table.column("node").to_numpy()
             raw = table.column("shingles").to_pylist()
             n_partners, block, two = (table.column(c).to_numpy() for c in ("n_partners", "block", "two"))
             starts = np.append(_starts(table), table.num_rows)
@@ -330,7 +337,7 @@ def links(found: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
         return work
 
     rows = found.join(sets, "node")
-    return _tilewise(rows, ["block", "two", "node", "n_partners", "shingles"], "a binary, b binary", schema, make)
+    return _tilewise(rows, ["block", "two", "node", "n_partners", "shingles"], "a long, b long", schema, make)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -369,16 +376,17 @@ def components(edges: DataFrame) -> DataFrame:
 def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, n_shingles, component_id (the least id it reaches by links) and kept of each row."""
     printed = stored(prints(docs, params, id_col, text_col), "prints")
-    nodes = stored(printed.where("node IS NOT NULL").groupBy("node", "signature", "n_shingles").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
+    nodes = nodes_of(printed)
     tiled = tiles(stored(groups(nodes, params), "groups"), nodes, params)
     found = stored(candidates(tiled, params), "candidates")
-    sets = stored(full_sets(docs, found, params, text_col), "sets")
+    wanted = found.select("node").distinct().join(nodes.select("node", "text_key", "set_key"), "node")
+    sets = stored(full_sets(docs, wanted, params, text_col), "sets")
     linked = components(links(found, sets, params))
     # The least id of each component; alone are the nodes that no link names.
-    of = nodes.select("node", "least", "n").join(linked, "node", "left")
+    of = nodes.select("node", "set_key", "least", "n").join(linked, "node", "left")
     joint = of.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
-    told = of.join(joint, "component", "left").where("n > 1 OR component IS NOT NULL").select("node", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
-    out = printed.join(told, "node", "left")
+    told = of.join(joint, "component", "left").where("n > 1 OR component IS NOT NULL").select("set_key", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
+    out = printed.join(told, "set_key", "left")
     component = F.when(F.col("is_told"), F.col("told")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
