@@ -87,6 +87,12 @@ SELECT *, failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept FROM f
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it builds on this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -97,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_personal_data": op9_personal_data,
         "op10_quality_ledger": op10_quality_ledger,
+        "pipeline": pipeline,
     }
 
 
