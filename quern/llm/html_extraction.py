@@ -149,7 +149,8 @@ class Tree(HTMLParser):
         if "hidden" in values or (values.get("role") or "").lower() in CUT_ROLES:
             return True
         named = f"{values.get('class') or ''} {values.get('id') or ''}"
-        return any(w.lower() in CUT_WORDS for w in WORD.findall(named))
+        words = {w.lower() for w in (*WORD.findall(named), *re.findall("[A-Za-z]+", named))}
+        return not words.isdisjoint(CUT_WORDS)
 
 
 def _measure(tree: Tree) -> None:
