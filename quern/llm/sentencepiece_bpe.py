@@ -202,7 +202,9 @@ class Model:
     def decode(self, ids: list[int]) -> str:
         """The text of ids."""
         text = self.surface(ids)
-        return text[1:] if self.dummy_prefix and text[:1] == " " else text
+        first = next((i for i in ids if self.kinds[i] != CONTROL), -1)  # only a piece's blank is the prefix, not a byte's
+        led = first >= 0 and self.kinds[first] == NORMAL and self.pieces[first][0] == BLANK
+        return text[1:] if self.dummy_prefix and led else text
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, hash of the joined ids, hash of the decoded text."""
