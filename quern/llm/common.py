@@ -47,6 +47,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, lengthened until df has no column of it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files behind a DataFrame that stored() returned and nothing reads any more."""
     spark = df.sparkSession

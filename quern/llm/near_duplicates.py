@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.common import Memo, drop_stored, map_slices, stored
+from quern.llm.common import Memo, drop_stored, fresh, map_slices, stored
 
 MEMO_WORDS = 200_000
 #: Marks which shingles' nodes are asked for, by hash; passing more only costs time.
@@ -401,9 +401,10 @@ def keep_one(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
     gone = judged.where("NOT kept").select("doc_id", "text_key")
     several = judged.where("kept AND doc_id IS NOT NULL").groupBy("component_id").agg(F.count("*").alias("n"), F.min("text_key").alias("first")).where("n > 1")
     other = judged.where("kept").join(several, "component_id").where("text_key <> first").select("doc_id", "text_key")
-    drop = gone.unionAll(other).distinct().select(F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key"))
+    drop_id, drop_key, again = (fresh(docs, n) for n in ("drop_id", "drop_key", "again"))
+    drop = gone.unionAll(other).distinct().select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key))
     one_id, one_text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    left = docs.join(drop, one_id.eqNullSafe(F.col("drop_id")) & (F.xxhash64(one_text) == F.col("drop_key")), "left_anti")
-    repeated = several.select(F.col("component_id").alias("again_id"))
-    match = one_id == F.col("again_id")
+    left = docs.join(drop, one_id.eqNullSafe(F.col(drop_id)) & (F.xxhash64(one_text) == F.col(drop_key)), "left_anti")
+    repeated = several.select(F.col("component_id").alias(again))
+    match = one_id == F.col(again)
     return left.join(repeated, match, "left_anti").unionByName(left.join(repeated, match, "left_semi").dropDuplicates([id_col]))

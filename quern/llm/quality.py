@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quern.llm.common import map_slices
+from quern.llm.common import fresh, map_slices
 
 #: Bytes that separate words, and the symbols that count against a text (fixed values).
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -100,9 +100,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 def _measured(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
     """docs with a struct of the measurements and ``failures`` added, and that column's name, new to docs."""
-    at, name = docs.columns.index(text_col), "ledger"
-    while name in docs.columns:
-        name += "_"
+    at, name = docs.columns.index(text_col), fresh(docs, "ledger")
     schema = to_arrow_schema(docs.schema)
     out = schema.append(pa.field(name, pa.struct([(m, pa.int64()) for m in MEASURES])))
     ddl = StructType([*docs.schema, StructField(name, StructType([StructField(m, LongType()) for m in MEASURES]))])

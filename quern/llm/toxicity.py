@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quern.llm.common import Memo, map_slices
+from quern.llm.common import Memo, fresh, map_slices
 
 STRIP = ".,;:!?\"'()[]{}<>«»„“”…*#$%&-_"
 PREFIXES = (4, 5)
@@ -238,7 +238,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 
 def filter_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold, with all their columns."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs, "score")
     return score(docs, model, text_col, name).where(F.col(f"`{name}`") < threshold).drop(name)
