@@ -79,3 +79,9 @@ def gradient_hash(values: Column) -> Column:
 def argmax(values: Column) -> Column:
     """The first place, from 0, of an array's largest value."""
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+
+
+def hours_minutes_seconds(seconds: Column) -> Column:
+    """Whole seconds as h:mm:ss."""
+    whole = seconds.cast("long")
+    return F.format_string("%d:%02d:%02d", F.floor(whole / 3600), F.floor(F.pmod(whole, F.lit(3600)) / 60), F.pmod(whole, F.lit(60)))

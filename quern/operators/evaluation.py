@@ -33,6 +33,20 @@ def confusion_pivot(cells: DataFrame, labels: list) -> DataFrame:
     return wide.na.fill(0).select("y_true", *(F.col(f"`{x}`").alias(f"pred_{x}") for x in labels))
 
 
+def confusion_dense(cells: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """Every pair of labels with its count, 0 where none was seen; the square of the number of labels."""
+    names = labels.select(F.col(label).alias("y_true")).distinct()
+    pairs = names.join(F.broadcast(names.withColumnRenamed("y_true", "y_pred")))
+    return pairs.join(cells, ["y_true", "y_pred"], "left").na.fill(0, ["n"])
+
+
+def transposed(metrics: DataFrame, key: str, names: list[str], keys: list) -> DataFrame:
+    """A row a metric, a column a key: the table on its side."""
+    long = metrics.select(F.col(key), *(F.col(n).cast("double").alias(n) for n in names)).unpivot([key], names, "metric", "value")
+    wide = long.groupBy("metric").pivot(key, keys).agg(F.max("value"))
+    return wide.select("metric", *(F.col(f"`{k}`").alias(f"label_{k}") for k in keys))
+
+
 def top_confusions(cells: DataFrame, n: int) -> DataFrame:
     """The n most frequent wrong cells (a report)."""
     return cells.where("y_true <> y_pred").orderBy(F.desc("n"), "y_true", "y_pred").limit(n)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import scalars
-from quern.operators import augment, duplicates, inspection, master, split
+from quern.operators import augment, checks, duplicates, inspection, master, split
 from quern.plans import surrogates as s
 from quern.plans.registry import register
 from quern.sources.tables import table
@@ -86,6 +86,41 @@ def class_set_diff(spark: SparkSession, d: str) -> DataFrame:
     return inspection.set_difference(items.where("klass = 'es'"), items.where("status = 'corrupt'"), "source")
 
 
+@register("class_corpus_pivot", with_items("SELECT klass, count_if(corpus = 'A')::BIGINT AS A, count_if(corpus = 'B')::BIGINT AS B FROM items GROUP BY 1"))
+def class_corpus_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return s.items(spark, d).groupBy("klass").pivot("corpus", [s.FIRST, s.SECOND]).count().na.fill(0)
+
+
+@register(
+    "split_totals_check",
+    with_items(
+        """SELECT label, expected, actual, CASE WHEN expected = actual THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT 'train' AS label, 746::BIGINT AS expected, count_if(split = 'train')::BIGINT AS actual FROM split
+        UNION ALL SELECT 'validation', 93, count_if(split = 'validation')::BIGINT FROM split UNION ALL SELECT 'classes', 4, count(DISTINCT klass) FROM split)"""
+    ),
+)
+def split_totals_check(spark: SparkSession, d: str) -> DataFrame:
+    rows = s.splits(spark, d)
+    one = rows.agg(F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "validation").alias("validation"), F.countDistinct("klass").alias("classes"))
+    return checks.totals(one, {"train": 746, "validation": 93, "classes": 4})
+
+
+@register(
+    "snapshot_changes",
+    with_items("SELECT klass, count(*) AS before, count_if(include_in_master)::BIGINT AS after, count(*) = count_if(include_in_master) AS unchanged FROM entries GROUP BY 1"),
+)
+def snapshot_changes(spark: SparkSession, d: str) -> DataFrame:
+    rows = s.entries(spark, d)
+    return checks.snapshot_changes(rows, rows.where("include_in_master"), "klass")
+
+
+@register(
+    "example_item",
+    with_items("SELECT id, klass, corpus FROM items WHERE status = 'valid' ORDER BY klass <> 'fr', klass, corpus, id LIMIT 1"),
+)
+def example_item(spark: SparkSession, d: str) -> DataFrame:
+    return s.items(spark, d).where("status = 'valid'").orderBy(F.col("klass") != "fr", "klass", "corpus", "id").limit(1).select("id", "klass", "corpus")
+
+
 EXPECTED = [("items", 1000), ("first", 500), ("second", 500), ("unique", 927), ("classes", 4), ("nothing", 1)]
 EXPECTED_SQL = ", ".join(f"('{k}', {v}::BIGINT)" for k, v in EXPECTED)
 

@@ -43,6 +43,27 @@ def confusion_pivot(spark: SparkSession, d: str) -> DataFrame:
     return ev.confusion_pivot(cells(spark, d), LABELS)
 
 
+@register(
+    "confusion_dense",
+    P + "SELECT a.label AS y_true, b.label AS y_pred, coalesce(c.n, 0)::BIGINT AS n FROM (SELECT DISTINCT label FROM embeddings) a CROSS JOIN (SELECT DISTINCT label FROM embeddings) b LEFT JOIN cells c ON c.y_true = a.label AND c.y_pred = b.label",
+)
+def confusion_dense(spark: SparkSession, d: str) -> DataFrame:
+    return ev.confusion_dense(cells(spark, d), table(spark, d, "embeddings"), "label")
+
+
+TRANSPOSED = ", ".join(f"max(v) FILTER (label = {i}) AS label_{i}" for i in LABELS)
+
+
+@register(
+    "metrics_transposed",
+    P
+    + f", l AS (SELECT label, 'precision' AS metric, round(precision, 6) AS v FROM metrics UNION ALL SELECT label, 'recall', round(recall, 6) FROM metrics UNION ALL SELECT label, 'support', support::DOUBLE FROM metrics) SELECT metric, {TRANSPOSED} FROM l GROUP BY 1",
+)
+def metrics_transposed(spark: SparkSession, d: str) -> DataFrame:
+    metrics = ev.rounded(ev.per_class(cells(spark, d)), "precision", "recall")
+    return ev.transposed(metrics, "label", ["precision", "recall", "support"], LABELS)
+
+
 @register("top_confusions", P + "SELECT * FROM cells WHERE y_true <> y_pred ORDER BY n DESC, y_true, y_pred LIMIT 15")
 def top_confusions(spark: SparkSession, d: str) -> DataFrame:
     return ev.top_confusions(cells(spark, d), 15)

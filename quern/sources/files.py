@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import images, scalars
-from quern.sources.tables import require
+from quern.sources.tables import SourceNotFound, exists, require
 
 # Extensions by stage; each stage takes its own set.
 IMAGES = (".jpg", ".jpeg", ".png", ".bmp", ".tiff", ".tif", ".webp")
@@ -67,6 +67,35 @@ def inspected(files: DataFrame) -> DataFrame:
     return base.select(*kept, "content").mapInPandas(run, f"{ddl}, {INSPECTED}").withColumn("is_valid", F.col("error").isNull())
 
 
+def discover(spark: SparkSession, root: str, names: tuple[str, ...] = ("train", "validation", "test")) -> str:
+    """The first folder, widest level first and by name, that has subfolders of all the names; only folders are listed."""
+    require(spark, root)
+    start = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = start.getFileSystem(spark._jsc.hadoopConfiguration())
+    level = [start]
+    while level:
+        below = []
+        for folder in level:
+            inside = sorted((s.getPath() for s in store.listStatus(folder) if s.isDirectory()), key=lambda p: p.getName())
+            if set(names) <= {p.getName() for p in inside}:
+                return folder.toString()
+            below += inside
+        level = below
+    raise SourceNotFound(f"no folder below {root} has {', '.join(names)}")
+
+
+def split_counts(spark: SparkSession, root: str, names: tuple[str, ...] = ("train", "validation", "test")) -> DataFrame:
+    """Files by class in each split's folder, 0 where a class or a split has none."""
+    out = None
+    for name in names:
+        here = f"{root}/{name}"
+        one = file_counts(spark, here) if exists(spark, here) else spark.createDataFrame([], "klass string, n long")
+        one = one.withColumn("split", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    wide = out.groupBy("klass").pivot("split", list(names)).agg(F.sum("n"))
+    return wide.na.fill(0).select("klass", *(F.col(n).alias(f"{n}_count") for n in names))
+
+
 def file_counts(spark: SparkSession, root: str, dotted_only: bool = False) -> DataFrame:
     """Files below a folder, all or those with a dot in their name, by the folder they lie in. Reads no content."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")

@@ -154,3 +154,15 @@ def test_streaming_dedupe_and_counts(spark, sf_dir, tmp_path):
     assert spark.table("unique_users").count() == batch.select("user_id").distinct().count()
     closed = spark.table("per_hour").agg(F.sum("n")).first()[0]
     assert 0 < closed <= batch.count()
+
+
+def test_discovery_and_split_counts(spark, tmp_path):
+    for name, n in (("x/set/train/a", 2), ("x/set/train/b", 1), ("x/set/validation/a", 1), ("x/set/test/b", 3)):
+        (tmp_path / name).mkdir(parents=True)
+        for i in range(n):
+            (tmp_path / name / f"{i}.png").write_bytes(b"x")
+    found = files.discover(spark, str(tmp_path))
+    assert found.endswith("x/set")
+    assert {r.klass: tuple(r)[1:] for r in files.split_counts(spark, found).collect()} == {"a": (2, 1, 0), "b": (1, 0, 3)}
+    with pytest.raises(tables.SourceNotFound):
+        files.discover(spark, str(tmp_path / "x" / "set" / "train"))

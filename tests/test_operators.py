@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quern.functions import scalars
-from quern.operators import augment, duplicates, evaluation, inspection, master, split
+from quern.operators import augment, checks, duplicates, evaluation, inspection, master, split
 
 # Class sizes after deduplication, as size: classes.
 CLASS_SIZES = {89: 1, 98: 3, 99: 15, 100: 31}
@@ -208,3 +208,21 @@ def test_suffix(spark, name, want):
 def test_percent_and_rounding(spark):
     got = spark.range(1).select(scalars.percent(F.lit(1), F.lit(0)), scalars.half_even(F.lit(2.5)), scalars.half_even(F.lit(3.5)), scalars.hash_hex(F.lit(-1).cast("long")), scalars.hash_hex(F.lit(10).cast("long"))).first()
     assert tuple(got) == (0.0, 2, 4, "f" * 16, "000000000000000a")
+
+
+@pytest.mark.parametrize(("seconds", "want"), [(0, "0:00:00"), (3661, "1:01:01"), (86399, "23:59:59")])
+def test_hours_minutes_seconds(spark, seconds, want):
+    assert spark.range(1).select(scalars.hours_minutes_seconds(F.lit(seconds))).first()[0] == want
+
+
+def test_checks(spark):
+    one = spark.createDataFrame([(3, 4)], "a long, b long")
+    assert {r.label: r.status for r in checks.totals(one, {"a": 3, "b": 5}).collect()} == {"a": "PASS", "b": "FAIL"}
+    checks.require_totals(one, {"a": 3, "b": 4})
+    with pytest.raises(checks.CheckFailed, match="b: 4, not 5"):
+        checks.require_totals(one, {"b": 5})
+    with pytest.raises(checks.CheckFailed, match="approval"):
+        checks.require_approval(False, "augmentation")
+    checks.require_approval(True, "augmentation")
+    left, right = (spark.createDataFrame([(x,) for x in xs], "k string") for xs in ("aab", "abc"))
+    assert {r.k: (r.before, r.after, r.unchanged) for r in checks.snapshot_changes(left, right, "k").collect()} == {"a": (2, 1, False), "b": (1, 1, True), "c": (0, 1, False)}
