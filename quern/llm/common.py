@@ -80,17 +80,21 @@ def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Ca
 
 
 class Memo(dict):
-    """A bounded memo of f by key, of two generations: the older one goes when the newer is full."""
+    """A bounded memo of f by key, of two generations: the older one goes when the newer is full.
 
-    def __init__(self, f: Callable, most: int):
+    Keys longer than ``longest``, where given, are worked out each time.
+    """
+
+    def __init__(self, f: Callable | None, most: int, longest: int | None = None):
         super().__init__()
-        self._f, self._most, self._old = f, most, {}
+        self._f, self._most, self._longest, self._old = f, most, longest, {}
 
     def __missing__(self, key):
         found = self._old.get(key)
         if found is None:
             found = self._f(key)
-        self.put(key, found)
+        if self._longest is None or len(key) <= self._longest:
+            self.put(key, found)
         return found
 
     def find(self, key):

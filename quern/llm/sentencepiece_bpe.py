@@ -72,7 +72,10 @@ class Model:
         self.automaton.make_automaton()
         self.unknown = re.compile("([^" + re.escape("".join(sorted(self.known))) + "])")
         self.pairs = Memo(self._compatible, MEMO_PAIRS)
-        self.chunks = Memo(self._chunk, MEMO_CHUNKS)
+        self.words = Memo(self._word, MEMO_CHUNKS, MEMO_CHARS)
+        self.chunks = Memo(self._chunk, MEMO_CHUNKS // 10, MEMO_CHARS)
+        # No merge crosses two characters that stand side by side in no piece.
+        self.neighbours = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
 
     @staticmethod
     def _require(spec) -> None:
@@ -166,8 +169,13 @@ class Model:
         ids = self._ids(text)
         return len(ids), ",".join(map(str, ids)), self.surface(ids)
 
-    def _found(self, text: str) -> tuple[int, str, str]:
-        return self.chunks[text] if len(text) <= MEMO_CHARS else self._chunk(text)
+    def _word(self, word: str) -> tuple[int, str, str]:
+        """The chunk of a word after a blank, or of one that begins with a line end, which no blank leads."""
+        if 2 < len(word) <= MEMO_CHARS and word[-1] in ".,;:!?" and word[-2:] not in self.neighbours:
+            n, ids, shown = self.words[word[:-1]]  # the mark is a chunk of its own
+            end_n, end_ids, end_shown = self.chunks[word[-1]]
+            return n + end_n, f"{ids},{end_ids}", shown + end_shown
+        return self._chunk(word if word[0] == "\n" else BLANK + word)
 
     def surface(self, ids: list[int]) -> str:
         """What ids stand for, with blanks as spaces, before a leading one is dropped."""
@@ -186,18 +194,17 @@ class Model:
                 out.append(self.shown[i])
         return "".join(out)
 
-    def split(self, text: str) -> list[str]:
-        """The chunks of a text, in order, none crossed by a merge: a normalised text cut before runs of blanks and line ends."""
-        flat = text.replace(BLANK, " ").replace("\n", " \n")
-        words = flat.split(" ")
-        if "" not in words and self.dummy_prefix:
-            return [w if w[0] == "\n" else BLANK + w for w in words] if words[0][0] != "\n" else [BLANK, words[0], *(w if w[0] == "\n" else BLANK + w for w in words[1:])]
+    def pieces_of(self, text: str) -> list[tuple[int, str, str]]:
+        """The results of a text's chunks, in order, none crossed by a merge: it is cut before blanks and line ends."""
+        words = text.replace(BLANK, " ").replace("\n", " \n").split(" ")
+        if self.dummy_prefix and "" not in words and words[0][0] != "\n":
+            return list(map(self.words.__getitem__, words))
         full = (BLANK if self.dummy_prefix else "") + text.replace(" ", BLANK)
-        return re.findall(f"{BLANK}*\n?[^{BLANK}\n]+|{BLANK}+|\n", full)
+        return list(map(self.chunks.__getitem__, re.findall(f"{BLANK}*\n?[^{BLANK}\n]+|{BLANK}+|\n", full)))
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a whole text."""
-        return [int(x) for c in self.split(text) for x in self._found(c)[1].split(",")] if text else []
+        return [int(x) for _, ids, _ in self.pieces_of(text) for x in ids.split(",")] if text else []
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids."""
@@ -210,7 +217,7 @@ class Model:
         """Number of ids, hash of the joined ids, hash of the decoded text."""
         if not text:
             return 0, _sha256(""), _sha256("")
-        n, ids, shown = zip(*map(self._found, self.split(text)), strict=True)
+        n, ids, shown = zip(*self.pieces_of(text), strict=True)
         decoded = "".join(shown)
         if self.dummy_prefix and decoded[:1] == " ":
             decoded = decoded[1:]
