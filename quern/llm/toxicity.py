@@ -36,16 +36,16 @@ STRIP = ".,;:!?\"'()[]{}<>«»„“”…*#$%&-_"
 PREFIXES = (4, 5)
 SPACE = 1 << 24
 THRESHOLD = 0.7
-MEMO_WORDS = 300_000
+MEMO_WORDS = 120_000
 
 
 @dataclass(frozen=True)
 class Params:
-    max_positive: int = 3000
-    max_unlabelled: int = 9000
+    max_positive: int = 2000
+    max_unlabelled: int = 6000
     max_features: int = 20_000
     min_texts: int = 3
-    min_strength: float = 4.0
+    min_strength: float = 3.0
     epochs: int = 60
     batch: int = 1500
     rate: float = 0.05
