@@ -40,9 +40,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.common import Memo, drop_stored, fresh, map_slices, stored
 
-MEMO_WORDS = 200_000
+MEMO_WORDS = 120_000
 #: Marks which shingles' nodes are asked for, by hash; passing more only costs time.
 BITS = 1 << 20
+#: Over so many parts a hot key is dealt in joins.
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ class Params:
     k: int = 40
     matches: int = 18
     seed: int = 1
-    tile_nodes: int = 1024
+    tile_nodes: int = 512
     tile_shingles: int = 1 << 19
 
     @property
@@ -156,12 +158,20 @@ def groups(nodes: DataFrame, params: Params) -> DataFrame:
     return posts.join(heads, ["token", "step"]).select("head", "node").distinct()
 
 
+def salted(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+    """left joined to right on key, unique in right, with the rows of a key in left dealt by another column."""
+    dealt = left.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return dealt.join(copies, [key, "salt"], how).drop("salt")
+
+
 def tiles(members: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
     """head, tile, block, node, signature: each two blocks of a group meet in one tile, in which they are 0 and 1."""
     known = members.join(nodes.select("node", "signature", "n_shingles"), "node")
-    weights = known.groupBy("head").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w")).where("n > 1")
+    weights = known.groupBy("head").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
     blocks = F.greatest(F.ceil(F.col("n") / params.tile_nodes), F.ceil(F.col("w") / params.tile_shingles)).cast("int")
-    placed = known.join(weights.select("head", blocks.alias("blocks")), "head").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = weights.select("head", blocks.alias("large")).where("large > 1")  # few, by their size
+    placed = salted(known, large, "head", "node", "left").withColumn("blocks", F.coalesce("large", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     return met.select("head", (low * F.col("blocks") + high).alias("tile"), F.when((F.col("own") == high) & (low < high), 1).otherwise(0).alias("block"), (low < high).alias("two"), "node", "signature")
@@ -349,12 +359,12 @@ def components(edges: DataFrame) -> DataFrame:
     def large(e: DataFrame) -> DataFrame:
         near = either(e)
         least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return near.join(least, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        return salted(near, least, "u", "v").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
     def small(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        other = down.join(least, "u").where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        other = salted(down, least, "u", "v").where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
         return other.unionAll(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
     def digest(e: DataFrame) -> tuple:
@@ -403,8 +413,15 @@ def keep_one(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
     other = judged.where("kept").join(several, "component_id").where("text_key <> first").select("doc_id", "text_key")
     drop_id, drop_key, again = (fresh(docs, n) for n in ("drop_id", "drop_key", "again"))
     drop = gone.unionAll(other).distinct().select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key))
-    one_id, one_text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    left = docs.join(drop, one_id.eqNullSafe(F.col(drop_id)) & (F.xxhash64(one_text) == F.col(drop_key)), "left_anti")
+    drop = stored(drop, "drop")
+    one_id, key = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
+    # At most BITS marks tell most texts that stay apart; only the others are shuffled to be compared in full.
+    marks = F.broadcast(drop.select(F.pmod(drop_key, F.lit(BITS)).alias(again)).distinct())
+    marked = F.pmod(key, F.lit(BITS)) == F.col(again)
+    doubtful = docs.join(marks, marked, "left_semi").join(drop, one_id.eqNullSafe(F.col(drop_id)) & (key == F.col(drop_key)), "left_anti")
+    left = docs.join(marks, marked, "left_anti").unionByName(doubtful)
+    if several.isEmpty():
+        return left
     repeated = several.select(F.col("component_id").alias(again))
     match = one_id == F.col(again)
     return left.join(repeated, match, "left_anti").unionByName(left.join(repeated, match, "left_semi").dropDuplicates([id_col]))
