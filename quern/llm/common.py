@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -65,6 +68,14 @@ def drop_stored(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def return_memory() -> None:
+    """Give what a task has freed back to the system, as the worker outlives it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
     """mapInArrow over slices of at most SLICE_ROWS rows. make() runs once a task and returns the kernel."""
 
@@ -75,6 +86,9 @@ def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Ca
                 out = kernel(batch.slice(at, SLICE_ROWS))
                 if out is not None and out.num_rows:
                     yield out.cast(schema)
+            pa.default_memory_pool().release_unused()
+        del kernel
+        return_memory()
 
     return df.mapInArrow(run, ddl)
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.common import Memo, drop_stored, fresh, map_slices, stored
+from quern.llm.common import Memo, drop_stored, fresh, map_slices, return_memory, stored
 
 MEMO_WORDS = 120_000
 #: Marks which shingles' nodes are asked for, by hash; passing more only costs time.
@@ -198,6 +198,8 @@ def _tilewise(rows: DataFrame, names: list[str], ddl: str, schema: pa.Schema, ma
             rest = table.slice(starts[-1])
         if rest is not None and rest.num_rows and (out := done(rest)) is not None:
             yield out
+        rest = table = None
+        return_memory()
 
     return dealt.mapInArrow(run, ddl)
 
