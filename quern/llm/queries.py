@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import html_extraction, near_duplicates, packing, pii, quality, sentencepiece_bpe, topk, toxicity
+from quern.llm import html_extraction, lm_scoring, near_duplicates, packing, pii, quality, sentencepiece_bpe, token_output, topk, toxicity
 from quern.llm.common import table
 
 
@@ -32,6 +32,14 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.digests(token_output.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -97,6 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_token_output": op3_token_output,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_html_extraction": op5_html_extraction,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_exact_topk": op7_exact_topk,
