@@ -6,7 +6,7 @@ count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words; with ``leave_
 off first, so that every document is scored by the others and rare n-grams do back off.
 
 A document's own n-grams are summed before the shuffle, so a frequent word is one row a document, and count tables are
-pre-aggregated by Spark. Words are lower-cased (A-Z) runs without ASCII white space.
+pre-aggregated by Spark. Words are lower-cased runs without ASCII white space.
 
 Defined results: documents with no scored word (null, empty or blank texts) have 0 words and a null score; repeated
 ids are rows of their own; a word that only the document has counts as seen once; an empty table gives no rows.
