@@ -23,7 +23,9 @@ table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -39,7 +41,7 @@ from tokenizers import Tokenizer
 
 from quern.llm.common import Memo, map_slices, stored
 
-MEMO_WORDS = 500_000
+MEMO_WORDS = 350_000
 MEMO_CHARS = 64
 CHUNK_WORDS = 4096
 #: The least large length as a share of the capacity, and how many groups. All are planned, and the plan with fewest
@@ -51,6 +53,14 @@ GROUPINGS = ((1 / 8, 24), (1 / 5, 96), (1 / 3, 96), (1 / 2, 96))
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
+# The steps before merging with which a word of lower-case Latin-1 letters goes to the merges as it is.
+KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+KNOWN_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+KNOWN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Bytes that the byte-level alphabet does not show as themselves get the characters from 256 on, in order.
+SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+
 
 class WordEncoder:
     """Ids of whole texts by a lower-casing word-level tokenizer, whose results a bounded memo keeps by word.
@@ -64,11 +74,41 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(spec.decode())
         self.known = Memo(None, MEMO_WORDS)
-        self.ends = {x: self._encode([x])[0] for x in (b".", b",")}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        codes = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [array("I", c.ids).tobytes() for c in codes]
+        steps = json.loads(spec)
+        known = {"type": "Sequence", "pretokenizers": [KNOWN_SPLIT, KNOWN_BYTES]}
+        #: Such words skip the tokenizer's other steps, which would leave them as they are.
+        self.merges = self.tokenizer.model if steps["normalizer"] == KNOWN_NORMALIZER and steps["pre_tokenizer"] == known else None
+        self.bar = self._ids_of(b"|")
+        self.ends = {x: self._ids_of(x) for x in (b".", b",")}
+
+    def _ids_of(self, text: bytes) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids).tobytes()
+
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words; those without a bar are handed over as one text, with bars between them."""
+        found: dict[bytes, bytes] = {}
+        if self.merges is not None:
+            rest, merge = [], self.merges.tokenize
+            for word in words:
+                if word.isalpha() and word.islower():
+                    found[word] = array("I", [t.id for t in merge(word.decode())]).tobytes()
+                elif LETTERS.fullmatch(word.decode()):
+                    found[word] = array("I", [t.id for t in merge(word.decode("latin-1").translate(SHOWN))]).tobytes()
+                else:
+                    rest.append(word)
+            words = rest
+        plain = [w for w in words if b"|" not in w]
+        found |= {w: self._ids_of(w) for w in words if b"|" in w}
+        if plain and len(self.bar) == 4:
+            ids = np.frombuffer(self._ids_of(b" | ".join(plain)), "<u4")
+            ends = [*(4 * np.flatnonzero(ids == np.frombuffer(self.bar, "<u4")[0])).tolist(), 4 * len(ids)]
+            if len(ends) == len(plain):
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(plain, ends, strict=True):
+                    found[word] = raw[at:end]
+                    at = end + 4
+                return found
+        return found | {w: self._ids_of(w) for w in plain}
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -98,7 +138,7 @@ class WordEncoder:
                     self._keep(word, ids)
             missing[word] = ids
         new = list({cut[w][0] if w in cut else w for w, x in missing.items() if x is None})
-        fresh = dict(zip(new, self._encode(new), strict=True)) if new else {}
+        fresh = self._encode(new)
         for word, ids in fresh.items():
             self._keep(word, ids)
         for word, ids in missing.items():

@@ -41,6 +41,15 @@ def test_ids_of_random_texts(encoder, library):
         assert encoder.ids(text) == raw(library, text), text
 
 
+def test_ids_of_letter_words(encoder, library):
+    assert encoder.merges is not None
+    rng = random.Random(4)
+    letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0x100), 0xAA, 0xB5, 0xBA, 0x131, 0x149) if c != 0xF7]
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters[: rng.choice([26, 58, 63])]) for _ in range(rng.randint(1, 18)))
+        assert encoder.ids(text) == raw(library, text), text
+
+
 def used(counts, capacity):
     """Checks a plan and gives the number of its sequences."""
     placements, n = packing.plan(counts, capacity)
