@@ -2,11 +2,12 @@
 
 N-gram count tables of the whole corpus are partitioned by the n-gram's hash; the documents' n-grams, one row for each
 distinct one of a document, are joined to them and their log scores summed per document. A bigram scores
-count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words; with ``leave_out`` a document's own counts are taken
-off first, so that every document is scored by the others and rare n-grams do back off.
+count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words; with ``leave_out`` all counts of the document itself
+(of the pair, of each of its words and of all its words) are taken off first, so that every document is scored by the
+others and rare n-grams do back off.
 
-A document's own n-grams are summed before the shuffle, so a frequent word is one row a document, and count tables are
-pre-aggregated by Spark. Words are lower-cased runs without ASCII white space.
+A document's own counts are summed within its task and stored as one row a document, so a frequent word is one row a
+document, and count tables are pre-aggregated by Spark. Words are lower-cased runs without ASCII white space.
 
 Defined results: documents with no scored word (null, empty or blank texts) have 0 words and a null score; repeated
 ids are rows of their own; a word that only the document has counts as seen once; an empty table gives no rows.
@@ -14,39 +15,77 @@ ids are rows of their own; a word that only the document has counts as seen once
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.common import stored
+from quern.llm.common import map_slices, stored
 
 BACKOFF = 0.4
 START = "<s>"
 
 
+COUNTS = ("u", "v", "n", "n_u", "n_v")
+
+
+def _counted(row: np.ndarray, x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each pair the sum of n over the pairs of its row that have the same x."""
+    order = np.lexsort((x, row))
+    r, y = row[order], x[order]
+    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (y[1:] != y[:-1])]))
+    out = np.empty_like(n)
+    out[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(n))))
+    return out
+
+
 def grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row_id, doc_id, u, v (hashes of a word and the one before it) and n, one row for each distinct pair of a row."""
+    """A row a document: row_id, doc_id, n_words, and, an entry for each distinct pair of words that follow each other,
+    u and v (hashes), n, and how often the document has u before a word (n_u) and v (n_v). No shuffle."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    hashed = F.concat(F.array(F.xxhash64(F.lit(START))), F.transform(words, lambda w: F.xxhash64(w)))
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), hashed.alias("w"))
-    pairs = F.transform("w", lambda v, i: F.struct(F.when(i == 0, F.xxhash64(F.lit(START))).otherwise(F.get(F.col("w"), i - 1)).alias("u"), v.alias("v")))
-    return rows.select("row_id", "doc_id", F.explode(pairs).alias("g")).groupBy("row_id", "doc_id", "g.u", "g.v").agg(F.count("*").alias("n"))
+    kind = rows.schema["doc_id"].dataType
+    schema = pa.schema([("row_id", pa.int64()), ("doc_id", to_arrow_type(kind)), ("n_words", pa.int64()), *((c, pa.list_(pa.int64() if c in ("u", "v") else pa.int32())) for c in COUNTS)])
+
+    def make():
+        def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = batch.column("w")
+            w, sizes = found.flatten().to_numpy(), found.value_lengths().to_numpy() - 1
+            row = np.repeat(np.arange(len(sizes)), sizes + 1)
+            inner = row[1:] == row[:-1]  # no pair begins with a row's last word
+            u, v, row = w[:-1][inner], w[1:][inner], row[1:][inner]
+            order = np.lexsort((v, u, row))
+            u, v, row = u[order], v[order], row[order]
+            first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])])) if len(u) else np.empty(0, np.int64)
+            n = np.diff(np.append(first, len(u)))
+            u, v, row = u[first], v[first], row[first]
+            own = (n, n, n) if not len(n) else (n, _counted(row, u, n), _counted(row, v, n))
+            ends = pa.array(np.searchsorted(row, np.arange(len(sizes) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, f.type.value_type)) for x, f in zip((u, v, *own), list(schema)[3:], strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()), *lists], schema=schema)
+
+        return kernel
+
+    return map_slices(rows, schema, f"row_id long, doc_id {kind.simpleString()}, n_words long, u array<long>, v array<long>, n array<int>, n_u array<int>, n_v array<int>", make)
 
 
 def score(docs: DataFrame, backoff: float = BACKOFF, leave_out: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_score (sum of natural logs) and mean_log_score of each row."""
-    own = stored(grams(docs, id_col, text_col), "grams")
+    found = stored(grams(docs, id_col, text_col), "grams")
+    own = found.select("row_id", F.explode(F.arrays_zip(*COUNTS)).alias("g")).select("row_id", *(f"g.{c}" for c in COUNTS))
     pairs = own.groupBy("u", "v").agg(F.sum("n").alias("c_uv"))
     contexts = pairs.groupBy("u").agg(F.sum("c_uv").alias("c_u"))
     words = pairs.groupBy("v").agg(F.sum("c_uv").alias("c_v"))
-    total = pairs.agg(F.coalesce(F.sum("c_uv"), F.lit(0)).alias("total")).first()[0]
+    total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     table = pairs.join(contexts, "u").join(words, "v")
-    off = F.col("n") if leave_out else F.lit(0)
-    seen = F.col("c_uv") - off
-    # The context and the word lose what this pair of the document adds to them.
-    direct = F.try_divide(seen, F.greatest(F.col("c_u") - off, F.lit(1)))
-    lower = F.lit(backoff) * F.greatest(F.col("c_v") - off, F.lit(1)) / F.lit(float(max(total, 1)))
-    logs = own.join(table, ["u", "v"]).withColumn("s", F.col("n") * F.log(F.when(seen > 0, direct).otherwise(lower)))
-    sums = logs.groupBy("row_id", "doc_id").agg(F.sum("n").alias("n_words"), F.round(F.sum("s"), 6).alias("log_score"))
-    scored = sums.select("doc_id", "n_words", "log_score", F.round(F.col("log_score") / F.col("n_words"), 6).alias("mean_log_score"))
-    blank = docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("double").alias("log_score"), F.lit(None).cast("double").alias("mean_log_score"))
-    return scored.unionByName(blank)
+    n, n_u, n_v, n_all = (F.col(c) if leave_out else F.lit(0) for c in ("n", "n_u", "n_v", "n_words"))
+    seen = F.col("c_uv") - n
+    direct = F.try_divide(seen, F.greatest(F.col("c_u") - n_u, F.lit(1)))
+    lower = F.lit(backoff) * F.greatest(F.col("c_v") - n_v, F.lit(1))  # divided by the others' words below
+    logs = own.join(table, ["u", "v"]).select("row_id", (F.col("n") * F.log(F.when(seen > 0, direct).otherwise(lower))).alias("s"), F.when(seen > 0, 0).otherwise(F.col("n")).alias("backed"))
+    sums = logs.groupBy("row_id").agg(F.sum("s").alias("s"), F.sum("backed").alias("backed"))
+    others = F.greatest(F.lit(total) - n_all, F.lit(1))
+    scored = found.select("row_id", "doc_id", "n_words").join(sums, "row_id", "left").withColumn("log_score", F.round(F.col("s") - F.col("backed") * F.log(others), 6))
+    return scored.select("doc_id", "n_words", "log_score", F.round(F.try_divide("log_score", "n_words"), 6).alias("mean_log_score"))

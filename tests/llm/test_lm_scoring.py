@@ -34,3 +34,33 @@ def test_scores(spark, leave_out):
         r = got[i if i != 6 else None]
         assert r.n_words == n and (r.log_score is None if s is None else r.log_score == pytest.approx(s, abs=1e-5))
     assert lm_scoring.score(df.limit(0)).count() == 0
+
+
+def whole_left_out(texts):
+    """Scores of each text by the counts of all others."""
+    pairs = [Counter(zip(["\0s", *w], w, strict=False)) for w in ((t or "").lower().split() for t in texts)]
+    out = []
+    for i, p in enumerate(pairs):
+        total, context, word = Counter(), Counter(), Counter()
+        for j, q in enumerate(pairs):
+            for (u, v), n in q.items() if j != i else ():
+                total[u, v] += n
+                context[u] += n
+                word[v] += n
+        out.append((sum(p.values()), sum(n * math.log(total[u, v] / context[u] if total[u, v] else 0.4 * max(1, word[v]) / max(1, sum(word.values()))) for (u, v), n in p.items()) if p else None))
+    return out
+
+
+def test_a_document_is_scored_by_the_others_alone(spark):
+    own = " ".join(f"w{i} mine" for i in range(1000))  # a word of this document alone, after 1000 different words
+    texts = ["a b a b c", "a b", "A b c b a", None, "", " \n", "z", "z z z", own, "w1 w2 w3 a b", "a b"]
+    rows = [(i % 10, t) for i, t in enumerate(texts)]  # an id of two rows: the other row is not left out
+    got = sorted((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect() if r.n_words)
+    want = sorted((i % 10, n, s) for i, (n, s) in enumerate(whole_left_out(texts)) if n)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-5)
+
+
+def test_one_text_alone(spark):
+    r = lm_scoring.score(spark.createDataFrame([(1, "a a b")], "doc_id long, text string")).first()
+    assert (r.n_words, r.log_score) == (3, pytest.approx(3 * math.log(0.4), abs=1e-5))
