@@ -58,6 +58,8 @@ KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type"
 KNOWN_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
 KNOWN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: A capital that a mark may follow: NFC comes before lower-casing, and h, j, t, w and y compose where H, J, T, W and Y do not.
+COMPOSED = re.compile(rb"[A-Z][\x80-\xff]")
 #: Bytes that the byte-level alphabet does not show as themselves get the characters from 256 on, in order.
 SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
@@ -76,6 +78,8 @@ class WordEncoder:
         self.known = Memo(None, MEMO_WORDS)
         steps = json.loads(spec)
         known = {"type": "Sequence", "pretokenizers": [KNOWN_SPLIT, KNOWN_BYTES]}
+        #: Texts are lower-cased ahead, which spares the memo, only for the normalizer that would do so itself.
+        self.lowers = steps["normalizer"] == KNOWN_NORMALIZER
         #: Such words skip the tokenizer's other steps, which would leave them as they are.
         self.merges = self.tokenizer.model if steps["normalizer"] == KNOWN_NORMALIZER and steps["pre_tokenizer"] == known else None
         self.bar = self._ids_of(b"|")
@@ -113,9 +117,15 @@ class WordEncoder:
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         raw = (text or "").encode()
-        if b"<|" not in raw:  # else it may name a special token, which case matters for
-            raw = raw.lower()
-        words, get, out = raw.split(), self.known.get, []
+        words = None
+        if self.lowers and b"<|" not in raw:  # else it may name a special token, which case matters for
+            if COMPOSED.search(raw):
+                words = [w.lower() if w.isascii() else w for w in raw.split()]
+            else:
+                raw = raw.lower()
+        if words is None:
+            words = raw.split()
+        get, out = self.known.get, []
         for at in range(0, len(words), CHUNK_WORDS):
             some = words[at : at + CHUNK_WORDS]
             found = list(map(get, some))

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -50,6 +51,26 @@ def test_ids_of_letter_words(encoder, library):
         assert encoder.ids(text) == raw(library, text), text
 
 
+@pytest.mark.parametrize("text", ["H\u0331", "J\u030c", "T\u0308a W\u030a. Y\u030a, aH\u0331b", "The H\u0331amza OF Ibn J\u030cubayr, H. H\u0331.", "I\u0307 GR\u00d6SSE \u00c4rger A\u0308RGER"])
+def test_capitals_before_marks(encoder, library, text):
+    assert encoder.ids(text) == raw(library, text)
+
+
+def test_capitals_before_marks_at_random(encoder, library):
+    rng = random.Random(7)
+    letters = [*"HTWYJAIShtwyj ., ", *map(chr, (0x300, 0x301, 0x307, 0x308, 0x30A, 0x30C, 0x331)), "É", "Σ"]
+    for _ in range(5000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 20)))
+        assert encoder.ids(text) == raw(library, text), text
+
+
+def test_a_tokenizer_that_keeps_case(library):
+    spec = json.loads(library.to_str())
+    spec["normalizer"] = {"type": "NFC"}
+    kept = json.dumps(spec)
+    assert packing.WordEncoder(kept.encode()).ids("The Cat SAT.") == raw(Tokenizer.from_str(kept), "The Cat SAT.") != raw(library, "The Cat SAT.")
+
+
 def used(counts, capacity):
     """Checks a plan and gives the number of its sequences."""
     placements, n = packing.plan(counts, capacity)
