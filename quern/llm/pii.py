@@ -42,8 +42,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Words end at these.
 GAP = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
-#: Identifier-like: a phone, a card-like run of digits, or a word with a digit or @.
-INSTANCE = rf"{PHONE}|(?<![0-9])[0-9](?:[\x20-]?[0-9]){{12,18}}(?![0-9])|(?<!{WORD})[^\x20\x09-\x0D0-9@]*+[0-9@]{WORD}*+"
+#: What may stand between two groups of digits: one blank, dot or hyphen, with a bracket before or after; the first dot of an ip does not.
+JOIN = r"(?:\)[\x20-]?\(?|(?:[\x20-]|\.(?![0-9]++\.[0-9]++\.[0-9]))\(?|\()"
+#: 7 to 19 digits in such groups, with the marks around them, that neither more digits nor letters go on from.
+GROUPS = rf"(?<!{WORD})[^\x20\x09-\x0D0-9A-Za-z@+(]*+\(*+[0-9](?:{JOIN}?[0-9]){{6,18}}(?!{JOIN}?[0-9])[^\x20\x09-\x0D0-9A-Za-z@]*+(?!{WORD})"
+#: Identifier-like: a phone, a card-like run of digits, groups of digits, or a word with a digit or @.
+INSTANCE = rf"{PHONE}|(?<![0-9])[0-9](?:[\x20-]?[0-9]){{12,18}}(?![0-9])|{GROUPS}|(?<!{WORD})[^\x20\x09-\x0D0-9@]*+[0-9@]{WORD}*+"
 
 #: Folds go by so many items.
 STRETCH = 256

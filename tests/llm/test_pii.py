@@ -69,6 +69,33 @@ def test_confident_contexts_discover_unseen_identifiers(spark):
     assert added == {52: ["578-555-9999"], 55: ["(578)555-7777"]}
 
 
+def test_spaced_identifiers_are_discovered_and_redacted(spark):
+    luhn_ok = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "3000 0000 0000 04", "6011 0000 0000 0004", "2014 0000 0000 009", "3088 0000 0000 0009"]
+    seeds = [f"call line +1 (578) 555-{1000 + i} today" for i in range(40)] + [f"paid by {c} then" for c in luhn_ok]
+    unseen = {
+        "call line 0171 555 1234 today": ["0171 555 1234"],
+        "é call line (030) 123 4567, today": ["(030) 123 4567"],
+        "call line 030 123.45-67 today": ["030 123.45-67"],
+        "call line (030)123 4567 today and call line 0171 555 1235, today": ["(030)123 4567", "0171 555 1235"],
+        "paid by 1234 5678 9012 then": ["1234 5678 9012"],
+        "the 0171 555 1236 was": [],  # no confident context
+        "call line 12 34 56 today": [],  # too few digits
+        "call line " + "12 " * 20 + "today": [],  # too many
+        "call line 0171 555 12a today": [],
+        "call line 1 192.168.100.200 today": [],
+    }
+    rows = list(enumerate([*seeds, *unseen]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    base = {text: [f"{s}:{e}" for _, s, e in brute(text)] for _, text in rows}
+    got = {}
+    for r in pii.digests(pii.find(df)).collect():
+        text = rows[r.doc_id][1]
+        got[text] = [text[int(s) : int(e)] for _, s, e in (x.split(":") for x in r.spans.split(",") if x) if f"{s}:{e}" not in base[text]]
+    assert {t: sorted(got[t]) for t in unseen} == {t: sorted(w) for t, w in unseen.items()}
+    clean = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert [clean[i] for i, t in rows if t in list(unseen)[:5]] == ["call line <PHONE> today", "é call line <PHONE>, today", "call line <PHONE> today", "call line <PHONE> today and call line <PHONE>, today", "paid by <CARD> then"]
+
+
 def test_one_word_beside_most_identifiers_is_salted_and_complete(spark):
     rows = [(i, f"line +1 (578) 555-{1000 + i % 9000} end") for i in range(400)] + [(1000 + i, f"line 578-555-{1000 + i} end") for i in range(20)]
     found = pii.digests(pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)))
