@@ -5,6 +5,10 @@ in links, and pass them to their ancestors, the farther the less. The ancestor w
 discounted by its link density, is the main container; its siblings are kept too where they score well beside it or
 hold a real paragraph. Elements that never belong to an article (menus, page headers and footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are cut before scoring, by tag, role, or the words of class and id.
+Of what a role, a word or a form alone would cut, an element is spared, and what is within it judged anew, when it is
+round the article itself: when it holds more than two thirds of the page's points, the page's only main, or articles
+with more points than all that is left beside what is cut.
+Reader comments are spared only where no point is left beside what is cut. A spared form loses its controls.
 
 The text is the kept elements' blocks in page order. Inside a block white space becomes one space and ends are
 trimmed; blocks are joined by two line ends. Character references are decoded. Nothing else is dropped or capped.
@@ -32,7 +36,7 @@ BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-CUT = set("aside button canvas datalist dialog footer form head iframe input map menu nav noscript object option script select style svg template textarea title".split())
+CUT = set("aside button canvas datalist dialog footer head iframe input map menu nav noscript object option script select style svg template textarea title".split())
 PARAGRAPH = set("p pre blockquote td li dd h1 h2 h3 h4 h5 h6".split())
 ENDS_P = BLOCK - {"html", "body"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
@@ -52,21 +56,24 @@ CUT_WORDS = set(
     "disqus footer masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted recommended related remark replies respond "
     "share sharing shoutbox sidebar sidenav signup skyscraper social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+COMMENT_WORDS = set("comment comments commentlist disqus remark replies respond shoutbox".split())
 CUT_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 POINT_CHARS, MOST_LENGTH_POINTS = 100, 3.0
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
+SPARED_SHARE = 2 / 3
 REAL_CHARS, REAL_LINKS = 80, 0.25
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "score", "chars", "link_chars", "order")
+    __slots__ = ("tag", "parent", "children", "score", "chars", "link_chars", "order", "doubt")
 
     def __init__(self, tag: str, parent: Node | None, order: int):
         self.tag, self.parent, self.order = tag, parent, order
         self.children: list[Node | str] = []
         self.score, self.chars, self.link_chars = 0.0, 0, 0
+        self.doubt = ""  # why it may be cut: "named", "comments" or nothing
 
     @property
     def link_density(self) -> float:
@@ -74,7 +81,7 @@ class Node:
 
 
 class Tree(HTMLParser):
-    """The page's elements without those that are cut."""
+    """The page's elements without those that are cut for certain."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -98,6 +105,7 @@ class Tree(HTMLParser):
         if self._is_cut(tag, attrs):
             self.cut = len(self.stack) - 1
             return
+        node.doubt = self._doubt(tag, attrs)
         node.parent.children.append(node)
         self.nodes.append(node)
 
@@ -143,19 +151,23 @@ class Tree(HTMLParser):
             return True
         if tag == "header":  # an article's own header has its heading
             return not any(n.tag in ("article", "main") for n in self.stack[:-1])
+        return tag not in ("article", "main") and any(name == "hidden" for name, _ in attrs)
+
+    def _doubt(self, tag: str, attrs) -> str:
         if tag in ("article", "main"):
-            return False
+            return ""
         values = dict(attrs)
-        if "hidden" in values or (values.get("role") or "").lower() in CUT_ROLES:
-            return True
         named = f"{values.get('class') or ''} {values.get('id') or ''}"
         words = {w.lower() for w in (*WORD.findall(named), *re.findall("[A-Za-z]+", named))}
-        return not words.isdisjoint(CUT_WORDS)
+        if not words.isdisjoint(COMMENT_WORDS):
+            return "comments"
+        return "named" if tag == "form" or (values.get("role") or "").lower() in CUT_ROLES or not words.isdisjoint(CUT_WORDS) else ""
 
 
 def _measure(tree: Tree) -> None:
     """Text and link text below every element; later nodes are never ancestors of earlier ones."""
     for node in reversed(tree.nodes):
+        node.chars = node.link_chars = 0
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len(" ".join(child.split()))
@@ -179,14 +191,52 @@ def _direct_text(node: Node) -> str:
     return " ".join("".join(out).split())
 
 
+def _points(node: Node) -> float:
+    if node.tag not in PARAGRAPH and node.tag not in BLOCK:
+        return 0.0
+    text = _direct_text(node)
+    return (1 + text.count(",") + min(len(text) / POINT_CHARS, MOST_LENGTH_POINTS)) * (1 - node.link_density) if text else 0.0
+
+
+def _cut_doubtful(tree: Tree) -> None:
+    """Cut the elements in doubt but for those that are spared."""
+    if not any(n.doubt for n in tree.nodes):
+        return
+    within = [_points(n) for n in tree.nodes]  # below each element
+    named, mains = [0.0] * len(within), [0.0] * len(within)  # of these, in articles and mains, and in mains
+    clear = [not n.doubt for n in tree.nodes]  # nothing round it is in doubt
+    for n in tree.nodes[1:]:
+        clear[n.order] &= clear[n.parent.order]
+    left = sum(x for x, c in zip(within, clear, strict=True) if c)
+    for n in reversed(tree.nodes):
+        if n.tag in ("article", "main"):
+            named[n.order] = within[n.order]
+        if n.tag == "main":
+            mains[n.order] = within[n.order]
+        if n.parent is not None:
+            for sums in (within, named, mains):
+                sums[n.parent.order] += sums[n.order]
+    main_left = any(n.tag == "main" and clear[n.order] and within[n.order] for n in tree.nodes)
+
+    def spared(n: Node) -> bool:
+        if n.doubt == "comments" and left > 0:
+            return False
+        return within[n.order] > SPARED_SHARE * within[0] or named[n.order] > left or (mains[n.order] > 0 and not main_left)
+
+    kept = [True] * len(within)
+    for n in tree.nodes[1:]:
+        kept[n.order] = kept[n.parent.order] and (not n.doubt or spared(n))
+    for n in tree.nodes:
+        n.children = [c for c in n.children if isinstance(c, str) or c.order < 0 or kept[c.order]]
+    tree.nodes = [n for n in tree.nodes if kept[n.order]]
+    _measure(tree)
+
+
 def _score(tree: Tree) -> None:
     for node in tree.nodes:
-        if node.tag not in PARAGRAPH and node.tag not in BLOCK:
-            continue
-        text = _direct_text(node)
-        if not text:
+        points = _points(node)
+        if not points:
             continue
-        points = (1 + text.count(",") + min(len(text) / POINT_CHARS, MOST_LENGTH_POINTS)) * (1 - node.link_density)
         # A block with text of its own, paragraph or not, speaks for those around it; a bare one for itself too.
         above, depth = (node.parent, 1) if node.tag in PARAGRAPH else (node, 1)
         while above is not None and depth <= 5:
@@ -257,6 +307,7 @@ def extract(page: str | None) -> str:
     tree.feed(page)
     tree.close()
     _measure(tree)
+    _cut_doubtful(tree)
     _score(tree)
     return "\n\n".join(b for n in _kept(tree) for b in _blocks(n))
 

@@ -46,6 +46,40 @@ def test_what_is_not_the_article_goes(part, shape):
     assert got.endswith("\n\n".join([LONG.strip()] * 2 + ["short"]))
 
 
+SIDE = "<div class=sidebar><p>Other words, other words.</p></div>"
+
+
+@pytest.mark.parametrize("wrapper", ["<div class=has-sidebar>{}</div>", "<div class='with-sidebar'>{}</div>", "<section id=social-science>{}</section>", "<form action=x><input type=hidden name=state><select><option>No</select>{}<button>Go</button></form>", "<form><div class='page with-sidebar'>{}</div></form>", "<div role=dialog>{}</div>", "<div class='post comments-open'>{}</div>"])
+@pytest.mark.parametrize("body", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_wrappers_round_the_article_are_spared(wrapper, body):
+    text = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p><p>short</p>"
+    got = extract("<body><nav>Home</nav>" + wrapper.format(body.format(text) + SIDE) + "<footer><p>Other</p></footer></body>")
+    assert got == "\n\n".join(["T", LONG.strip(), LONG.strip(), "short"])
+
+
+def test_a_wrapper_is_spared_beside_a_teaser_article():
+    page = f"<article><p>Teaser, short.</p></article><div class=has-sidebar><article><p>{LONG}</p><p>{LONG}</p></article></div>"
+    assert LONG.strip() in extract(page)
+
+
+@pytest.mark.parametrize("shape", ["<article>{a}</article><div class=comments>{c}</div>", "<div>{a}</div><section class=comments>{c}</section>", "<main>{a}<div class=comments>{c}</div></main>"])
+@pytest.mark.parametrize("comment", ["<p>Other words, " + LONG + "</p>", "<article class=comment-body><p>Other words, " + LONG + "</p></article>"])
+def test_many_comments_stay_cut(shape, comment):
+    got = extract(shape.format(a=f"<p>{LONG}</p>", c=comment * 20))
+    assert got == LONG.strip()
+
+
+def test_related_articles_stay_cut():
+    related = "<div class=related>" + "<article><p>Other words, short.</p></article>" * 3 + "</div>"
+    for tag in ("article", "div"):
+        assert extract(f"<{tag}><p>{LONG}</p><p>{LONG}</p></{tag}>{related}") == "\n\n".join([LONG.strip()] * 2)
+
+
+def test_a_main_in_a_wrapper_is_spared_beside_much_text():
+    page = f"<div><p>{LONG}</p><p>{LONG}</p></div><form><main><p>Main, and short.</p></main></form>"
+    assert "Main, and short." in extract(page)
+
+
 def test_link_lists_do_not_win():
     links = "<div>" + "".join(f"<p><a href={i}>{LONG}</a></p>" for i in range(9)) + "</div>"
     assert extract(f"<body>{links}<div><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG.strip()}\n\n{LONG.strip()}"
