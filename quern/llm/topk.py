@@ -142,7 +142,8 @@ def best(queries: Side, block: Side, least: np.ndarray, k: int) -> tuple[np.ndar
         scores = np.concatenate([np.einsum("ij,ij->i", queries.exact[live[q[i : i + 65536]]], block.exact[c[i : i + 65536]]) for i in range(0, len(q), 65536)])
     else:
         full = queries.exact[live] @ block.exact.T
-        top = np.partition(full, -min(k + 1, full.shape[1]), axis=1)[:, -min(k + 1, full.shape[1])]  # one more: the query's own row
+        full[queries.ids[live, None] == block.ids] = -np.inf  # rows of the query's own id, however many
+        top = np.partition(full, -min(k, full.shape[1]), axis=1)[:, -min(k, full.shape[1])]
         q, c = np.nonzero(keep & (full >= top[:, None]))
         scores = full[q, c]
     q = live[q]
@@ -204,7 +205,7 @@ def search(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50, id
     left = candidates.withColumn("share", share).withColumn("q_block", F.explode(F.array(*(F.lit(b).cast("long") for b in q_blocks))))
     right = asked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     parts = max(1, min(shares * len(q_blocks), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    met = left.repartition(parts, "q_block", "share").join(right.repartition(parts, "q_block", "share"), ["q_block", "share"])
+    met = left.repartition(parts, "q_block", "share").join(right.repartition(parts, "q_block", "share"), ["q_block", "share"]).sortWithinPartitions("q_block", "share", "block")
 
     def scored(batches):
         queries, at, least = None, None, None

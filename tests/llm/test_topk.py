@@ -66,3 +66,13 @@ def test_pruning_drops_pairs_but_no_results():
     cut = sides[0].cuts[0]
     bound = sides[0].turned[:, :cut] @ sides[1].turned[:, :cut].T + np.outer(sides[0].rest[0], sides[1].rest[0])
     assert (bound >= least[:, None]).mean() < 0.5 and (bound >= full - 1e-6).all()
+
+
+def test_many_rows_of_a_querys_own_id_hide_no_candidates():
+    own = [[9 + i, 0] for i in range(8)]  # all better than the others
+    other = [[i, 1] for i in range(1, 8)]
+    matrix = np.array(own + other, np.int32)
+    ids = np.array([50] * 8 + list(range(1, 8)), np.int64)
+    block, query = topk.Side(ids.tobytes(), matrix.tobytes(), np.eye(2)), topk.Side(ids[:8].tobytes(), matrix[:8].tobytes(), np.eye(2))
+    q, c, _ = topk.best(query, block, np.full(8, -np.inf), 5)
+    assert all(ids[c[q == i]].tolist() == [7, 6, 5, 4, 3] for i in range(8))
