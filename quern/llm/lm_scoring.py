@@ -1,91 +1,332 @@
 """Language-model scores by stupid backoff, computed relationally.
 
-N-gram count tables of the whole corpus are partitioned by the n-gram's hash; the documents' n-grams, one row for each
-distinct one of a document, are joined to them and their log scores summed per document. A bigram scores
-count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words; with ``leave_out`` all counts of the document itself
-(of the pair, of each of its words and of all its words) are taken off first, so that every document is scored by the
-others and rare n-grams do back off.
+A bigram scores count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words. With ``leave_out`` all counts of the
+document itself (of the pair, of both words, of all its words) are taken off first, so every document is scored by the
+others and rare n-grams do back off. Words are lower-cased runs without ASCII white space; the first of a document
+follows a start mark.
 
-A document's own counts are summed within its task and stored as one row a document, so a frequent word is one row a
-document, and count tables are pre-aggregated by Spark. Words are lower-cased runs without ASCII white space.
+The documents' n-grams are exploded, one row for each distinct pair of a document, and meet their counts in two ways:
+
+1. Frequent words and pairs have count tables of at most ``most_words`` and ``most_pairs`` entries, counted over all
+   documents and broadcast. Which they are is found from the most frequent n-grams of each block of a task's tokens: one
+   that no block names has less than a ``BLOCK_TOP``-th of every block's tokens. The choice bears on cost alone.
+2. Every other pair's row goes to the partition of a hash: of the pair, or of its rarer kind of word where a word has
+   no broadcast count. There the pair's count, and that of such a word, is the sum over all rows of the n-gram, joined
+   to each of them in the same sorted pass (a window), so rows are shuffled once and no key is frequent.
+
+A row's part of the score is summed per document as whole billionths, so the sum does not depend on the order of rows.
+Nothing but the two bounded tables comes to the driver, and nothing is stored between the passes: n-grams are cheaper to
+make again from the texts than to write.
 
 Defined results: documents with no scored word (null, empty or blank texts) have 0 words and a null score; repeated
-ids are rows of their own; a word that only the document has counts as seen once; an empty table gives no rows.
+ids are rows of their own, scored by each other; equal texts have equal scores; a word that only the document has
+counts as seen once; texts of any length are scored whole, and a step of a task holds one text or ``STEP_TOKENS``
+tokens; extra columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.common import map_slices, stored
+from quern.llm.common import return_memory
 
-BACKOFF = 0.4
 START = "<s>"
+#: Tokens that a task counts at once when it looks for frequent n-grams, and the n-grams of a block that it names.
+BLOCK_TOKENS, BLOCK_TOP = 1 << 22, 1 << 16
+#: Tokens whose n-grams a task makes at once.
+STEP_TOKENS = 1 << 18
+#: Scores are summed in billionths.
+UNIT = 1e9
+
+WORDS, CONTEXTS, PAIRS, TOTAL = range(4)
+#: What the key of an exploded row is: the pair; a context word; a last word, whose context's count is known or not; nothing.
+PAIR, CONTEXT, LAST, LAST_OF_BOTH, DOCUMENT = range(5)
+
+
+@dataclass(frozen=True)
+class Params:
+    backoff: float = 0.4
+    leave_out: bool = True
+    most_words: int = 1 << 17
+    most_pairs: int = 1 << 17
+
 
+@dataclass(frozen=True)
+class Counts:
+    """Sorted hashes of the frequent words and pairs, their counts over all documents, and the number of all words."""
 
-COUNTS = ("u", "v", "n", "n_u", "n_v")
+    words: np.ndarray
+    as_last: np.ndarray
+    as_context: np.ndarray
+    pairs: np.ndarray
+    of_pair: np.ndarray
+    total: int
 
 
-def _counted(row: np.ndarray, x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """For each pair the sum of n over the pairs of its row that have the same x."""
-    order = np.lexsort((x, row))
-    r, y = row[order], x[order]
-    first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (y[1:] != y[:-1])]))
-    out = np.empty_like(n)
-    out[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(n))))
-    return out
+def _mixed(u: np.ndarray, v: np.ndarray | int) -> np.ndarray:
+    """A 64-bit hash of two."""
+    x = u.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (v.view(np.uint64) if isinstance(v, np.ndarray) else np.uint64(v))
+    for by in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        x ^= x >> np.uint64(31)
+        x *= np.uint64(by)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row a document: row_id, doc_id, n_words, and, an entry for each distinct pair of words that follow each other,
-    u and v (hashes), n, and how often the document has u before a word (n_u) and v (n_v). No shuffle."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def _start(docs: DataFrame) -> int:
+    return docs.sparkSession.range(1).select(F.xxhash64(F.lit(START))).first()[0]
+
+
+def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """row_id, doc_id and w, the hashes of the row's words after the start mark's."""
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     hashed = F.concat(F.array(F.xxhash64(F.lit(START))), F.transform(words, lambda w: F.xxhash64(w)))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"), hashed.alias("w"))
-    kind = rows.schema["doc_id"].dataType
-    schema = pa.schema([("row_id", pa.int64()), ("doc_id", to_arrow_type(kind)), ("n_words", pa.int64()), *((c, pa.list_(pa.int64() if c in ("u", "v") else pa.int32())) for c in COUNTS)])
+    return docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{id_col}`").alias("doc_id"), hashed.alias("w"))
+
 
-    def make():
-        def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _pairs(w: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of rows of the given sizes that have a next one in their row, and their places."""
+    at = np.ones(len(w), bool)
+    at[np.cumsum(sizes) - 1] = False
+    at = np.flatnonzero(at)
+    return w[at], at
+
+
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each batch with its tokens and the numbers of them by row."""
+    for batch in batches:
+        if batch.num_rows:
             found = batch.column("w")
-            w, sizes = found.flatten().to_numpy(), found.value_lengths().to_numpy() - 1
-            row = np.repeat(np.arange(len(sizes)), sizes + 1)
-            inner = row[1:] == row[:-1]  # no pair begins with a row's last word
-            u, v, row = w[:-1][inner], w[1:][inner], row[1:][inner]
-            order = np.lexsort((v, u, row))
-            u, v, row = u[order], v[order], row[order]
-            first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])])) if len(u) else np.empty(0, np.int64)
-            n = np.diff(np.append(first, len(u)))
-            u, v, row = u[first], v[first], row[first]
-            own = (n, n, n) if not len(n) else (n, _counted(row, u, n), _counted(row, v, n))
-            ends = pa.array(np.searchsorted(row, np.arange(len(sizes) + 1)), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x, f.type.value_type)) for x, f in zip((u, v, *own), list(schema)[3:], strict=True)]
-            return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()), *lists], schema=schema)
-
-        return kernel
-
-    return map_slices(rows, schema, f"row_id long, doc_id {kind.simpleString()}, n_words long, u array<long>, v array<long>, n array<int>, n_u array<int>, n_v array<int>", make)
-
-
-def score(docs: DataFrame, backoff: float = BACKOFF, leave_out: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            yield batch, found.flatten().to_numpy(), found.value_lengths().to_numpy().astype(np.int64)
+        pa.default_memory_pool().release_unused()
+
+
+def _most(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent values of a block, seen twice at least, and their counts."""
+    values, n = np.unique(x, return_counts=True)
+    least = 2
+    if np.count_nonzero(n >= least) > BLOCK_TOP:
+        least = int(np.partition(n, -BLOCK_TOP)[-BLOCK_TOP]) + 1
+    return values[n >= least], n[n >= least]
+
+
+_COUNTED = "kind int, x long, n long"
+_COUNTED_SCHEMA = pa.schema([("kind", pa.int32()), ("x", pa.int64()), ("n", pa.int64())])
+
+
+def _counted(kind: int, x: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(n, pa.int64())], schema=_COUNTED_SCHEMA)
+
+
+def _candidates(rows: DataFrame, params: Params) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the words and pairs to count first, and the number of all words."""
+
+    def run(batches):
+        held, n_held, total = [], 0, 0
+
+        def named():
+            w, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+            u, at = _pairs(w, sizes)
+            yield _counted(WORDS, *_most(w))
+            yield _counted(PAIRS, *_most(_mixed(u, w[at + 1])))
+
+        for _, w, sizes in _batches(batches):
+            total += len(w) - len(sizes)
+            held.append((w, sizes))
+            n_held += len(w)
+            if n_held >= BLOCK_TOKENS:
+                yield from named()
+                held, n_held = [], 0
+        if held:
+            yield from named()
+        yield _counted(TOTAL, np.zeros(1, np.int64), np.array([total]))
+        held.clear()
+        return_memory()
+
+    # Counts are kept as eighths of a power of two: at most some 500 rows tell how many n-grams have how large a one.
+    size = F.floor(F.log2("n") * 8).cast("int")
+    found = rows.select("w").mapInArrow(run, _COUNTED).groupBy("kind", "x").agg(F.sum("n").alias("n")).withColumn("size", size).persist()
+    try:
+        sizes = found.groupBy("kind", "size").agg(F.count("*").alias("many"), F.sum("n").alias("n")).collect()
+
+        def least(kind: int, most: int) -> int:
+            """The least size that no more than ``most`` n-grams have."""
+            out = 1 << 16
+            for r in sorted((r for r in sizes if r["kind"] == kind), key=lambda r: -r["size"]):
+                most -= r["many"]
+                if most < 0:
+                    break
+                out = r["size"]
+            return out
+
+        wanted = (F.col("kind") == WORDS) & (F.col("size") >= least(WORDS, params.most_words)) | (F.col("kind") == PAIRS) & (F.col("size") >= least(PAIRS, params.most_pairs))
+        got = found.where(wanted).select("kind", "x").toArrow()
+    finally:
+        found.unpersist()
+    kind, x = (got.column(c).to_numpy() for c in ("kind", "x"))
+    return np.sort(x[kind == WORDS]), np.sort(x[kind == PAIRS]), sum(r["n"] for r in sizes if r["kind"] == TOTAL)
+
+
+def _found(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of x in a sorted table, and which of them are in it."""
+    at = np.minimum(np.searchsorted(table, x), max(0, len(table) - 1))
+    return at, table[at] == x if len(table) else np.zeros(len(x), bool)
+
+
+def count(rows: DataFrame, params: Params) -> Counts:
+    """The counts of the frequent n-grams over all documents."""
+    words, pairs, total = _candidates(rows, params)
+    words = np.union1d(words, np.array([_start(rows)]))
+    spark = rows.sparkSession
+    shipped = spark.sparkContext.broadcast((words, pairs))
+
+    def run(batches):
+        words, pairs = shipped.value
+        sums = {WORDS: np.zeros(len(words), np.int64), CONTEXTS: np.zeros(len(words), np.int64), PAIRS: np.zeros(len(pairs), np.int64)}
+
+        def add(kind: int, table: np.ndarray, x: np.ndarray) -> None:
+            at, known = _found(table, x)
+            sums[kind] += np.bincount(at[known], minlength=len(table))
+
+        for _, w, sizes in _batches(batches):
+            ends = np.cumsum(sizes)
+            for a, b in _steps(sizes):
+                part, n = w[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b]
+                u, at = _pairs(part, n)
+                v = part[at + 1]
+                add(WORDS, words, v)
+                add(CONTEXTS, words, u)
+                add(PAIRS, pairs, _mixed(u, v))
+        for kind, n in sums.items():
+            at = np.flatnonzero(n)
+            yield _counted(kind, at, n[at])
+        return_memory()
+
+    got = rows.select("w").mapInArrow(run, _COUNTED).groupBy("kind", "x").agg(F.sum("n").alias("n")).toArrow()
+    shipped.destroy()
+    kind, x, n = (got.column(c).to_numpy() for c in ("kind", "x", "n"))
+
+    def of(wanted: int, size: int) -> np.ndarray:
+        out = np.zeros(size, np.int64)
+        out[x[kind == wanted]] = n[kind == wanted]
+        return out
+
+    return Counts(words, of(WORDS, len(words)), of(CONTEXTS, len(words)), pairs, of(PAIRS, len(pairs)), int(total))
+
+
+def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with no more than STEP_TOKENS tokens together, or of one row."""
+    a, n = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > a and n + size > STEP_TOKENS:
+            yield a, i
+            a, n = i, 0
+        n += size
+    if len(sizes) > a:
+        yield a, len(sizes)
+
+
+def _exploded(w: np.ndarray, sizes: np.ndarray, counts: Counts, params: Params) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The rows to be joined to counts, with ``row`` as the number of the document, and what documents score without them.
+
+    A row's value is n * (log of the others' count of the pair), less the log of a context that is its key, where others
+    have the pair, else n * at_most, and the log of a last word that is its key; ``base`` holds the contexts known here.
+    """
+    own = 1 if params.leave_out else 0
+    distinct, code = np.unique(w, return_inverse=True)
+    many = len(distinct)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, at = _pairs(w, sizes)
+    pairs, n = np.unique((row[at] * many + code[at]) * many + code[at + 1], return_counts=True)
+    r, u, v = pairs // many // many, pairs // many % many, pairs % many
+    if not len(pairs):
+        return {c: np.empty(0, np.int64) for c in ("key", "other", "row", "kind", "n", "own", "at_most")}, np.zeros(len(sizes))
+    # The document's own counts: of contexts, in runs, and of last words.
+    first = np.flatnonzero(np.concatenate([[True], pairs[1:] // many != pairs[:-1] // many]))
+    n_u = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(n))))
+    _, inverse = np.unique(r * many + v, return_inverse=True)
+    n_v = np.bincount(inverse, n).astype(np.int64)[inverse]
+    place, known = _found(counts.words, distinct)
+    known_u, known_v = known[u], known[v]
+    with np.errstate(divide="ignore"):
+        context = np.log(np.maximum(counts.as_context[place[u]] - own * n_u, 1))
+        last = np.log(np.maximum(counts.as_last[place[v]] - own * n_v, 1))
+    lower = math.log(params.backoff) - np.log(np.maximum(counts.total - own * (sizes - 1), 1))[r]
+    hashed = _mixed(distinct[u], distinct[v])
+    in_table, frequent = _found(counts.pairs, hashed)
+    frequent &= known_u & known_v
+    base = np.where(known_u, -n * context, 0.0)
+    if frequent.any():
+        seen = counts.of_pair[in_table[frequent]] - own * n[frequent]
+        base[frequent] += n[frequent] * np.where(seen > 0, np.log(np.maximum(seen, 1)), (context + last + lower)[frequent])
+    rows = []
+
+    def put(where: np.ndarray, key: np.ndarray, other: np.ndarray, kind: int, n_own: np.ndarray, at_most: np.ndarray) -> None:
+        rows.append((key, other, r[where], np.full(len(key), kind), n[where], n_own, np.rint(at_most[where] * UNIT).astype(np.int64)))
+
+    plain = known_u & known_v & ~frequent
+    none = np.zeros(np.count_nonzero(plain), np.int64)
+    put(plain, hashed[plain], none, PAIR, none, context + last + lower)
+    rare = ~known_u
+    put(rare, _mixed(distinct[u[rare]], CONTEXT), distinct[v[rare]], CONTEXT, n_u[rare], np.where(known_v, last + lower, 0.0))
+    rare = known_u & ~known_v
+    put(rare, _mixed(distinct[v[rare]], LAST), distinct[u[rare]], LAST, n_v[rare], context + lower)
+    rare = ~known_u & ~known_v
+    put(rare, _mixed(distinct[v[rare]], LAST), distinct[u[rare]], LAST_OF_BOTH, n_v[rare], lower)
+    columns = dict(zip(("key", "other", "row", "kind", "n", "own", "at_most"), map(np.concatenate, zip(*rows, strict=True)), strict=True))
+    order = np.argsort(columns["row"], kind="stable")
+    return {k: x[order] for k, x in columns.items()}, np.bincount(r, base, len(sizes))
+
+
+def grams(rows: DataFrame, counts: Counts, params: Params) -> DataFrame:
+    """The exploded n-grams that need counts, and a row for each document with what it scores without them."""
+    kind_of_id = rows.schema["doc_id"].dataType
+    fields = [("row_id", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("own", pa.int64()), ("other", pa.int64()), ("key", pa.int64()), ("at_most", pa.int64()), ("doc_id", to_arrow_type(kind_of_id))]
+    schema = pa.schema(fields)
+    shipped = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches):
+        counts = shipped.value
+        for batch, w, sizes in _batches(batches):
+            ends, ids = np.cumsum(sizes), batch.column("row_id").to_numpy()
+            for a, b in _steps(sizes):
+                x, base = _exploded(w[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b], counts, params)
+                x["row_id"] = ids[a:b][x["row"]]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(x["key"]), t) if c == "doc_id" else pa.array(x[c], t) for c, t in fields], schema=schema)
+                none, own_id = np.zeros(b - a, np.int64), ids[a:b].astype(np.int64)
+                made = {"row_id": own_id, "kind": none + DOCUMENT, "n": none, "own": sizes[a:b] - 1, "other": none, "key": _mixed(own_id, DOCUMENT), "at_most": np.rint(base * UNIT).astype(np.int64)}
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a) if c == "doc_id" else pa.array(made[c], t) for c, t in fields], schema=schema)
+        return_memory()
+
+    return rows.mapInArrow(run, f"row_id long, kind int, n long, own long, other long, key long, at_most long, doc_id {kind_of_id.simpleString()}")
+
+
+def _value(params: Params) -> Column:
+    """A row's part of its document's score, in billionths."""
+    n, at_most, kind = F.col("n"), F.col("at_most"), F.col("kind")
+    off = F.lit(1 if params.leave_out else 0)
+    seen = F.sum("n").over(Window.partitionBy("key", "other")) - off * n
+    log_key = F.log(F.greatest(F.sum("n").over(Window.partitionBy("key")) - off * F.col("own"), F.lit(1)))
+    pair = F.log(F.greatest(seen, F.lit(1)))
+    when_seen = F.when(kind == CONTEXT, pair - log_key).when(kind == LAST_OF_BOTH, F.lit(0.0)).otherwise(pair)
+    # Of a pair of two rare words the context's row stands for the pair that others have, the last word's row for the other case.
+    unseen = at_most + F.when((kind == LAST) | (kind == LAST_OF_BOTH), F.round(log_key * UNIT)).otherwise(F.lit(0.0))
+    value = F.when(seen > 0, F.round(n * when_seen * UNIT)).otherwise(n * unseen)
+    return F.when(kind == DOCUMENT, at_most).otherwise(value.cast("long"))
+
+
+def score(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, log_score (sum of natural logs) and mean_log_score of each row."""
-    found = stored(grams(docs, id_col, text_col), "grams")
-    own = found.select("row_id", F.explode(F.arrays_zip(*COUNTS)).alias("g")).select("row_id", *(f"g.{c}" for c in COUNTS))
-    pairs = own.groupBy("u", "v").agg(F.sum("n").alias("c_uv"))
-    contexts = pairs.groupBy("u").agg(F.sum("c_uv").alias("c_u"))
-    words = pairs.groupBy("v").agg(F.sum("c_uv").alias("c_v"))
-    total = found.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    table = pairs.join(contexts, "u").join(words, "v")
-    n, n_u, n_v, n_all = (F.col(c) if leave_out else F.lit(0) for c in ("n", "n_u", "n_v", "n_words"))
-    seen = F.col("c_uv") - n
-    direct = F.try_divide(seen, F.greatest(F.col("c_u") - n_u, F.lit(1)))
-    lower = F.lit(backoff) * F.greatest(F.col("c_v") - n_v, F.lit(1))  # divided by the others' words below
-    logs = own.join(table, ["u", "v"]).select("row_id", (F.col("n") * F.log(F.when(seen > 0, direct).otherwise(lower))).alias("s"), F.when(seen > 0, 0).otherwise(F.col("n")).alias("backed"))
-    sums = logs.groupBy("row_id").agg(F.sum("s").alias("s"), F.sum("backed").alias("backed"))
-    others = F.greatest(F.lit(total) - n_all, F.lit(1))
-    scored = found.select("row_id", "doc_id", "n_words").join(sums, "row_id", "left").withColumn("log_score", F.round(F.col("s") - F.col("backed") * F.log(others), 6))
-    return scored.select("doc_id", "n_words", "log_score", F.round(F.try_divide("log_score", "n_words"), 6).alias("mean_log_score"))
+    rows = _tokens(docs, id_col, text_col)
+    joined = grams(rows, count(rows, params), params).select("row_id", "kind", "own", "doc_id", _value(params).alias("value"))
+    own = F.when(F.col("kind") == DOCUMENT, F.col("own"))
+    sums = joined.groupBy("row_id").agg(F.sum("value").alias("value"), F.max(own).alias("n_words"), F.first("doc_id", ignorenulls=True).alias("doc_id"))
+    log_score = F.when(F.col("n_words") > 0, F.round(F.col("value") / UNIT, 6))
+    return sums.select("doc_id", "n_words", log_score.alias("log_score"), F.round(F.try_divide(log_score, F.col("n_words")), 6).alias("mean_log_score"))

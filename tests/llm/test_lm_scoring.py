@@ -1,64 +1,84 @@
 import math
+import re
 from collections import Counter
 
 import pytest
 
 from quern.llm import lm_scoring
+from quern.llm.lm_scoring import Params
+
+#: All counts broadcast, some of each kind, and none: what is frequent must not change a score.
+TABLES = [Params(), Params(most_words=3, most_pairs=2), Params(most_words=0, most_pairs=0), Params(most_words=40, most_pairs=0)]
 
 
 def brute(texts, leave_out):
-    pairs = [Counter(zip(["\0s", *w], w, strict=False)) for w in ((t or "").lower().split() for t in texts)]
+    """Scores of each text by the counts of all others, or of all."""
+    pairs = [Counter(zip(["\0s", *w], w, strict=False)) for w in (re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for t in texts)]
     total, context, word = Counter(), Counter(), Counter()
     for p in pairs:
         for (u, v), n in p.items():
             total[u, v] += n
             context[u] += n
             word[v] += n
+    everything = sum(word.values())
     out = []
     for p in pairs:
-        s = 0.0
+        own_u, own_v, s = Counter(), Counter(), 0.0
+        for (u, v), n in p.items() if leave_out else ():
+            own_u[u] += n
+            own_v[v] += n
+        others = everything - sum(own_v.values())
         for (u, v), n in p.items():
-            off = n if leave_out else 0
-            seen = total[u, v] - off
-            s += n * math.log(seen / max(1, context[u] - off) if seen > 0 else 0.4 * max(1, word[v] - off) / sum(word.values()))
+            seen = total[u, v] - (n if leave_out else 0)
+            s += n * math.log(seen / (context[u] - own_u[u]) if seen else 0.4 * max(1, word[v] - own_v[v]) / max(1, others))
         out.append((sum(p.values()), s if p else None))
     return out
 
 
-@pytest.mark.parametrize("leave_out", [True, False])
-def test_scores(spark, leave_out):
-    texts = ["a b a b c", "a b", "A b c", None, "", " \n", "z", "z z z", "the only one"]
-    df = spark.createDataFrame([(i if i != 6 else None, t, i) for i, t in enumerate(texts)], "doc_id long, text string, n long")
-    got = {r.doc_id: r for r in lm_scoring.score(df, leave_out=leave_out).collect()}
-    for i, (n, s) in enumerate(brute(texts, leave_out)):
-        r = got[i if i != 6 else None]
-        assert r.n_words == n and (r.log_score is None if s is None else r.log_score == pytest.approx(s, abs=1e-5))
-    assert lm_scoring.score(df.limit(0)).count() == 0
+def same(got, want):
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] is None for g in got] == [w[2] is None for w in want]
+    assert [g[2] for g in got if g[2] is not None] == pytest.approx([w[2] for w in want if w[2] is not None], abs=1e-5)
 
 
-def whole_left_out(texts):
-    """Scores of each text by the counts of all others."""
-    pairs = [Counter(zip(["\0s", *w], w, strict=False)) for w in ((t or "").lower().split() for t in texts)]
-    out = []
-    for i, p in enumerate(pairs):
-        total, context, word = Counter(), Counter(), Counter()
-        for j, q in enumerate(pairs):
-            for (u, v), n in q.items() if j != i else ():
-                total[u, v] += n
-                context[u] += n
-                word[v] += n
-        out.append((sum(p.values()), sum(n * math.log(total[u, v] / context[u] if total[u, v] else 0.4 * max(1, word[v]) / max(1, sum(word.values()))) for (u, v), n in p.items()) if p else None))
-    return out
+@pytest.mark.parametrize("leave_out", [True, False])
+@pytest.mark.parametrize("tables", TABLES)
+def test_scores(spark, leave_out, tables):
+    params = Params(leave_out=leave_out, most_words=tables.most_words, most_pairs=tables.most_pairs)
+    texts = ["a b a b c", "a b", "A b c", None, "", " \n", "z", "z z z", "the only one"]
+    df = spark.createDataFrame([(i if i != 6 else None, t, i, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, n long, key long, w long")
+    got = {r.doc_id: r for r in lm_scoring.score(df, params).collect()}
+    same([(i, got[i if i != 6 else None].n_words, got[i if i != 6 else None].log_score) for i in range(len(texts))], [(i, *x) for i, x in enumerate(brute(texts, leave_out))])
+    assert lm_scoring.score(df.limit(0), params).count() == 0
 
 
-def test_a_document_is_scored_by_the_others_alone(spark):
+@pytest.mark.parametrize("tables", TABLES)
+def test_a_document_is_scored_by_the_others_alone(spark, tables):
     own = " ".join(f"w{i} mine" for i in range(1000))  # a word of this document alone, after 1000 different words
     texts = ["a b a b c", "a b", "A b c b a", None, "", " \n", "z", "z z z", own, "w1 w2 w3 a b", "a b"]
     rows = [(i % 10, t) for i, t in enumerate(texts)]  # an id of two rows: the other row is not left out
-    got = sorted((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect() if r.n_words)
-    want = sorted((i % 10, n, s) for i, (n, s) in enumerate(whole_left_out(texts)) if n)
-    assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-5)
+    got = sorted((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), tables).collect() if r.n_words)
+    same(got, sorted((i % 10, n, s) for i, (n, s) in enumerate(brute(texts, True)) if n))
+
+
+@pytest.mark.parametrize("tables", [Params(), Params(most_words=500, most_pairs=300)])
+def test_whole_table(spark, sf_dir, tables):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    want = sorted((r.doc_id, *x) for r, x in zip(rows, brute([r.text for r in rows], True), strict=True))
+    same(sorted((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score(docs, tables).collect()), want)
+
+
+def test_a_long_text_is_a_step_of_its_own(spark):
+    texts = [" ".join(f"x{i % 9973}" for i in range(lm_scoring.STEP_TOKENS + 1)), "x1 x2 x3", "x96 x0 y"]
+    got = sorted((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect())
+    same(got, [(i, *x) for i, x in enumerate(brute(texts, True))])
+
+
+def test_ids_keep_their_type_and_repeats_are_rows(spark):
+    got = lm_scoring.score(spark.createDataFrame([("x", "a b"), ("x", "a b"), ("y", "b")], "doc_id string, text string"))
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    assert sorted(r.doc_id for r in got.collect()) == ["x", "x", "y"]
 
 
 def test_one_text_alone(spark):
