@@ -1,332 +1,303 @@
-"""Language-model scores by stupid backoff, computed relationally.
-
-A bigram scores count(u v) / count(u), or, unseen, ``backoff`` * count(v) / words. With ``leave_out`` all counts of the
-document itself (of the pair, of both words, of all its words) are taken off first, so every document is scored by the
-others and rare n-grams do back off. Words are lower-cased runs without ASCII white space; the first of a document
-follows a start mark.
-
-The documents' n-grams are exploded, one row for each distinct pair of a document, and meet their counts in two ways:
-
-1. Frequent words and pairs have count tables of at most ``most_words`` and ``most_pairs`` entries, counted over all
-   documents and broadcast. Which they are is found from the most frequent n-grams of each block of a task's tokens: one
-   that no block names has less than a ``BLOCK_TOP``-th of every block's tokens. The choice bears on cost alone.
-2. Every other pair's row goes to the partition of a hash: of the pair, or of its rarer kind of word where a word has
-   no broadcast count. There the pair's count, and that of such a word, is the sum over all rows of the n-gram, joined
-   to each of them in the same sorted pass (a window), so rows are shuffled once and no key is frequent.
-
-A row's part of the score is summed per document as whole billionths, so the sum does not depend on the order of rows.
-Nothing but the two bounded tables comes to the driver, and nothing is stored between the passes: n-grams are cheaper to
-make again from the texts than to write.
-
-Defined results: documents with no scored word (null, empty or blank texts) have 0 words and a null score; repeated
-ids are rows of their own, scored by each other; equal texts have equal scores; a word that only the document has
-counts as seen once; texts of any length are scored whole, and a step of a task holds one text or ``STEP_TOKENS``
-tokens; extra columns are ignored, whatever their names; an empty table gives no rows.
+"""Language-model scores by stupid backoff, computed relationally over n-gram count tables partitioned by hash.
+
+An n-gram of ``order`` words scores count(n-gram) / count(its context), or, where the corpus has none, ``backoff`` times
+the score of the n-gram one word shorter; a single word scores count(word) / words. With ``leave_out`` all counts of the
+document itself are taken off first, so every document is scored by the others and rare n-grams do back off. Words are
+lower-cased runs without ASCII white space; the first of a document follows a start mark.
+
+1. Explode: a task cuts its documents into blocks and counts the n-grams of each block, so a frequent n-gram is one
+   entry a block and no hot key. Entries, sorted by a 64-bit hash, go to the partitions of the count table by the
+   leading bits of the hash.
+2. Join: a partition of the count table adds up each n-gram's entries and gives every entry the count of the other
+   blocks, in the order in which the block sent them.
+3. Sum: a block's answers and its texts meet again; each word of a document is scored and the logs are summed.
+
+Entries travel packed: sorted hashes as differences, counts as bytes, both compressed, so an entry takes some six bytes,
+and texts go along compressed. Nothing comes to the driver but the number of the texts' bytes, which sets the number of
+partitions; memory is bounded by a block (``block_bytes``, or one text) and by a partition of the table.
+
+Defined results: documents with no word (null, empty or blank texts) have 0 words and a null score; repeated ids are
+rows of their own, scored by each other; equal texts have equal scores; a word that only the document has counts as
+seen once; texts of any length are scored whole, a longer one than a block as a block; extra columns are ignored,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+import struct
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.common import return_memory
 
-START = "<s>"
-#: Tokens that a task counts at once when it looks for frequent n-grams, and the n-grams of a block that it names.
-BLOCK_TOKENS, BLOCK_TOP = 1 << 22, 1 << 16
-#: Tokens whose n-grams a task makes at once.
-STEP_TOKENS = 1 << 18
-#: Scores are summed in billionths.
-UNIT = 1e9
-
-WORDS, CONTEXTS, PAIRS, TOTAL = range(4)
-#: What the key of an exploded row is: the pair; a context word; a last word, whose context's count is known or not; nothing.
-PAIR, CONTEXT, LAST, LAST_OF_BOTH, DOCUMENT = range(5)
+#: No word, as it holds a blank.
+START = b" start"
+#: Bytes of text whose n-grams a partition of the count table holds, about.
+TABLE_BYTES = 1 << 25
+#: Words that are scored at once.
+STEP_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
 class Params:
+    order: int = 2
     backoff: float = 0.4
     leave_out: bool = True
-    most_words: int = 1 << 17
-    most_pairs: int = 1 << 17
-
-
-@dataclass(frozen=True)
-class Counts:
-    """Sorted hashes of the frequent words and pairs, their counts over all documents, and the number of all words."""
+    block_bytes: int = 1 << 24
 
-    words: np.ndarray
-    as_last: np.ndarray
-    as_context: np.ndarray
-    pairs: np.ndarray
-    of_pair: np.ndarray
-    total: int
 
-
-def _mixed(u: np.ndarray, v: np.ndarray | int) -> np.ndarray:
+def _mixed(u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """A 64-bit hash of two."""
-    x = u.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (v.view(np.uint64) if isinstance(v, np.ndarray) else np.uint64(v))
+    x = u * np.uint64(0x9E3779B97F4A7C15) + v
     for by in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
         x ^= x >> np.uint64(31)
         x *= np.uint64(by)
-    return (x ^ (x >> np.uint64(31))).view(np.int64)
-
-
-def _start(docs: DataFrame) -> int:
-    return docs.sparkSession.range(1).select(F.xxhash64(F.lit(START))).first()[0]
-
-
-def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row_id, doc_id and w, the hashes of the row's words after the start mark's."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = F.concat(F.array(F.xxhash64(F.lit(START))), F.transform(words, lambda w: F.xxhash64(w)))
-    return docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{id_col}`").alias("doc_id"), hashed.alias("w"))
-
+    return x ^ (x >> np.uint64(31))
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8).T
+    used = max((i + 1 for i in range(8) if planes[i].any()), default=0)
+    return struct.pack("<QB", len(x), used) + pa.Codec("zstd", 1).compress(planes[:used].tobytes(), asbytes=True)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    n, used = struct.unpack_from("<QB", raw)
+    out = np.zeros((n, 8), np.uint8)
+    if n and used:
+        out[:, :used] = np.frombuffer(pa.Codec("zstd", 1).decompress(raw[9:], n * used, asbytes=True), np.uint8).reshape(used, n).T
+    return out.view("<u8").reshape(-1)
+
+
+class Level:
+    """The distinct n-grams of one length in a block: hashes, counts, and how often a word follows them."""
+
+    def __init__(self, hashes: np.ndarray, ids: np.ndarray, followed: np.ndarray):
+        self.hashes, self.ids = hashes, ids  # ids: by place in the block, -1 where no n-gram of this length ends
+        here = ids >= 0
+        self.count = np.bincount(ids[here], minlength=len(hashes))
+        self.context = np.bincount(ids[here & followed], minlength=len(hashes))
+        self.order = np.argsort(hashes, kind="stable")
+
+
+class Block:
+    """Texts as places, a start mark before each text's words, and the n-grams that end at each place."""
+
+    def __init__(self, texts: list[str | None], order: int):
+        codes: defaultdict[bytes, int] = defaultdict()
+        codes.default_factory = codes.__len__
+        start = codes[START]
+        found = []
+        for text in texts:
+            words = (text or "").lower().encode("utf-8", "surrogatepass").split()
+            found.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
+        self.sizes = np.array([len(x) + 1 for x in found], np.int64)
+        self.words = np.concatenate([y for x in found for y in (np.array([start]), x)]) if found else np.empty(0, np.int64)
+        del found
+        self.first = np.cumsum(self.sizes) - self.sizes
+        place = np.arange(len(self.words)) - np.repeat(self.first, self.sizes)
+        followed = np.ones(len(self.words), bool)
+        followed[self.first + self.sizes - 1] = False
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, codes), np.uint64, len(codes))
+        self.levels = [Level(hashes, self.words, followed)]
+        # The start mark is never a word; the number of all words takes its place.
+        self.levels[0].count[start] = len(self.words) - len(self.sizes)
+        for n in range(2, order + 1):
+            last = self.levels[-1]
+            at = np.flatnonzero(place >= n - 1)
+            grams, ids = np.unique(last.ids[at - 1] * len(hashes) + self.words[at], return_inverse=True)
+            everywhere = np.full(len(self.words), -1, np.int64)
+            everywhere[at] = ids
+            self.levels.append(Level(_mixed(last.hashes[grams // len(hashes)], hashes[grams % len(hashes)]), everywhere, followed))
+
+    def entries(self, bits: int) -> Iterator[tuple[int, list[bytes]]]:
+        """For each partition of the count table the entries of every level: hashes, counts, counts as context."""
+        cuts = []
+        for level in self.levels:
+            sorted_ = level.hashes[level.order]
+            cuts.append((sorted_, level.count[level.order], level.context[level.order], np.searchsorted(sorted_ >> np.uint64(64 - bits) if bits else np.zeros(len(sorted_), np.uint64), np.arange((1 << bits) + 1, dtype=np.uint64))))
+        for i in range(1 << bits):
+            out = []
+            for hashes, count, context, at in cuts:
+                part = hashes[at[i] : at[i + 1]]
+                out += [packed(np.diff(part, prepend=np.uint64(0))), packed(count[at[i] : at[i + 1]]), packed(context[at[i] : at[i + 1]])]
+            yield i, out
+
+    def score(self, others: list[tuple[np.ndarray, np.ndarray]], params: Params) -> tuple[np.ndarray, np.ndarray]:
+        """The number of words and the score of each text, by the counts of other blocks in the order of entries."""
+        totals = []
+        for level, (count, context) in zip(self.levels, others, strict=True):
+            if len(count) != len(level.hashes):
+                raise ValueError("a block's texts are not those that its n-grams were counted in")
+            both = np.append(level.count, 0), np.append(level.context, 0)  # the last is for places without an n-gram
+            both[0][level.order] += count
+            both[1][level.order] += context
+            totals.append(both)
+        words = int(totals[0][0][0])
+        scores, ends = np.zeros(len(self.sizes)), np.cumsum(self.sizes)
+        a = 0
+        while a < len(self.sizes):
+            b = max(a + 1, int(np.searchsorted(ends, self.first[a] + STEP_WORDS, "right")))
+            scores[a:b] = self._scored(slice(self.first[a], ends[b - 1]), self.sizes[a:b], totals, words, params)
+            a = b
+        return self.sizes - 1, scores
+
+    def _scored(self, places: slice, sizes: np.ndarray, totals, words: int, params: Params) -> np.ndarray:
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.flatnonzero(np.concatenate([[False], doc[1:] == doc[:-1]]))  # the places of words
+        doc = doc[at]
+        score, done, backed = np.zeros(len(at)), np.zeros(len(at), bool), np.zeros(len(at))
+        for n in range(len(totals), 1, -1):
+            grams = self.levels[n - 1].ids[places][at]
+            contexts = self.levels[n - 2].ids[places][at - 1]
+            able = (grams >= 0) & ~done
+            seen, follow = totals[n - 1][0][grams], totals[n - 2][1][contexts]
+            if params.leave_out:
+                seen, follow = seen - _own(doc, grams), follow - _own(doc, contexts)
+            hit = able & (seen > 0)
+            score[hit] = np.log(seen[hit] / follow[hit])
+            done |= hit
+            backed += able & ~hit
+        single = self.words[places][at]
+        seen, left = totals[0][0][single], np.full(len(sizes), words)
+        if params.leave_out:
+            seen, left = seen - _own(doc, single), left - (sizes - 1)
+        score[~done] = (np.log(np.maximum(seen, 1)) - np.log(np.maximum(left, 1))[doc])[~done]
+        return np.bincount(doc, score + backed * math.log(params.backoff), len(sizes))
+
+
+def _own(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """How often each place's document has the place's id."""
+    if not len(ids):
+        return np.empty(0, np.int64)
+    _, inverse, n = np.unique(doc * (int(ids.max()) + 2) + ids, return_inverse=True, return_counts=True)
+    return n[inverse]
+
+
+class Rows:
+    """Rows on their way: to a partition of the count table or back to a block; texts (part -1) or packed numbers."""
+
+    def __init__(self, kind_of_id):
+        self.ddl = f"to long, block long, part int, packed array<binary>, ids array<{kind_of_id.simpleString()}>"
+        self.id_type = to_arrow_type(kind_of_id)
+        self.schema = pa.schema([("to", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("packed", pa.list_(pa.binary())), ("ids", pa.list_(self.id_type))])
+
+    def row(self, to: int, block: int, part: int, blobs: list[bytes], ids: pa.Array | None = None) -> pa.RecordBatch:
+        ids = pa.nulls(1, self.schema.field("ids").type) if ids is None else pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        values = [pa.array([x], t) for x, t in zip((to, block, part, blobs), self.schema.types, strict=False)]
+        return pa.RecordBatch.from_arrays([*values, ids], schema=self.schema)
+
+    def sent(self, rows: DataFrame, n: int) -> DataFrame:
+        return rows.repartition(n, "to").sortWithinPartitions("to", "block", "part")
+
+
+def _exploded(docs: DataFrame, rows: Rows, bits: int, params: Params) -> DataFrame:
+    def run(batches):
+        task, n, texts, ids, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
+
+        def closed():
+            block = task + n
+            for part, blobs in Block(texts, params.order).entries(bits):
+                yield rows.row(part, block, part, blobs)
+            raw = [(x or "").encode("utf-8", "surrogatepass") for x in texts]
+            joined = b"".join(raw)
+            yield rows.row(block & ((1 << bits) - 1), block, -1, [packed(np.array([len(x) for x in raw], np.int64)), struct.pack("<Q", len(joined)) + pa.Codec("zstd", 3).compress(joined, asbytes=True)], pa.concat_arrays(ids))
+
+        for batch in batches:
+            for i, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                if texts and size + len(text or "") > params.block_bytes:
+                    yield from closed()
+                    n, texts, ids, size = n + 1, [], [], 0
+                texts.append(text)
+                ids.append(batch.column("doc_id").slice(i, 1))
+                size += len(text or "")
+            ids = [pa.concat_arrays(ids)] if ids else []  # lets the batch go
+        if texts:
+            yield from closed()
+        texts, ids = [], []
+        return_memory()
 
-def _pairs(w: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of rows of the given sizes that have a next one in their row, and their places."""
-    at = np.ones(len(w), bool)
-    at[np.cumsum(sizes) - 1] = False
-    at = np.flatnonzero(at)
-    return w[at], at
+    return docs.mapInArrow(run, rows.ddl)
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Each batch with its tokens and the numbers of them by row."""
+def _by(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """The rows of each key, which come together; ids stay Arrow arrays."""
+    held, last = [], None
     for batch in batches:
-        if batch.num_rows:
-            found = batch.column("w")
-            yield batch, found.flatten().to_numpy(), found.value_lengths().to_numpy().astype(np.int64)
-        pa.default_memory_pool().release_unused()
-
-
-def _most(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent values of a block, seen twice at least, and their counts."""
-    values, n = np.unique(x, return_counts=True)
-    least = 2
-    if np.count_nonzero(n >= least) > BLOCK_TOP:
-        least = int(np.partition(n, -BLOCK_TOP)[-BLOCK_TOP]) + 1
-    return values[n >= least], n[n >= least]
-
-
-_COUNTED = "kind int, x long, n long"
-_COUNTED_SCHEMA = pa.schema([("kind", pa.int32()), ("x", pa.int64()), ("n", pa.int64())])
-
-
-def _counted(kind: int, x: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(n, pa.int64())], schema=_COUNTED_SCHEMA)
-
-
-def _candidates(rows: DataFrame, params: Params) -> tuple[np.ndarray, np.ndarray, int]:
-    """Sorted hashes of the words and pairs to count first, and the number of all words."""
-
+        for i in range(batch.num_rows):
+            ids = batch.column("ids")[i]
+            row = {c: batch.column(c)[i].as_py() for c in ("to", "block", "part", "packed")} | {"ids": ids.values if ids.is_valid else None}
+            if held and row[key] != last:
+                yield held
+                held = []
+            held.append(row)
+            last = row[key]
+    if held:
+        yield held
+
+
+def _joined(entries: DataFrame, rows: Rows) -> DataFrame:
     def run(batches):
-        held, n_held, total = [], 0, 0
-
-        def named():
-            w, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
-            u, at = _pairs(w, sizes)
-            yield _counted(WORDS, *_most(w))
-            yield _counted(PAIRS, *_most(_mixed(u, w[at + 1])))
-
-        for _, w, sizes in _batches(batches):
-            total += len(w) - len(sizes)
-            held.append((w, sizes))
-            n_held += len(w)
-            if n_held >= BLOCK_TOKENS:
-                yield from named()
-                held, n_held = [], 0
-        if held:
-            yield from named()
-        yield _counted(TOTAL, np.zeros(1, np.int64), np.array([total]))
-        held.clear()
+        for group in _by(batches, "to"):
+            asked = []
+            for r in group:
+                if r["part"] < 0:
+                    yield rows.row(r["block"], r["block"], -1, r["packed"], r["ids"])
+                else:
+                    asked.append(r)
+            answers: list[list[bytes]] = [[] for _ in asked]
+            for at in range(0, len(asked[0]["packed"]) if asked else 0, 3):
+                keys = [np.cumsum(unpacked(r["packed"][at])) for r in asked]
+                ends = np.cumsum([len(x) for x in keys])
+                _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+                del keys
+                for which in (1, 2):
+                    n = np.concatenate([unpacked(r["packed"][at + which]) for r in asked]).astype(np.int64)
+                    left = np.split(np.bincount(inverse, n).astype(np.int64)[inverse] - n, ends[:-1])
+                    for answer, x in zip(answers, left, strict=True):
+                        answer.append(packed(x))
+            for r, answer in zip(asked, answers, strict=True):
+                yield rows.row(r["block"], r["block"], r["part"], answer)
         return_memory()
 
-    # Counts are kept as eighths of a power of two: at most some 500 rows tell how many n-grams have how large a one.
-    size = F.floor(F.log2("n") * 8).cast("int")
-    found = rows.select("w").mapInArrow(run, _COUNTED).groupBy("kind", "x").agg(F.sum("n").alias("n")).withColumn("size", size).persist()
-    try:
-        sizes = found.groupBy("kind", "size").agg(F.count("*").alias("many"), F.sum("n").alias("n")).collect()
-
-        def least(kind: int, most: int) -> int:
-            """The least size that no more than ``most`` n-grams have."""
-            out = 1 << 16
-            for r in sorted((r for r in sizes if r["kind"] == kind), key=lambda r: -r["size"]):
-                most -= r["many"]
-                if most < 0:
-                    break
-                out = r["size"]
-            return out
-
-        wanted = (F.col("kind") == WORDS) & (F.col("size") >= least(WORDS, params.most_words)) | (F.col("kind") == PAIRS) & (F.col("size") >= least(PAIRS, params.most_pairs))
-        got = found.where(wanted).select("kind", "x").toArrow()
-    finally:
-        found.unpersist()
-    kind, x = (got.column(c).to_numpy() for c in ("kind", "x"))
-    return np.sort(x[kind == WORDS]), np.sort(x[kind == PAIRS]), sum(r["n"] for r in sizes if r["kind"] == TOTAL)
-
-
-def _found(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of x in a sorted table, and which of them are in it."""
-    at = np.minimum(np.searchsorted(table, x), max(0, len(table) - 1))
-    return at, table[at] == x if len(table) else np.zeros(len(x), bool)
-
-
-def count(rows: DataFrame, params: Params) -> Counts:
-    """The counts of the frequent n-grams over all documents."""
-    words, pairs, total = _candidates(rows, params)
-    words = np.union1d(words, np.array([_start(rows)]))
-    spark = rows.sparkSession
-    shipped = spark.sparkContext.broadcast((words, pairs))
+    return entries.mapInArrow(run, rows.ddl)
 
-    def run(batches):
-        words, pairs = shipped.value
-        sums = {WORDS: np.zeros(len(words), np.int64), CONTEXTS: np.zeros(len(words), np.int64), PAIRS: np.zeros(len(pairs), np.int64)}
-
-        def add(kind: int, table: np.ndarray, x: np.ndarray) -> None:
-            at, known = _found(table, x)
-            sums[kind] += np.bincount(at[known], minlength=len(table))
-
-        for _, w, sizes in _batches(batches):
-            ends = np.cumsum(sizes)
-            for a, b in _steps(sizes):
-                part, n = w[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b]
-                u, at = _pairs(part, n)
-                v = part[at + 1]
-                add(WORDS, words, v)
-                add(CONTEXTS, words, u)
-                add(PAIRS, pairs, _mixed(u, v))
-        for kind, n in sums.items():
-            at = np.flatnonzero(n)
-            yield _counted(kind, at, n[at])
-        return_memory()
 
-    got = rows.select("w").mapInArrow(run, _COUNTED).groupBy("kind", "x").agg(F.sum("n").alias("n")).toArrow()
-    shipped.destroy()
-    kind, x, n = (got.column(c).to_numpy() for c in ("kind", "x", "n"))
-
-    def of(wanted: int, size: int) -> np.ndarray:
-        out = np.zeros(size, np.int64)
-        out[x[kind == wanted]] = n[kind == wanted]
-        return out
-
-    return Counts(words, of(WORDS, len(words)), of(CONTEXTS, len(words)), pairs, of(PAIRS, len(pairs)), int(total))
-
-
-def _steps(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with no more than STEP_TOKENS tokens together, or of one row."""
-    a, n = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if i > a and n + size > STEP_TOKENS:
-            yield a, i
-            a, n = i, 0
-        n += size
-    if len(sizes) > a:
-        yield a, len(sizes)
-
-
-def _exploded(w: np.ndarray, sizes: np.ndarray, counts: Counts, params: Params) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """The rows to be joined to counts, with ``row`` as the number of the document, and what documents score without them.
-
-    A row's value is n * (log of the others' count of the pair), less the log of a context that is its key, where others
-    have the pair, else n * at_most, and the log of a last word that is its key; ``base`` holds the contexts known here.
-    """
-    own = 1 if params.leave_out else 0
-    distinct, code = np.unique(w, return_inverse=True)
-    many = len(distinct)
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    _, at = _pairs(w, sizes)
-    pairs, n = np.unique((row[at] * many + code[at]) * many + code[at + 1], return_counts=True)
-    r, u, v = pairs // many // many, pairs // many % many, pairs % many
-    if not len(pairs):
-        return {c: np.empty(0, np.int64) for c in ("key", "other", "row", "kind", "n", "own", "at_most")}, np.zeros(len(sizes))
-    # The document's own counts: of contexts, in runs, and of last words.
-    first = np.flatnonzero(np.concatenate([[True], pairs[1:] // many != pairs[:-1] // many]))
-    n_u = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(n))))
-    _, inverse = np.unique(r * many + v, return_inverse=True)
-    n_v = np.bincount(inverse, n).astype(np.int64)[inverse]
-    place, known = _found(counts.words, distinct)
-    known_u, known_v = known[u], known[v]
-    with np.errstate(divide="ignore"):
-        context = np.log(np.maximum(counts.as_context[place[u]] - own * n_u, 1))
-        last = np.log(np.maximum(counts.as_last[place[v]] - own * n_v, 1))
-    lower = math.log(params.backoff) - np.log(np.maximum(counts.total - own * (sizes - 1), 1))[r]
-    hashed = _mixed(distinct[u], distinct[v])
-    in_table, frequent = _found(counts.pairs, hashed)
-    frequent &= known_u & known_v
-    base = np.where(known_u, -n * context, 0.0)
-    if frequent.any():
-        seen = counts.of_pair[in_table[frequent]] - own * n[frequent]
-        base[frequent] += n[frequent] * np.where(seen > 0, np.log(np.maximum(seen, 1)), (context + last + lower)[frequent])
-    rows = []
-
-    def put(where: np.ndarray, key: np.ndarray, other: np.ndarray, kind: int, n_own: np.ndarray, at_most: np.ndarray) -> None:
-        rows.append((key, other, r[where], np.full(len(key), kind), n[where], n_own, np.rint(at_most[where] * UNIT).astype(np.int64)))
-
-    plain = known_u & known_v & ~frequent
-    none = np.zeros(np.count_nonzero(plain), np.int64)
-    put(plain, hashed[plain], none, PAIR, none, context + last + lower)
-    rare = ~known_u
-    put(rare, _mixed(distinct[u[rare]], CONTEXT), distinct[v[rare]], CONTEXT, n_u[rare], np.where(known_v, last + lower, 0.0))
-    rare = known_u & ~known_v
-    put(rare, _mixed(distinct[v[rare]], LAST), distinct[u[rare]], LAST, n_v[rare], context + lower)
-    rare = ~known_u & ~known_v
-    put(rare, _mixed(distinct[v[rare]], LAST), distinct[u[rare]], LAST_OF_BOTH, n_v[rare], lower)
-    columns = dict(zip(("key", "other", "row", "kind", "n", "own", "at_most"), map(np.concatenate, zip(*rows, strict=True)), strict=True))
-    order = np.argsort(columns["row"], kind="stable")
-    return {k: x[order] for k, x in columns.items()}, np.bincount(r, base, len(sizes))
-
-
-def grams(rows: DataFrame, counts: Counts, params: Params) -> DataFrame:
-    """The exploded n-grams that need counts, and a row for each document with what it scores without them."""
-    kind_of_id = rows.schema["doc_id"].dataType
-    fields = [("row_id", pa.int64()), ("kind", pa.int32()), ("n", pa.int64()), ("own", pa.int64()), ("other", pa.int64()), ("key", pa.int64()), ("at_most", pa.int64()), ("doc_id", to_arrow_type(kind_of_id))]
-    schema = pa.schema(fields)
-    shipped = rows.sparkSession.sparkContext.broadcast(counts)
+def score(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, log_score (sum of natural logs) and mean_log_score of each row."""
+    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TABLE_BYTES).bit_length()
+    rows = Rows(docs.schema["doc_id"].dataType)
+    out = pa.schema([("doc_id", rows.id_type), ("n_words", pa.int64()), ("log_score", pa.float64())])
 
     def run(batches):
-        counts = shipped.value
-        for batch, w, sizes in _batches(batches):
-            ends, ids = np.cumsum(sizes), batch.column("row_id").to_numpy()
-            for a, b in _steps(sizes):
-                x, base = _exploded(w[ends[a] - sizes[a] : ends[b - 1]], sizes[a:b], counts, params)
-                x["row_id"] = ids[a:b][x["row"]]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(x["key"]), t) if c == "doc_id" else pa.array(x[c], t) for c, t in fields], schema=schema)
-                none, own_id = np.zeros(b - a, np.int64), ids[a:b].astype(np.int64)
-                made = {"row_id": own_id, "kind": none + DOCUMENT, "n": none, "own": sizes[a:b] - 1, "other": none, "key": _mixed(own_id, DOCUMENT), "at_most": np.rint(base * UNIT).astype(np.int64)}
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a) if c == "doc_id" else pa.array(made[c], t) for c, t in fields], schema=schema)
+        for group in _by(batches, "to"):
+            (texts,) = (r for r in group if r["part"] < 0)
+            lengths, raw = unpacked(texts["packed"][0]).astype(np.int64), texts["packed"][1]
+            raw = pa.Codec("zstd", 3).decompress(raw[8:], struct.unpack_from("<Q", raw)[0], asbytes=True)
+            ends = np.cumsum(lengths).tolist()
+            block = Block([raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends, strict=False)], params.order)
+            parts = [r["packed"] for r in group if r["part"] >= 0]
+            others = [tuple(np.concatenate([unpacked(p[2 * n + which]) for p in parts]).astype(np.int64) for which in (0, 1)) for n in range(params.order)]
+            n_words, scores = block.score(others, params)
+            yield pa.RecordBatch.from_arrays([texts["ids"], pa.array(n_words), pa.array(scores, mask=n_words == 0)], schema=out)
+            del block, others, raw
         return_memory()
 
-    return rows.mapInArrow(run, f"row_id long, kind int, n long, own long, other long, key long, at_most long, doc_id {kind_of_id.simpleString()}")
-
-
-def _value(params: Params) -> Column:
-    """A row's part of its document's score, in billionths."""
-    n, at_most, kind = F.col("n"), F.col("at_most"), F.col("kind")
-    off = F.lit(1 if params.leave_out else 0)
-    seen = F.sum("n").over(Window.partitionBy("key", "other")) - off * n
-    log_key = F.log(F.greatest(F.sum("n").over(Window.partitionBy("key")) - off * F.col("own"), F.lit(1)))
-    pair = F.log(F.greatest(seen, F.lit(1)))
-    when_seen = F.when(kind == CONTEXT, pair - log_key).when(kind == LAST_OF_BOTH, F.lit(0.0)).otherwise(pair)
-    # Of a pair of two rare words the context's row stands for the pair that others have, the last word's row for the other case.
-    unseen = at_most + F.when((kind == LAST) | (kind == LAST_OF_BOTH), F.round(log_key * UNIT)).otherwise(F.lit(0.0))
-    value = F.when(seen > 0, F.round(n * when_seen * UNIT)).otherwise(n * unseen)
-    return F.when(kind == DOCUMENT, at_most).otherwise(value.cast("long"))
-
-
-def score(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, log_score (sum of natural logs) and mean_log_score of each row."""
-    rows = _tokens(docs, id_col, text_col)
-    joined = grams(rows, count(rows, params), params).select("row_id", "kind", "own", "doc_id", _value(params).alias("value"))
-    own = F.when(F.col("kind") == DOCUMENT, F.col("own"))
-    sums = joined.groupBy("row_id").agg(F.sum("value").alias("value"), F.max(own).alias("n_words"), F.first("doc_id", ignorenulls=True).alias("doc_id"))
-    log_score = F.when(F.col("n_words") > 0, F.round(F.col("value") / UNIT, 6))
-    return sums.select("doc_id", "n_words", log_score.alias("log_score"), F.round(F.try_divide(log_score, F.col("n_words")), 6).alias("mean_log_score"))
+    asked = rows.sent(_exploded(docs, rows, bits, params), 1 << bits)
+    answered = rows.sent(_joined(asked, rows), 1 << bits)
+    found = answered.mapInArrow(run, f"doc_id {rows.ddl.rpartition('array<')[2][:-1]}, n_words long, log_score double")
+    return found.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round(F.try_divide("log_score", "n_words"), 6).alias("mean_log_score"))
