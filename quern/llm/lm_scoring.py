@@ -204,15 +204,18 @@ class Rows:
 
 def _exploded(docs: DataFrame, rows: Rows, bits: int, params: Params) -> DataFrame:
     def run(batches):
-        task, n, texts, ids, size = TaskContext.get().partitionId() << 32, 0, [], [], 0
+        task, n, texts, ids, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def closed():
-            block = task + n
+            block = (task << 32) + n
             for part, blobs in Block(texts, params.order).entries(bits):
                 yield rows.row(part, block, part, blobs)
             raw = [(x or "").encode("utf-8", "surrogatepass") for x in texts]
             joined = b"".join(raw)
-            yield rows.row(block & ((1 << bits) - 1), block, -1, [packed(np.array([len(x) for x in raw], np.int64)), struct.pack("<Q", len(joined)) + pa.Codec("zstd", 3).compress(joined, asbytes=True)], pa.concat_arrays(ids))
+            lengths = packed(np.array([len(x) for x in raw], np.int64))
+            blob = struct.pack("<Q", len(joined)) + pa.Codec("zstd", 3).compress(joined, asbytes=True)
+            # Texts only pass through the count table; a number of the block's own deals them evenly.
+            yield rows.row((task + 61 * n) & ((1 << bits) - 1), block, -1, [lengths, blob], pa.concat_arrays(ids))
 
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
