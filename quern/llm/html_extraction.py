@@ -21,6 +21,8 @@ repeated rows, ties and extra columns change nothing. Of containers with equal s
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -66,6 +68,9 @@ REAL_CHARS, REAL_LINKS = 80, 0.25
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+UNFINISHED = re.compile(r"<[A-Za-z/!?]")
+
+
 class Node:
     __slots__ = ("tag", "parent", "children", "score", "chars", "link_chars", "order", "doubt")
 
@@ -89,6 +94,7 @@ class Tree(HTMLParser):
         self.nodes = [self.root]
         self.stack = [self.root]
         self.cut = 0  # depth of the stack at which a cut element began
+        self.open: defaultdict[str, list[int]] = defaultdict(list)  # depths of the stack by tag
 
     def handle_starttag(self, tag, attrs):
         self._close_implied(tag)
@@ -99,6 +105,7 @@ class Tree(HTMLParser):
         if tag in ("html", "body"):
             return
         node = Node(tag, self.stack[-1], len(self.nodes))
+        self.open[tag].append(len(self.stack))
         self.stack.append(node)
         if self.cut:
             return
@@ -113,44 +120,40 @@ class Tree(HTMLParser):
         self.handle_starttag(tag, attrs)  # HTML has no self-closing elements but the void ones
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.stack[depth].tag == tag:
-                self._pop_to(depth)
-                return
+        if self.open[tag]:
+            self._pop_to(self.open[tag][-1])
 
     def handle_data(self, data):
         if not self.cut:
             self.stack[-1].children.append(data)
 
+    def parse_comment(self, i, report=1):
+        """As browsers do: to the first end, or to the end of the page, which is then reached at once."""
+        end = self.rawdata.find("-->", i + 2)
+        return end + 3 if end >= 0 else len(self.rawdata)
+
     def _pop_to(self, depth: int) -> None:
+        for node in self.stack[depth:]:
+            self.open[node.tag].pop()
         del self.stack[depth:]
         if self.cut and depth <= self.cut:
             self.cut = 0
 
     def _close_implied(self, tag: str) -> None:
         if tag in CLOSES:
-            closed, stop = CLOSES[tag]
-            found = 0
-            for depth in range(len(self.stack) - 1, 0, -1):
-                if self.stack[depth].tag in stop:
-                    break
-                if self.stack[depth].tag in closed:
-                    found = depth
-            if found:
-                self._pop_to(found)
-        if tag in ENDS_P:
-            for depth in range(len(self.stack) - 1, 0, -1):
-                if self.stack[depth].tag == "p":
-                    self._pop_to(depth)
-                    break
-                if self.stack[depth].tag in BLOCK:
-                    break
+            closed, stops = CLOSES[tag]
+            stop = max((self.open[t][-1] for t in stops if self.open[t]), default=0)
+            after = [self.open[t][bisect_right(self.open[t], stop)] for t in closed if self.open[t] and self.open[t][-1] > stop]
+            if after:
+                self._pop_to(min(after))
+        if tag in ENDS_P and self.open["p"]:  # nothing but inline elements can be open within it
+            self._pop_to(self.open["p"][-1])
 
     def _is_cut(self, tag: str, attrs) -> bool:
         if tag in CUT:
             return True
         if tag == "header":  # an article's own header has its heading
-            return not any(n.tag in ("article", "main") for n in self.stack[:-1])
+            return not (self.open["article"] or self.open["main"])
         return tag not in ("article", "main") and any(name == "hidden" for name, _ in attrs)
 
     def _doubt(self, tag: str, attrs) -> str:
@@ -251,9 +254,6 @@ def _kept(tree: Tree) -> list[Node]:
         return [tree.root]
     value = {n.order: n.score * (1 - n.link_density) for n in scored}
     best = max(scored, key=lambda n: (value[n.order], -n.order))
-    named = [n for n in scored if n.tag in ("article", "main")]
-    if named:  # the page says which element is the article
-        best = max(named, key=lambda n: (value[n.order], -n.order))
     if best.parent is None:
         return [best]
     least = max(SIBLING_LEAST, SIBLING_SHARE * value[best.order])
@@ -304,7 +304,9 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     tree = Tree()
-    tree.feed(page)
+    ended = page.rfind(">") + 1
+    unfinished = UNFINISHED.search(page, ended)  # a tag that the page's end cuts off is none
+    tree.feed(page[: unfinished.start()] if unfinished else page)
     tree.close()
     _measure(tree)
     _cut_doubtful(tree)

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -76,8 +77,33 @@ def test_related_articles_stay_cut():
 
 
 def test_a_main_in_a_wrapper_is_spared_beside_much_text():
-    page = f"<div><p>{LONG}</p><p>{LONG}</p></div><form><main><p>Main, and short.</p></main></form>"
-    assert "Main, and short." in extract(page)
+    page = f"<div><p>{LONG}</p></div><form><main><p>Main, and longer. {LONG}</p><p>{LONG}</p></main></form>"
+    assert "Main, and longer." in extract(page)
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_scores_pick_the_container_whatever_the_tag(tag):
+    story = "".join(f"<div>{LONG}</div>" for _ in range(5))
+    assert extract(f"<{tag}><p>A teaser, of one line.</p></{tag}><div><div>{story}</div></div>").count(LONG.strip()) == 5
+
+
+@pytest.mark.parametrize("wrapper", ["content has-sidebar", "main-content no-banner", "post-with-comments", "page with-menu", "share-worthy", "ad-free story"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_wrappers_named_for_what_they_lack_or_have(wrapper, inner):
+    assert LONG.strip() in extract(f'<body><div class="{wrapper}"><{inner}><p>{LONG}</p><p>{LONG}</p></{inner}></div></body>')
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "</i>" * 100_000, "<li><ul>" + "<b>" * 100_000 + "<li></li>" * 100_000, "<b>" * 100_000 + "<div></div>" * 100_000, "<a " * 100_000, "<!--" * 100_000, '<a href="' * 100_000])
+def test_time_is_linear(page):
+    began = time.process_time()
+    extract(f"<p>{LONG}</p>{page}")
+    assert time.process_time() - began < 10  # some hundred times as much where time is quadratic
+
+
+def test_cut_off_markup():
+    assert extract("<p>One, two.</p><!-- open <p>gone</p>") == "One, two."
+    assert extract("<p>One, two.</p><p>1 < 2") == "One, two.\n\n1 < 2"
+    assert extract('<p>One, two.</p><a href="x') == "One, two."
 
 
 def test_link_lists_do_not_win():
