@@ -1,26 +1,32 @@
 """Exact top-k search by inner product, over vectors in order of their length.
 
-Vectors are integers: each component x becomes floor(scale * x). Candidates are sorted by length, longest first, and
-cut into blocks; queries are cut into blocks too, and every query block meets every candidate block.
-
-* A query's k-th best score among the longest candidates is its first threshold, raised as blocks go by.
-* A block whose longest vector cannot reach a query's threshold is passed over for that query (Cauchy-Schwarz).
-* All vectors are rotated by the right singular vectors of the candidates, so that the first coordinates hold most of
-  a score. After some coordinates, the partial sum plus the product of both remaining lengths bounds the score; pairs
+Vectors are integers: each component x becomes floor(scale * x). Candidates are sorted by length, longest first, cut
+into blocks and stored; queries are dealt into groups by a hash. A task holds a group and meets a share of the blocks,
+longest first.
+
+* A query's k-th best score among the longest block's candidates is its first threshold, raised as blocks go by.
+* A block whose longest vector cannot reach a query's threshold is passed over for that query (Cauchy-Schwarz), and is
+  not looked at any further when that holds for all.
+* Vectors are rotated by the right singular vectors of the candidates, so that the first coordinates hold most of a
+  score. After some coordinates, the partial sum plus the product of both remaining lengths bounds the score; pairs
   bounded below the threshold go. Rounding is covered by a slack far above its size.
 * What survives is scored in exact integers (float64 products of integers below 2**53 are exact), so the result does
   not depend on the rotation, the blocks or the order in which they come.
 
-Ties go to the smaller id. Each block returns at most k rows a query; those are merged by a ranked window.
+Ties go to the smaller id. Each block returns at most k rows a query; those are merged by a ranked window. A task reads
+some ``SHARE_BLOCKS`` blocks, whatever the size of the table.
 
 Defined results: vectors that are null or have null or non-finite components take no part, neither do null ids;
-vectors shorter than the longest count as if zeros followed; rows that agree in id and vector are one; a candidate
-with the query's own id is its own row; fewer candidates than k are all returned; an empty table gives no rows;
+vectors shorter than the longest count as if zeros followed; rows are numbered, so rows that repeat an id, or all of
+another row, are candidates and queries of their own, and only a query's own row is no candidate of it; fewer
+candidates than k are all returned; extra columns are ignored, whatever their names; an empty table gives no rows;
 components whose products could pass 2**53 raise ValueError.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,7 +36,9 @@ from pyspark.sql.window import Window
 
 from quern.llm.common import stored
 
-CANDIDATE_BLOCK, QUERY_BLOCK = 4096, 2048
+CANDIDATE_BLOCK, QUERY_GROUP = 4096, 2048
+#: Blocks that a task meets, about; a task of a small table meets fewer.
+SHARE_BLOCKS = 32
 #: After how many rotated coordinates pairs are pruned, as shares of all.
 STAGES = (0.25, 0.5)
 #: Of the pairs that a stage leaves, more than this share are scored all at once rather than one by one.
@@ -48,7 +56,7 @@ def integers(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> Da
     """vec_id, v (integers as doubles) and norm2 of the vectors that take part."""
     v = F.transform(F.col("x"), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("x")).where(F.col("vec_id").isNotNull() & usable(F.col("x")))
-    return rows.select("vec_id", v.alias("v")).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).distinct()
+    return rows.select("vec_id", v.alias("v")).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
 
 
 def packed(rows: DataFrame, dim: int, most: int) -> DataFrame:
@@ -107,14 +115,20 @@ def rotation(blocks: DataFrame, dim: int) -> np.ndarray:
 class Side:
     """A block's vectors with what pruning needs: rotated coordinates and remaining lengths after each stage."""
 
-    def __init__(self, ids: bytes, matrix: bytes, turn: np.ndarray):
-        dim = len(turn)
+    def __init__(self, rows: np.ndarray, ids: bytes, matrix: bytes, turn: np.ndarray):
+        self.rows, self.turn = rows, turn
         self.ids = np.frombuffer(ids, np.int64)
-        self.exact = np.frombuffer(matrix, np.int32).reshape(-1, dim).astype(float)
-        self.turned = self.exact @ turn
+        self.exact = np.frombuffer(matrix, np.int32).reshape(-1, len(turn)).astype(float)
         self.norm = np.sqrt((self.exact**2).sum(1))
-        self.cuts = sorted({max(1, int(dim * s)) for s in STAGES})
-        self.rest = [np.sqrt((self.turned[:, c:] ** 2).sum(1)) for c in self.cuts]
+        self.cuts = sorted({max(1, int(len(turn) * s)) for s in STAGES})
+
+    @cached_property
+    def turned(self) -> np.ndarray:
+        return self.exact @ self.turn
+
+    @cached_property
+    def rest(self) -> list[np.ndarray]:
+        return [np.sqrt((self.turned[:, c:] ** 2).sum(1)) for c in self.cuts]
 
 
 def best(queries: Side, block: Side, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,12 +156,12 @@ def best(queries: Side, block: Side, least: np.ndarray, k: int) -> tuple[np.ndar
         scores = np.concatenate([np.einsum("ij,ij->i", queries.exact[live[q[i : i + 65536]]], block.exact[c[i : i + 65536]]) for i in range(0, len(q), 65536)])
     else:
         full = queries.exact[live] @ block.exact.T
-        full[queries.ids[live, None] == block.ids] = -np.inf  # rows of the query's own id, however many
+        full[queries.rows[live, None] == block.rows] = -np.inf
         top = np.partition(full, -min(k, full.shape[1]), axis=1)[:, -min(k, full.shape[1])]
         q, c = np.nonzero(keep & (full >= top[:, None]))
         scores = full[q, c]
     q = live[q]
-    good = (scores >= least[q]) & (queries.ids[q] != block.ids[c])
+    good = (scores >= least[q]) & (queries.rows[q] != block.rows[c])
     q, c, scores = q[good], c[good], scores[good]
     order = np.lexsort((block.ids[c], -scores, q))
     q, c, scores = q[order], c[order], scores[order]
@@ -181,45 +195,51 @@ def search(vectors: DataFrame, k: int = 5, scale: int = 256, every: int = 50, id
     candidates = stored(packed(ranged.select("vec_id", "v"), dim, CANDIDATE_BLOCK), "candidates")
     n_blocks = candidates.count()
     turn = spark.sparkContext.broadcast(rotation(candidates, dim))  # dim * dim numbers
-    head = spark.sparkContext.broadcast(tuple(candidates.orderBy("block").select("ids", "matrix").first()))  # one block
-
-    asked = rows.where(is_query).select("vec_id", "v").repartitionByRange(max(1, -(-n_queries // QUERY_BLOCK)), "vec_id").sortWithinPartitions("vec_id")
+    head = spark.sparkContext.broadcast(tuple(candidates.orderBy("block").first()))  # one block
+    size = CANDIDATE_BLOCK
 
-    def first_thresholds(batches):
-        longest = Side(*head.value, turn.value)
+    def asked(batches):
         for batch in batches:
-            ids, matrices = batch.column("ids").to_pylist(), batch.column("matrix").to_pylist()
-            least = []
-            for i, m in zip(ids, matrices, strict=True):
-                side = Side(i, m, turn.value)
-                start = np.full(len(side.ids), -np.inf)
-                q, _, s = best(side, longest, start, k)
-                least.append(raised(start, q, s, k).tobytes())
-            yield pa.RecordBatch.from_pydict({"q_block": batch.column("block"), "q_ids": batch.column("ids"), "q_matrix": batch.column("matrix"), "least": pa.array(least, pa.binary())})
-
-    asked = stored(packed(asked, dim, QUERY_BLOCK).mapInArrow(first_thresholds, "q_block long, q_ids binary, q_matrix binary, least binary"), "queries")
-    # A query block goes to some tasks, each with its share of the candidate blocks.
-    shares = max(1, min(n_blocks, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2))
-    share = F.pmod(F.xxhash64("block"), F.lit(shares)).cast("int")
-    q_blocks = [r.q_block for r in asked.select("q_block").collect()]  # a number a query block
-    left = candidates.withColumn("share", share).withColumn("q_block", F.explode(F.array(*(F.lit(b).cast("long") for b in q_blocks))))
-    right = asked.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    parts = max(1, min(shares * len(q_blocks), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    met = left.repartition(parts, "q_block", "share").join(right.repartition(parts, "q_block", "share"), ["q_block", "share"]).sortWithinPartitions("q_block", "share", "block")
+            for block, ids, matrix in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "matrix")), strict=True):
+                found = np.frombuffer(ids, np.int64)
+                at = np.flatnonzero(found % every == 0)
+                vectors = np.frombuffer(matrix, np.int32).reshape(-1, dim)[at]
+                yield pa.RecordBatch.from_pydict({"block": pa.array(block * size + at), "ids": pa.array([x.tobytes() for x in found[at]], pa.binary()), "matrix": pa.array([x.tobytes() for x in vectors], pa.binary())})
+
+    # Every group of queries meets every share of the blocks in one cell; its queries come first, then the blocks by length.
+    groups = -(-n_queries // QUERY_GROUP)
+    shares = min(n_blocks, max(-(-n_blocks // SHARE_BLOCKS), int(spark.conf.get("spark.sql.shuffle.partitions")) // groups))
+    each_group, each_share = (F.explode(F.sequence(F.lit(0), F.lit(x - 1))) for x in (groups, shares))
+    left = candidates.select(each_group.alias("group"), F.pmod(F.xxhash64("block"), F.lit(shares)).cast("int").alias("share"), F.lit(1).alias("kind"), "block", "ids", "matrix")
+    right = candidates.mapInArrow(asked, "block long, ids binary, matrix binary").select(F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), each_share.alias("share"), F.lit(0).alias("kind"), "block", "ids", "matrix")
+    cells = left.unionByName(right).repartition(groups * shares, "group", "share").sortWithinPartitions("group", "share", "kind", "block")
+
+    def block_of(number: int, ids: bytes, matrix: bytes) -> Side:
+        return Side(number * size + np.arange(len(ids) // 8), ids, matrix, turn.value)
 
     def scored(batches):
-        queries, at, least = None, None, None
+        cell, held, queries, least = None, [], None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                r = {n: batch.column(n)[i].as_py() for n in ("q_block", "q_ids", "q_matrix", "least", "ids", "matrix")}
-                if at != r["q_block"]:
-                    queries, at, least = Side(r["q_ids"], r["q_matrix"], turn.value), r["q_block"], np.frombuffer(r["least"])
-                block = Side(r["ids"], r["matrix"], turn.value)
+                group, share, kind, number, ids, matrix = (batch.column(c)[i].as_py() for c in ("group", "share", "kind", "block", "ids", "matrix"))
+                if cell != (group, share):
+                    cell, held, queries = (group, share), [], None
+                if kind == 0:
+                    held.append((number, ids, matrix))
+                    continue
+                if not held:  # no query has this group's number
+                    continue
+                if queries is None:
+                    queries = Side(np.array([h[0] for h in held]), *(b"".join(h[x] for h in held) for x in (1, 2)), turn.value)
+                    least = np.full(len(held), -np.inf)
+                    q, _, s = best(queries, block_of(*head.value), least, k)
+                    least = raised(least, q, s, k)
+                block = block_of(number, ids, matrix)
                 q, c, s = best(queries, block, least, k)
                 least = raised(least, q, s, k)
                 if len(q):
-                    yield pa.RecordBatch.from_pydict({"query_id": pa.array(queries.ids[q]), "vec_id": pa.array(block.ids[c]), "score": pa.array(s.astype(np.int64))})
+                    yield pa.RecordBatch.from_pydict({"query": pa.array(queries.rows[q]), "query_id": pa.array(queries.ids[q]), "vec_id": pa.array(block.ids[c]), "score": pa.array(s.astype(np.int64))})
 
-    found = met.select("q_block", "q_ids", "q_matrix", "least", "ids", "matrix").mapInArrow(scored, "query_id long, vec_id long, score long")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    found = cells.mapInArrow(scored, "query long, query_id long, vec_id long, score long")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
