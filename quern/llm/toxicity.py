@@ -9,12 +9,17 @@ where R_p and R_u are mean sigmoid losses over positives and unlabelled texts. W
 step ascends on it instead, so that a flexible model cannot drive the estimated negative risk below zero.
 
 A text's features are its distinct lower-cased words and their 4 and 5 character prefixes, hashed. Labels, language,
-source and id are never features. The fit is made in numpy on the driver, from a sample whose size is bounded by
-``max_positive`` and ``max_unlabelled`` and that a hash of the id picks, alike at every input size; the class prior is
-counted over all labels of the training folds. Scoring reads all texts in one pass, without a shuffle.
+source and id are never features. The fit is made in numpy on the driver, from a sample that a hash of the id picks,
+alike at every input size: at most ``max_positive`` (3,000) texts confirmed as toxic and ``max_unlabelled`` (9,000)
+others, each id once. Of their features the ``max_features`` (20,000) strongest are fitted. The class prior is counted
+over all labels of the training folds. Scoring reads all texts whole in one pass, without a shuffle, and a task holds
+the texts of a slice of rows.
 
 Defined results: null and empty texts score as the bias alone; without positives the score is the class prior, 0;
-repeated label rows of an id count as toxic if any is; labels without a text, and null labels, are ignored.
+repeated label rows of an id count as toxic if any is; of texts that repeat an id the one of the least hash is learned
+from, and each is scored; equal texts score equal; labels without a text, null labels and null ids are not learned
+from; extra columns are ignored where the model is fitted and kept where documents are returned, and a score column
+that clashes with one raises ValueError; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,8 +46,8 @@ MEMO_WORDS = 120_000
 
 @dataclass(frozen=True)
 class Params:
-    max_positive: int = 2000
-    max_unlabelled: int = 6000
+    max_positive: int = 3000
+    max_unlabelled: int = 9000
     max_features: int = 20_000
     min_texts: int = 3
     min_strength: float = 3.0
@@ -90,10 +95,10 @@ def sample(docs: DataFrame, labels: DataFrame, params: Params, id_col: str = "do
     toxic = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct().withColumn("toxic", F.lit(True))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
     order = F.xxhash64("id", F.lit(11))
-    # Ids alone are ordered; only the texts of those picked are read again.
-    known = texts.select("id").join(toxic, "id", "left")
-    picked = known.where("toxic").orderBy(order, "id").limit(params.max_positive).unionByName(known.where("toxic IS NULL").orderBy(order, "id").limit(params.max_unlabelled)).groupBy("id").agg(F.first("toxic").alias("toxic"))
-    rows = texts.join(F.broadcast(picked), "id").select("toxic", "text", order.alias("o"), "id")
+    # Ids alone are ordered, each once; only the texts of those picked are read again, and one of each id is taken.
+    known = texts.select("id").distinct().join(toxic, "id", "left")
+    picked = known.where("toxic").orderBy(order, "id").limit(params.max_positive).unionByName(known.where("toxic IS NULL").orderBy(order, "id").limit(params.max_unlabelled))
+    rows = texts.join(F.broadcast(picked), "id").groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select("toxic", "t.text", order.alias("o"), "id")
 
     def make():
         memo = Memo(features_of, MEMO_WORDS)
@@ -107,8 +112,7 @@ def sample(docs: DataFrame, labels: DataFrame, params: Params, id_col: str = "do
     schema = pa.schema([("toxic", pa.bool_()), ("o", pa.int64()), ("features", pa.binary())])
     got = map_slices(rows, schema, "toxic boolean, o long, features binary", make).collect()
     got.sort(key=lambda r: (r.o, r.features))
-    parts = [np.frombuffer(r.features, np.int32) for r in got if r.toxic], [np.frombuffer(r.features, np.int32) for r in got if not r.toxic]
-    return parts[0][: params.max_positive], parts[1][: params.max_unlabelled]
+    return [np.frombuffer(r.features, np.int32) for r in got if r.toxic], [np.frombuffer(r.features, np.int32) for r in got if not r.toxic]
 
 
 def select_features(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, params: Params) -> np.ndarray:

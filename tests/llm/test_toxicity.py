@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -73,6 +74,32 @@ def test_sample_is_bounded(spark):
     assert (len(pos), len(unl)) == (7, 11)
 
 
+def test_a_repeated_id_does_not_grow_the_sample(spark, monkeypatch):
+    docs, labels = corpus(spark)
+    many = docs.unionByName(spark.range(5000).selectExpr("0L AS doc_id", "concat('vile ', id) AS text")).unionByName(spark.range(5000).selectExpr("1L AS doc_id", "'calm' AS text"))
+    sent, kind, collect = [], type(docs), type(docs).collect
+    monkeypatch.setattr(kind, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    pos, unl = toxicity.sample(many, labels, toxicity.Params(max_positive=7, max_unlabelled=11))
+    assert (len(pos), len(unl), [len(x) for x in sent]) == (7, 11, [18])
+    everything = toxicity.sample(many, labels, toxicity.Params())
+    assert sum(map(len, everything)) == docs.select("doc_id").distinct().count()
+
+
+def test_scores_equal_brute_force_on_the_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = queries.toxicity_model(spark, sf_dir, docs)
+    assert model.weights
+    got = {r.doc_id: r.score for r in queries.op1_toxicity(spark, sf_dir).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        z = model.bias
+        for word in set((r.text or "").lower().split()):
+            core = word.strip(toxicity.STRIP)
+            for part in [core, *(core[:n] + "\0" + str(n) for n in (4, 5) if len(core) >= n)] if core else []:
+                z += model.weights.get(zlib.crc32(part.encode()) % (1 << 24), 0.0)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -40, 40))), abs=1e-9)
+
+
 def test_query_scores_held_out_rows_well(spark):
     sf_dir = "/root/testdata/sf0.01"
     got = queries.op1_toxicity(spark, sf_dir)
