@@ -5,10 +5,12 @@ part: every identifier-like string, seed or not, is an instance, and the words b
 graph of patterns and instances is scored in rounds:
 
 * a pattern's confidence in a kind is the mean score of its distinct instances, one imagined failure included;
-* an instance that is no seed scores what its best confident pattern says.
+* an instance that is no seed scores what its best confident pattern says, and is a seed of the next round's patterns
+  when that is as much as is asked of a pattern in the end.
 
 Patterns that end with high confidence and enough distinct seeds of one kind give that kind to unseen instances beside
-them, if these are of the kind's general make (an address with @, a number of digits). Base spans always stay.
+them, if these are of the kind's general make (an address with @, a number of digits). Base spans always stay. Words
+are taken whole, however long.
 
 All of it is DataFrame and SQL functions. One pass over the texts makes a narrow table of spans and instances, which
 is stored; the graph is built from that. Edges are counted once each before anything is joined, and joins on patterns
@@ -53,6 +55,8 @@ INSTANCE = rf"{PHONE}|(?<![0-9])[0-9](?:[\x20-]?[0-9]){{12,18}}(?![0-9])|{GROUPS
 STRETCH = 256
 
 SPAN = "struct<kind:int,start:bigint,end:bigint>"
+
+
 @dataclass(frozen=True)
 class Params:
     rounds: int = 3
@@ -121,8 +125,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     has = "text RLIKE '[0-9@]'"
     lead = "length(regexp_extract(h, '^([^A-Za-z0-9+(]*)', 1))"
     core = "regexp_replace(regexp_replace(h, '^[^A-Za-z0-9+(]+', ''), '[^A-Za-z0-9)]+$', '')"
-    tail = f"filter(split(right(get(gaps, i), 100), {word}), w -> w <> '')"
-    head = f"filter(split(left(get(gaps, i + 1), 100), {word}), w -> w <> '')"
+
+    def words(gap: str, end: str, whole: int) -> str:
+        """SQL: the words at an end of a gap, of which the first ones from there are whole. Most gaps are longer than needed."""
+        some, split = f"{end}({gap}, 100)", f"filter(split({{}}, {word}), w -> w <> '')"
+        return split.format(f"CASE WHEN size({split.format(some)}) > {whole} THEN {some} ELSE {gap} END")
+
+    tail, head = words("get(gaps, i)", "right", 2), words("get(gaps, i + 1)", "left", 1)
     return (
         docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .withColumn("base", F.expr("concat(" + ", ".join(_spans(k, "text") for k in KINDS) + ")"))
@@ -179,12 +188,16 @@ def score_patterns(edges: DataFrame, params: Params) -> DataFrame:
     """pattern, best (a kind), confidence, seeds: of distinct edges (pattern, instance, kind), after all rounds."""
     numbers = range(len(KINDS))
     counted = edges.groupBy("pattern").agg(F.count("*").alias("n"), *(F.count_if(F.col("kind") == k).alias(f"seeds_{k}") for k in numbers))
-    counted = counted.where(F.greatest(*(F.col(f"seeds_{k}") for k in numbers)) >= params.min_seeds)
+    counted = counted.where(F.col("n") >= params.min_seeds)  # others never have enough seeds
     unseen = edges.where("kind IS NULL").select("pattern", "instance")
 
     def scored(gained: DataFrame | None) -> DataFrame:
         table = counted if gained is None else counted.join(gained, "pattern", "left")
-        of = [F.struct((F.col(f"seeds_{k}") + (F.coalesce(F.col(f"gain_{k}"), F.lit(0.0)) if gained is not None else F.lit(0.0))).alias("sum"), F.col(f"seeds_{k}").alias("seeds"), F.lit(-k).alias("first")) for k in numbers]
+
+        def with_gain(name: str, k: int):
+            return F.col(f"seeds_{k}") + (F.lit(0) if gained is None else F.coalesce(F.col(f"{name}_{k}"), F.lit(0)))
+
+        of = [F.struct((with_gain("gain", k) * F.lit(1.0)).alias("sum"), with_gain("new", k).alias("seeds"), F.lit(-k).alias("first")) for k in numbers]
         top = F.greatest(*of)
         return table.select("pattern", (-top["first"]).alias("best"), (top["sum"] / (F.col("n") + 1)).alias("confidence"), top["seeds"].alias("seeds"))
 
@@ -193,8 +206,9 @@ def score_patterns(edges: DataFrame, params: Params) -> DataFrame:
         sure = patterns.where((F.col("confidence") >= params.confident) & (F.col("seeds") >= params.min_seeds)).select("pattern", "best", "confidence")
         near = _salted(unseen, sure, "pattern", "instance", params.salts).where(_makes("best", "instance"))
         instances = near.groupBy("instance").agg(F.max(F.struct("confidence", (-F.col("best")).alias("first"))).alias("top")).select("instance", F.col("top.confidence").alias("score"), (-F.col("top.first")).alias("as_kind"))
-        gained = _salted(unseen, instances, "instance", "pattern", params.salts).groupBy("pattern").agg(*(F.sum(F.when(F.col("as_kind") == k, F.col("score")).otherwise(0.0)).alias(f"gain_{k}") for k in numbers))
-        patterns = scored(gained)
+        sums = [F.sum(F.when(F.col("as_kind") == k, F.col("score")).otherwise(0.0)).alias(f"gain_{k}") for k in numbers]
+        new = [F.count_if((F.col("as_kind") == k) & (F.col("score") >= params.accepted)).alias(f"new_{k}") for k in numbers]
+        patterns = scored(_salted(unseen, instances, "instance", "pattern", params.salts).groupBy("pattern").agg(*sums, *new))
     return patterns
 
 
@@ -263,7 +277,11 @@ def redact(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", t
     name = "element_at(array(" + ", ".join(f"'<{k.upper()}>'" for k in KINDS) + "), s.kind + 1)"
     parts = f"transform(q_spans, (s, i) -> concat(substring(q_text, CAST(CASE WHEN i = 0 THEN 0 ELSE get(q_spans, i - 1).end END + 1 AS int), CAST(s.start - CASE WHEN i = 0 THEN 0 ELSE get(q_spans, i - 1).end END AS int)), {name}))"
     clean = F.expr(f"CASE WHEN q_spans IS NULL THEN q_text ELSE concat(array_join({parts}, ''), substring(q_text, CAST(element_at(q_spans, -1).end + 1 AS int))) END")
-    row = held.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("q_row"), F.col(f"`{id_col}`").alias("d_id"), F.xxhash64(text).alias("d_key"), text.alias("q_text"))
-    joined = row.join(spans.withColumn("q_spans", merged), F.col("d_id").eqNullSafe(F.col("q_id")) & (F.col("d_key") == F.col("q_key")), "left").withColumn("q_clean", clean)
+    # Rows that repeat one id and text are dealt by where they are read.
+    salt = F.pmod(F.spark_partition_id(), F.lit(params.salts)).alias("d_salt")
+    row = held.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("q_row"), F.col(f"`{id_col}`").alias("d_id"), F.xxhash64(text).alias("d_key"), text.alias("q_text"), salt)
+    copies = spans.withColumn("q_spans", merged).withColumn("q_salt", F.explode(F.sequence(F.lit(0), F.lit(params.salts - 1))))
+    same = F.col("d_id").eqNullSafe(F.col("q_id")) & (F.col("d_key") == F.col("q_key")) & (F.col("d_salt") == F.col("q_salt"))
+    joined = row.join(copies, same, "left").withColumn("q_clean", clean)
     done = joined.select(*(F.col("q_clean").alias(c) if c == text_col else F.col(f"q_row.`{c}`").alias(c) for c in columns))
     return docs.where(~may).unionByName(done)

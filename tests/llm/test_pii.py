@@ -96,6 +96,27 @@ def test_spaced_identifiers_are_discovered_and_redacted(spark):
     assert [clean[i] for i, t in rows if t in list(unseen)[:5]] == ["call line <PHONE> today", "é call line <PHONE>, today", "call line <PHONE> today", "call line <PHONE> today and call line <PHONE>, today", "paid by <CARD> then"]
 
 
+def test_words_of_any_length_are_contexts_as_a_whole(spark):
+    same = "w" * 100
+    one, other = "a" * 110 + same, "b" * 110 + same
+    rows = list(enumerate([f"{one} x{i}@mail.org" for i in range(8)] + [f"{other} odd{i}@host" for i in range(2)] + [f"{one} odd{i}@host" for i in range(2, 4)]))
+    got = {r.doc_id: r.n_added for r in pii.digests(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert {i for i, n in got.items() if n} == {10, 11}
+    after = list(enumerate([f"z{i}@mail.org {one}" for i in range(8)] + [f"the odd{i}@host {other}" for i in range(2)]))
+    assert pii.find(spark.createDataFrame(after, "doc_id long, text string")).where("size(added) > 0").count() == 0
+
+
+def test_discovered_instances_are_seeds_of_the_next_round(spark):
+    known = [f"call line +1 (578) 555-{1000 + i} today" for i in range(100)]
+    unseen = [f"578-777-{1000 + i}" for i in range(20)]
+    rows = list(enumerate([*known, *(f"call line {x} today" for x in unseen), *(f"then dial {x} now" for x in unseen), "then dial 578-999-1234 now"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_added for r in pii.digests(pii.find(df)).collect()}
+    assert {i for i, n in got.items() if n} == set(range(100, 141))
+    first = pii.Params(rounds=1)  # the second context has no seed of its own
+    assert pii.find(df, first).where("size(added) > 0 AND doc_id >= 120").count() == 0
+
+
 def test_one_word_beside_most_identifiers_is_salted_and_complete(spark):
     rows = [(i, f"line +1 (578) 555-{1000 + i % 9000} end") for i in range(400)] + [(1000 + i, f"line 578-555-{1000 + i} end") for i in range(20)]
     found = pii.digests(pii.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)))
