@@ -33,7 +33,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.digests(token_output.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json")))
+    return token_output.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

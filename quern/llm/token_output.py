@@ -3,24 +3,30 @@
 Texts become ids, closed by the end id; documents longer than the capacity are split without loss. A task packs windows
 of at most ``window`` pieces, longest first: a segment tree over remaining capacities gives the fullest open sequence a
 piece fits. A sequence is a row of an id matrix (little-endian 32-bit, padded), with the cumulative lengths of its
-segments and positions that begin anew in each. No shuffle; memory is bounded by the window.
+segments and positions that begin anew in each. No shuffle; memory is bounded by the window. Windows end with
+sequences of their own, so how many sequences there are depends on how the input is split, while no piece ever does.
 
-Defined results: a null or empty text is the end id alone; repeated rows are packed each; an empty table gives no rows.
+Defined results: a null or empty text is the end id alone; a text of any length is encoded whole and split without
+loss; repeated rows and null ids are packed each, and ids keep their type; of equally long pieces the first is placed
+first; extra columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.packing import encoder_of
 
-SEQUENCES = "sequence_id long, ids binary, cu_seqlens array<int>, positions binary, doc_ids array<long>, pieces array<int>"
+SEQUENCES = "sequence_id long, ids binary, cu_seqlens array<int>, positions binary, doc_ids array<{}>, pieces array<int>"
+#: Sequences that are handed on together.
+BATCH_SEQUENCES = 256
 
 
 class Capacities:
@@ -73,28 +79,33 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     """A row a sequence: its padded ids, cumulative segment lengths, positions, and the documents and pieces in it."""
     with open(tokenizer_path, "rb") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())  # a tokenizer file, a few MB whatever the input
-    end = int(end_id).to_bytes(4, "little")
+    end, pad = (int(x).to_bytes(4, "little") for x in (end_id, pad_id))
+    ramp = np.arange(capacity, dtype="<u4").tobytes()
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    kind = source.schema["doc_id"].dataType
+    names = [c.split()[0] for c in SEQUENCES.split(", ")]
+    kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.list_(to_arrow_type(kind)), pa.list_(pa.int32()))
 
     def run(batches):
         encoder, base, n, held = encoder_of(shipped.value), TaskContext.get().partitionId() << 33, 0, []
 
         def packed():
             nonlocal n
-            rows = {c.split()[0]: [] for c in SEQUENCES.split(", ")}
-            for members in best_fit_decreasing([len(p[2]) // 4 for p in held], capacity):
-                sizes = [len(held[i][2]) // 4 for i in members]
-                raw = b"".join(held[i][2] for i in members)
-                spare = capacity - len(raw) // 4
-                rows["sequence_id"].append(base + n)
-                rows["ids"].append(raw + int(pad_id).to_bytes(4, "little") * spare)
-                rows["cu_seqlens"].append([0, *np.cumsum(sizes).tolist()])
-                rows["positions"].append(np.concatenate([*(np.arange(s, dtype="<u4") for s in sizes), np.zeros(spare, "<u4")]).tobytes())
-                rows["doc_ids"].append([held[i][0] for i in members])
-                rows["pieces"].append([held[i][1] for i in members])
-                n += 1
+            plan = best_fit_decreasing([len(p[2]) // 4 for p in held], capacity)
+            for at in range(0, len(plan), BATCH_SEQUENCES):
+                rows = {c: [] for c in names}
+                for members in plan[at : at + BATCH_SEQUENCES]:
+                    sizes = [len(held[i][2]) // 4 for i in members]
+                    spare = capacity - sum(sizes)
+                    rows["sequence_id"].append(base + n)
+                    rows["ids"].append(b"".join([*(held[i][2] for i in members), pad * spare]))
+                    rows["cu_seqlens"].append(list(accumulate(sizes, initial=0)))
+                    rows["positions"].append(b"".join([*(ramp[: 4 * s] for s in sizes), bytes(4 * spare)]))
+                    rows["doc_ids"].append([held[i][0] for i in members])
+                    rows["pieces"].append([held[i][1] for i in members])
+                    n += 1
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], names=names)
             held.clear()
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds, strict=True)], names=list(rows))
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
@@ -102,16 +113,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     held.append((doc_id.as_py(), k, ids[at : at + 4 * capacity]))
                     if len(held) >= window:
-                        yield packed()
+                        yield from packed()
         if held:
-            yield packed()
+            yield from packed()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SEQUENCES)
-
-
-def digests(sequences: DataFrame) -> DataFrame:
-    """Sequences with hashes in place of the id and position rows."""
-    return sequences.select("sequence_id", "doc_ids", "pieces", "cu_seqlens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"))
+    return source.mapInArrow(run, SEQUENCES.format(kind.simpleString()))
 
 
 def unpacked(rows: list, capacity: int) -> dict[tuple[int, int], bytes]:
@@ -126,7 +132,3 @@ def unpacked(rows: list, capacity: int) -> dict[tuple[int, int], bytes]:
                 raise ValueError(f"positions of sequence {r.sequence_id} do not begin anew")
             out[doc_id, piece] = bytes(r.ids[4 * a : 4 * b])
     return out
-
-
-def digest_of(ids: bytes) -> str:
-    return hashlib.sha256(ids).hexdigest()

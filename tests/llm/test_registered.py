@@ -8,7 +8,7 @@ from quern.llm import queries
 COLUMNS = {
     "op1_toxicity": "doc_id held_out score predicted",
     "op2_sentencepiece": "doc_id n_tokens ids_sha256 decoded_sha256",
-    "op3_token_output": "sequence_id doc_ids pieces cu_seqlens ids_sha256 positions_sha256",
+    "op3_token_output": "sequence_id ids cu_seqlens positions doc_ids pieces",
     "op4_lm_scoring": "doc_id n_words log_score mean_log_score",
     "op5_html_extraction": "page_id url text n_chars",
     "op6_best_fit_packing": "doc_id piece start length ids_crc32 sequence_id offset",

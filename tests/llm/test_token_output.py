@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from quern.llm import token_output
+from quern.llm import queries, token_output
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -39,3 +39,38 @@ def test_round_trip(spark, sf_dir, capacity, window):
     library = Tokenizer.from_file(PATH)
     assert dict(whole) == {r.doc_id: np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4").tobytes() for r in docs.collect()}
     assert token_output.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_the_query_equals_a_plain_pack(spark, sf_dir):
+    """Sequence by sequence: ids, cumulative lengths, positions and members of every task's windows."""
+    library = Tokenizer.from_file(PATH)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()  # one file: one task
+    pieces = []
+    for r in docs:
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 0]
+        pieces += [(r.doc_id, k, ids[at : at + 2048]) for k, at in enumerate(range(0, len(ids), 2048))]
+    assert len(pieces) < 4096
+    want = []
+    for piece in sorted(pieces, key=lambda p: -len(p[2])):
+        fits = [(2048 - sum(len(p[2]) for p in s), i) for i, s in enumerate(want) if sum(len(p[2]) for p in s) + len(piece[2]) <= 2048]
+        if fits:
+            want[max(fits, key=lambda f: (-f[0], f[1]))[1]].append(piece)
+        else:
+            want.append([piece])
+    got = queries.op3_token_output(spark, sf_dir).orderBy("sequence_id").collect()
+    assert len(got) == len(want) and sum(len(r.doc_ids) for r in got) == len(pieces)
+    of = {(p[0], p[1]): p[2] for p in pieces}
+    for r in got:
+        ids, positions = np.frombuffer(r.ids, "<u4").tolist(), np.frombuffer(r.positions, "<u4").tolist()
+        members = [of.pop(key) for key in zip(r.doc_ids, r.pieces, strict=True)]
+        assert ids == sum(members, []) + [0] * (2048 - sum(map(len, members)))
+        assert r.cu_seqlens == [sum(map(len, members[:i])) for i in range(len(members) + 1)]
+        assert positions == [x for m in members for x in range(len(m))] + [0] * (2048 - r.cu_seqlens[-1])
+    assert sorted(r.cu_seqlens[-1] for r in got) == sorted(sum(len(p[2]) for p in s) for s in want)
+    assert not of
+
+
+def test_ids_keep_their_type_and_rows_repeat(spark):
+    docs = spark.createDataFrame([("x", "a b", 1, b"i"), ("x", "a b", 1, b"i"), (None, "c", 2, None)], "doc_id string, text string, pieces int, ids binary")
+    (row,) = token_output.pack(docs.coalesce(1), PATH, 64).collect()
+    assert sorted(row.doc_ids, key=str) == [None, "x", "x"] and row.pieces == [0, 0, 0]
