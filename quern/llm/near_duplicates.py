@@ -10,13 +10,16 @@ sets agree in a coordinate with the probability of their Jaccard similarity. Doc
 3. Lists are cut by the sets' sizes, which must be within the least similarity of each other. A list is then known by
    its least node. All lists with the same one are joined into one group, so a family of near copies, which shares
    many lists, is met a few times and not once a list.
-4. Groups are cut into tiles of bounded weight, by a hash. A tile counts the collisions of its nodes in numpy and
-   passes on those nodes that have a partner with enough of them: rows grow with nodes, not with pairs.
+4. Groups are cut into tiles of bounded weight, by a hash. Every tile of a group also gets the group's few pivots. A
+   tile counts the collisions of its nodes in numpy and passes on those nodes that have a partner with enough of them:
+   rows grow with nodes, not with pairs.
 5. For these the full sets are made again from the texts, and tiles confirm links: the intersections of a node with
    all others come from an inverted index of shingles at once, first for the node with most partners, then for every
-   node that is not in the largest component so far. No link between two components remains untried, and a tile
-   returns stars, not pairs.
-6. Components come from alternating large-star and small-star steps.
+   node that is not in the largest component so far. No link between two components of a tile remains untried, and a
+   tile returns stars, not pairs.
+6. Components come from alternating large-star and small-star steps. In a group of several tiles, two nodes of one
+   component need not meet. Those outside a group's largest component, few where pivots join a family, meet all nodes
+   of the group in a second round of tiles, whose links join the first ones before components are made anew.
 
 With k = 40 and matches = 18, a pair at the least similarity 0.8 is passed over with a probability under 1e-6; links
 that are found are exact.
@@ -34,15 +37,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quern.llm.common import Memo, drop_stored, fresh, map_slices, return_memory, stored
 
 MEMO_WORDS = 120_000
-#: Marks which shingles' nodes are asked for, by hash; passing more only costs time.
-BITS = 1 << 20
+#: Marks by hash which texts are asked for: so many a text, and no more in all; passing more texts only costs time.
+BITS_EACH, MOST_BITS = 32, 1 << 24
+#: Marks of texts to drop that are broadcast at most, some 16 MB.
+MARKS = 1 << 20
+#: Texts that a task remembers so as not to make their sets again.
+MOST_DONE = 1 << 20
+#: Nodes of a group that all its tiles have.
+PIVOTS = 3
 #: Over so many parts a hot key is dealt in joins.
 SALTS = 8
 
@@ -158,23 +167,51 @@ def groups(nodes: DataFrame, params: Params) -> DataFrame:
     return posts.join(heads, ["token", "step"]).select("head", "node").distinct()
 
 
-def salted(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
+def salted(left: DataFrame, right: DataFrame, key: str, spread: str | Column, how: str = "inner") -> DataFrame:
     """left joined to right on key, unique in right, with the rows of a key in left dealt by another column."""
     dealt = left.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return dealt.join(copies, [key, "salt"], how).drop("salt")
 
 
-def tiles(members: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
-    """head, tile, block, node, signature: each two blocks of a group meet in one tile, in which they are 0 and 1."""
-    known = members.join(nodes.select("node", "signature", "n_shingles"), "node")
-    weights = known.groupBy("head").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+def placed_of(members: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
+    """head, node, blocks, own, is_pivot: each node's block of its group, which has as many as its weight asks for."""
+    known = members.join(nodes.select("node", "n_shingles"), "node")
+    pivots = F.array(*(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(PIVOTS)))
+    weights = known.groupBy("head").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), pivots.alias("pivots"))
     blocks = F.greatest(F.ceil(F.col("n") / params.tile_nodes), F.ceil(F.col("w") / params.tile_shingles)).cast("int")
-    large = weights.select("head", blocks.alias("large")).where("large > 1")  # few, by their size
-    placed = salted(known, large, "head", "node", "left").withColumn("blocks", F.coalesce("large", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    return met.select("head", (low * F.col("blocks") + high).alias("tile"), F.when((F.col("own") == high) & (low < high), 1).otherwise(0).alias("block"), (low < high).alias("two"), "node", "signature")
+    large = weights.select("head", blocks.alias("large"), "pivots").where("large > 1")  # few, by their size
+    return (
+        salted(known, large, "head", "node", "left")
+        .withColumn("blocks", F.coalesce("large", F.lit(1)))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("is_pivot", F.coalesce(F.array_contains("pivots", F.col("node")), F.lit(False)))
+        .select("head", "node", "blocks", "own", "is_pivot")
+    )
+
+
+def first_tiles(placed: DataFrame) -> DataFrame:
+    """head, tile, block, two, node: each block of a group with the group's pivots."""
+    everywhere = F.sequence(F.lit(0), F.col("blocks") - 1)
+    at = F.explode(F.when(F.col("is_pivot"), everywhere).otherwise(F.array("own")))
+    return placed.select("head", at.alias("tile"), F.lit(0).alias("block"), F.lit(False).alias("two"), "node")
+
+
+def second_tiles(placed: DataFrame, linked: DataFrame, params: Params) -> DataFrame | None:
+    """Tiles in which the nodes outside their group's largest component (block 0) meet all of the group; None if there are none."""
+    large = placed.where("blocks > 1").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = large.groupBy("head", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("head").agg(F.max(F.struct("n", "component"))["component"].alias("most"), F.count("*").alias("several"), (F.sum("n") - F.max("n")).alias("n_rest"))
+    most = most.where("several > 1").withColumn("rest_blocks", F.ceil(F.col("n_rest") / params.tile_nodes).cast("int")).select("head", "most", "rest_blocks")
+    most = stored(most, "most")
+    if most.isEmpty():
+        return None
+    met = salted(large, most, "head", "node")
+    own_rest = F.pmod(F.xxhash64("node", F.lit(7)), F.col("rest_blocks")).cast("int")
+    columns = ("head", "tile", "block", "two", "node")
+    rest = met.where("component <> most").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("tile", own_rest * F.col("blocks") + F.col("other")).withColumn("block", F.lit(0))
+    all_ = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1))).withColumn("tile", F.col("other") * F.col("blocks") + F.col("own")).withColumn("block", F.lit(1))
+    return rest.withColumn("two", F.lit(True)).select(*columns).unionByName(all_.withColumn("two", F.lit(True)).select(*columns))
 
 
 def _tilewise(rows: DataFrame, names: list[str], ddl: str, schema: pa.Schema, make) -> DataFrame:
@@ -216,7 +253,7 @@ def _matrix(column: pa.ChunkedArray, k: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, k)
 
 
-def partners(signatures: np.ndarray, block: np.ndarray, two: bool, least: int) -> np.ndarray:
+def partners(signatures: np.ndarray, block: np.ndarray, two: bool, least: int, nodes: np.ndarray) -> np.ndarray:
     """How many partners each row of a tile has with at least so many equal coordinates; of the other block, if there are two."""
     n, k = signatures.shape
     counts = np.zeros(n, np.int64)
@@ -231,8 +268,7 @@ def partners(signatures: np.ndarray, block: np.ndarray, two: bool, least: int) -
     for at in range(0, len(left), step):
         rows = left[at : at + step]
         hit = (signatures[rows][:, None, :] == other[None, :, :]).sum(2, dtype=np.int16) >= least
-        if not two:
-            hit[np.arange(len(rows)), rows] = False
+        hit &= nodes[rows][:, None] != nodes[right][None, :]
         counts[rows] += hit.sum(1)
         if two:
             counts[right] += hit.sum(0)
@@ -245,14 +281,14 @@ def candidates(tiled: DataFrame, params: Params) -> DataFrame:
 
     def make():
         def work(table: pa.Table):
-            signed, block, two = _matrix(table.column("signature"), params.k), table.column("block").to_numpy(), table.column("two").to_numpy(zero_copy_only=False)
+            signed, block, two, names = _matrix(table.column("signature"), params.k), table.column("block").to_numpy(), table.column("two").to_numpy(zero_copy_only=False), table.column("node").to_numpy()
             starts = np.append(_starts(table), table.num_rows)
             counts, sizes = np.zeros(table.num_rows, np.int64), np.diff(starts)
             twos = starts[:-1][sizes == 2]  # most groups are two rows: all at once
-            hit = (signed[twos] == signed[twos + 1]).sum(1) >= params.matches
+            hit = ((signed[twos] == signed[twos + 1]).sum(1) >= params.matches) & (names[twos] != names[twos + 1]) & (~two[twos] | (block[twos] != block[twos + 1]))
             counts[twos[hit]] = counts[twos[hit] + 1] = 1
             for a, b in zip(starts[:-1][sizes > 2], starts[1:][sizes > 2], strict=True):
-                counts[a:b] = partners(signed[a:b], block[a:b], bool(two[a]), params.matches)
+                counts[a:b] = partners(signed[a:b], block[a:b], bool(two[a]), params.matches, names[a:b])
             kept = table.filter(pa.array(counts > 0))
             return [*(kept.column(n).combine_chunks() for n in ("head", "tile", "block", "two", "node")), counts[counts > 0]]
 
@@ -266,19 +302,21 @@ def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str)
 
     A bit map of bounded size tells most other texts apart before their sets are made or anything is shuffled.
     """
-    marks = wanted.select(F.pmod("text_key", F.lit(BITS)).alias("bit")).distinct().collect()  # at most BITS numbers
-    bits = np.zeros(BITS, bool)
-    bits[[r.bit for r in marks]] = True
-    shipped = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    n_bits = min(MOST_BITS, max(1 << 10, 1 << (BITS_EACH * wanted.count()).bit_length()))
+    bit = F.pmod("text_key", F.lit(n_bits))
+    marks = wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, CAST(pmod(text_key, {n_bits}) % 64 AS int)))").alias("bits")).toArrow()  # a 64th of the marks
+    words = np.zeros(n_bits // 64, np.int64)
+    words[marks.column("at").to_numpy()] = marks.column("bits").to_numpy()
+    shipped = docs.sparkSession.sparkContext.broadcast(words)
     schema = pa.schema([("text_key", pa.int64()), ("set_key", pa.binary()), ("shingles", pa.binary())])
 
     def make():
-        of, known, done = Shingler(params), np.unpackbits(shipped.value) == 1, set()
+        of, known, done = Shingler(params), np.unpackbits(shipped.value.astype("<i8").view(np.uint8), bitorder="little") == 1, set()
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             keys = batch.column("text_key").to_numpy()
-            rows = [i for i in np.flatnonzero(known[keys % BITS]) if keys[i] not in done]  # a task needs a text once
-            if len(done) < BITS:
+            rows = [i for i in np.flatnonzero(known[keys % n_bits]) if keys[i] not in done]  # a task needs a text once
+            if len(done) < MOST_DONE:
                 done.update(keys[rows].tolist())
             some = batch.take(pa.array(rows, pa.int64()))
             sets = [of.shingles(x) for x in some.column("text").to_pylist()]
@@ -389,16 +427,23 @@ def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
     """doc_id, text_key, n_shingles, component_id (the least id it reaches by links) and kept of each row."""
     printed = stored(prints(docs, params, id_col, text_col), "prints")
     nodes = nodes_of(printed)
-    tiled = tiles(stored(groups(nodes, params), "groups"), nodes, params)
-    found = stored(candidates(tiled, params), "candidates")
-    wanted = found.select("node").distinct().join(nodes.select("node", "text_key", "set_key"), "node")
-    sets = stored(full_sets(docs, wanted, params, text_col), "sets")
-    linked = components(links(found, sets, params))
+    placed = stored(placed_of(stored(groups(nodes, params), "groups"), nodes, params), "placed")
+
+    def edges(tiled: DataFrame) -> DataFrame:
+        found = stored(candidates(tiled.join(nodes.select("node", "signature"), "node"), params), "candidates")
+        wanted = stored(found.select("node").distinct().join(nodes.select("node", "text_key", "set_key"), "node"), "wanted")
+        return links(found, stored(full_sets(docs, wanted, params, text_col), "sets"), params)
+
+    first = stored(edges(first_tiles(placed)), "links")
+    linked = components(first)
+    if (more := second_tiles(placed, linked, params)) is not None:
+        linked = components(first.unionByName(edges(more)))
     # The least id of each component; alone are the nodes that no link names.
     of = nodes.select("node", "set_key", "least", "n").join(linked, "node", "left")
     joint = of.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
     told = of.join(joint, "component", "left").where("n > 1 OR component IS NOT NULL").select("set_key", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
-    out = printed.join(told, "set_key", "left")
+    # Copies of one text, and texts without a word, are dealt by where they were written.
+    out = salted(printed, told, "set_key", F.spark_partition_id() + F.xxhash64("doc_id"), "left")
     component = F.when(F.col("is_told"), F.col("told")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -417,9 +462,9 @@ def keep_one(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
     drop = gone.unionAll(other).distinct().select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key))
     drop = stored(drop, "drop")
     one_id, key = F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
-    # At most BITS marks tell most texts that stay apart; only the others are shuffled to be compared in full.
-    marks = F.broadcast(drop.select(F.pmod(drop_key, F.lit(BITS)).alias(again)).distinct())
-    marked = F.pmod(key, F.lit(BITS)) == F.col(again)
+    # At most MARKS marks tell most texts that stay apart; only the others are shuffled to be compared in full.
+    marks = F.broadcast(drop.select(F.pmod(drop_key, F.lit(MARKS)).alias(again)).distinct())
+    marked = F.pmod(key, F.lit(MARKS)) == F.col(again)
     doubtful = docs.join(marks, marked, "left_semi").join(drop, one_id.eqNullSafe(F.col(drop_id)) & (key == F.col(drop_key)), "left_anti")
     left = docs.join(marks, marked, "left_anti").unionByName(doubtful)
     if several.isEmpty():

@@ -129,3 +129,39 @@ def test_documents_match_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert got(docs, near.Params(words=2)) == brute(rows, 2)
+
+
+def chain(rng, n, length=120, edits=8):
+    """Each text is near the one before, and far from those long before."""
+    words = [f"w{rng.randrange(5000)}" for _ in range(length)]
+    out = []
+    for _ in range(n):
+        for _ in range(edits):
+            words[rng.randrange(length)] = f"w{rng.randrange(5000)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("tile", [4, 16])
+def test_groups_of_several_components_lose_no_link(spark, monkeypatch, tile):
+    rounds, second = [], near.second_tiles
+    monkeypatch.setattr(near, "second_tiles", lambda *a: rounds.append(second(*a)) or rounds[-1])
+    rng = random.Random(tile)
+    rows = list(enumerate([*chain(rng, 120), *chain(rng, 60, 60, 3), *family(rng, 60)]))
+    params = near.Params(words=2, tile_nodes=tile)
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(4), params) == brute(rows, 2)
+    assert rounds[0] is not None
+
+
+@pytest.mark.parametrize("n", [200, 800])
+def test_rows_of_a_family_grow_with_its_size(spark, n):
+    rng = random.Random(3)
+    docs = spark.createDataFrame(list(enumerate(family(rng, n, 120, 4))), SCHEMA)
+    params = near.Params(words=2, tile_nodes=20)
+    nodes = near.nodes_of(near.prints(docs, params, "doc_id", "text"))
+    placed = near.stored(near.placed_of(near.groups(nodes, params), nodes, params), "placed")
+    members, rows = placed.count(), near.first_tiles(placed)
+    assert placed.agg(F.max("blocks")).first()[0] >= n // 40
+    assert rows.count() <= members * (1 + 2 * near.PIVOTS / 20) + 200
+    linked = near.components(near.links(near.stored(near.candidates(rows.join(nodes.select("node", "signature"), "node"), params), "found"), near.full_sets(docs, nodes, params, "text"), params))
+    assert near.second_tiles(placed, linked, params) is None  # pivots have joined the family
