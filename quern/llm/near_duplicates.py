@@ -298,7 +298,7 @@ def candidates(tiled: DataFrame, params: Params) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str) -> DataFrame:
-    """node, shingles (64-bit numbers) of the wanted nodes (node, text_key, set_key), from a second look at the texts.
+    """text_key, set_key, shingles (64-bit numbers) of the wanted nodes (node, text_key, set_key), from a second look at the texts.
 
     A bit map of bounded size tells most other texts apart before their sets are made or anything is shuffled.
     """
@@ -325,7 +325,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str)
         return kernel
 
     made = map_slices(docs.select(F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")), schema, "text_key long, set_key binary, shingles binary", make)
-    return made.join(wanted.select("node", "text_key", "set_key"), ["text_key", "set_key"]).groupBy("node", "shingles").agg(F.lit(1).alias("one")).drop("one")
+    return made.groupBy("text_key", "set_key").agg(F.first("shingles").alias("shingles"))  # of copies of a text, all have the same
 
 
 def confirm(sets: list[np.ndarray], n_partners: np.ndarray, block: np.ndarray, two: bool, percent: int) -> list[int]:
@@ -365,8 +365,8 @@ def confirm(sets: list[np.ndarray], n_partners: np.ndarray, block: np.ndarray, t
     return [root(x) for x in range(n)]
 
 
-def links(found: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
-    """a, b: stars of linked nodes, one for each component of a tile."""
+def links(found: DataFrame, nodes: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
+    """a, b: stars of linked nodes, one for each component of a tile. sets are read by text_key and set_key, and go to the tiles at once."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def make():
@@ -386,7 +386,7 @@ def links(found: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
 
         return work
 
-    rows = found.join(sets, "node")
+    rows = found.join(nodes.select("node", "text_key", "set_key"), "node").join(sets, ["text_key", "set_key"])
     return _tilewise(rows, ["block", "two", "node", "n_partners", "shingles"], "a long, b long", schema, make)
 
 
@@ -432,12 +432,12 @@ def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
     def edges(tiled: DataFrame) -> DataFrame:
         found = stored(candidates(tiled.join(nodes.select("node", "signature"), "node"), params), "candidates")
         wanted = stored(found.select("node").distinct().join(nodes.select("node", "text_key", "set_key"), "node"), "wanted")
-        return links(found, stored(full_sets(docs, wanted, params, text_col), "sets"), params)
+        return links(found, nodes, full_sets(docs, wanted, params, text_col), params)
 
     first = stored(edges(first_tiles(placed)), "links")
     linked = components(first)
     if (more := second_tiles(placed, linked, params)) is not None:
-        linked = components(first.unionByName(edges(more)))
+        linked = components(first.unionByName(stored(edges(more), "links")))
     # The least id of each component; alone are the nodes that no link names.
     of = nodes.select("node", "set_key", "least", "n").join(linked, "node", "left")
     joint = of.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))

@@ -163,5 +163,5 @@ def test_rows_of_a_family_grow_with_its_size(spark, n):
     members, rows = placed.count(), near.first_tiles(placed)
     assert placed.agg(F.max("blocks")).first()[0] >= n // 40
     assert rows.count() <= members * (1 + 2 * near.PIVOTS / 20) + 200
-    linked = near.components(near.links(near.stored(near.candidates(rows.join(nodes.select("node", "signature"), "node"), params), "found"), near.full_sets(docs, nodes, params, "text"), params))
+    linked = near.components(near.links(near.stored(near.candidates(rows.join(nodes.select("node", "signature"), "node"), params), "found"), nodes, near.full_sets(docs, nodes, params, "text"), params))
     assert near.second_tiles(placed, linked, params) is None  # pivots have joined the family
