@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quern.llm.common import return_memory
 from quern.llm.packing import encoder_of
 
 SEQUENCES = "sequence_id long, ids binary, cu_seqlens array<int>, positions binary, doc_ids array<{}>, pieces array<int>"
 #: Sequences that are handed on together.
-BATCH_SEQUENCES = 256
+BATCH_SEQUENCES = 64
 
 
 class Capacities:
@@ -114,8 +115,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                     held.append((doc_id.as_py(), k, ids[at : at + 4 * capacity]))
                     if len(held) >= window:
                         yield from packed()
+            pa.default_memory_pool().release_unused()
         if held:
             yield from packed()
+        return_memory()
 
     return source.mapInArrow(run, SEQUENCES.format(kind.simpleString()))
 
