@@ -71,6 +71,11 @@ def drop_stored(df: DataFrame) -> None:
 def return_memory() -> None:
     """Give what a task has freed back to the system, as the worker outlives it."""
     gc.collect()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """return_memory() for tasks that leave no cycles behind, without a look at everything that is kept."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from quern.llm.common import return_memory
+from quern.llm.common import trim_memory
 from quern.llm.packing import encoder_of
 
 SEQUENCES = "sequence_id long, ids binary, cu_seqlens array<int>, positions binary, doc_ids array<{}>, pieces array<int>"
@@ -118,7 +118,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             pa.default_memory_pool().release_unused()
         if held:
             yield from packed()
-        return_memory()
+        trim_memory()
 
     return source.mapInArrow(run, SEQUENCES.format(kind.simpleString()))
 
