@@ -41,7 +41,7 @@ from tokenizers import Tokenizer
 
 from quern.llm.common import Memo, map_slices, stored
 
-MEMO_WORDS = 350_000
+MEMO_WORDS = 800_000
 MEMO_CHARS = 64
 CHUNK_WORDS = 4096
 #: The least large length as a share of the capacity, and how many groups. All are planned, and the plan with fewest
