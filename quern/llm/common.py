@@ -81,8 +81,8 @@ def trim_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]]) -> DataFrame:
-    """mapInArrow over slices of at most SLICE_ROWS rows. make() runs once a task and returns the kernel."""
+def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], done: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow over slices of at most SLICE_ROWS rows. make() runs once a task and returns the kernel, done() at its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make()
@@ -93,6 +93,8 @@ def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Ca
                     yield out.cast(schema)
             pa.default_memory_pool().release_unused()
         del kernel
+        if done is not None:
+            done()
         return_memory()
 
     return df.mapInArrow(run, ddl)
@@ -123,6 +125,10 @@ class Memo(dict):
             self.put(key, found)
         return found
 
+    def forget(self) -> None:
+        """Drop the older generation."""
+        self._old = {}
+
     def put(self, key, value) -> None:
         if len(self) >= self._most:
             self._old = dict(self)

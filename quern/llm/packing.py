@@ -41,7 +41,7 @@ from tokenizers import Tokenizer
 
 from quern.llm.common import Memo, map_slices, stored
 
-MEMO_WORDS = 800_000
+MEMO_WORDS = 500_000
 MEMO_CHARS = 64
 CHUNK_WORDS = 4096
 #: The least large length as a share of the capacity, and how many groups. All are planned, and the plan with fewest
@@ -197,7 +197,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: i
 
         return kernel
 
-    return map_slices(source, schema, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long", make)
+    def done():
+        encoder_of(shipped.value).known.forget()  # the worker may go on with other work
+
+    return map_slices(source, schema, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long", make, done)
 
 
 # --- the plan -----------------------------------------------------------------------------------------------------
