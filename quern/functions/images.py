@@ -140,7 +140,10 @@ def encode_png(image: np.ndarray) -> bytes:
 
 
 def decode_png(data: bytes) -> np.ndarray:
-    """The image of a PNG of 8 bits a channel, not interlaced; ValueError for anything else or for damage."""
+    """The image of a PNG of 8 bits a channel, not interlaced; ValueError for anything else, nothing at all, or damage."""
+    if data is None:
+        raise ValueError("no content")
+    data = bytes(data)
     if data[:8] != PNG_SIGNATURE:
         raise ValueError("not a PNG")
     at, body, head, ended = 8, b"", None, False
@@ -151,6 +154,8 @@ def decode_png(data: bytes) -> np.ndarray:
             raise ValueError(f"damaged chunk {name!r}")
         at += 12 + size
         if name == b"IHDR":
+            if size != 13:
+                raise ValueError("header of a wrong length")
             head = struct.unpack(">IIBBBBB", part)
         elif name == b"IDAT":
             body += part
@@ -181,16 +186,21 @@ def _unfiltered(kind: int, row: np.ndarray, above: np.ndarray, step: int) -> np.
         return row + above
     if kind == 1:
         return np.cumsum(row.reshape(-1, step), axis=0, dtype=np.uint8).ravel()
-    out = row.astype(int)
-    up = above.astype(int)
-    for i in range(len(out)):
-        left, corner = (out[i - step], up[i - step]) if i >= step else (0, 0)
-        if kind == 3:
-            guess = (left + up[i]) // 2
-        elif kind == 4:
-            target = left + up[i] - corner
-            guess = min((left, up[i], corner), key=lambda v: abs(target - v))
-        else:
-            raise ValueError(f"unknown filter {kind}")
-        out[i] = (out[i] + guess) & 255
-    return out.astype(np.uint8)
+    if kind not in (3, 4):
+        raise ValueError(f"unknown filter {kind}")
+    # By pixel, over plain numbers: each depends on the one before.
+    channels = []
+    for line, up in zip(row.reshape(-1, step).T.tolist(), above.reshape(-1, step).T.tolist(), strict=True):
+        left, corner, done = 0, 0, []
+        for x, b in zip(line, up, strict=True):
+            if kind == 3:
+                left = (x + ((left + b) >> 1)) & 255
+            else:
+                from_left, from_up = abs(b - corner), abs(left - corner)
+                from_corner = abs(left + b - 2 * corner)
+                guess = left if from_left <= from_up and from_left <= from_corner else b if from_up <= from_corner else corner
+                left = (x + guess) & 255
+            corner = b
+            done.append(left)
+        channels.append(done)
+    return np.array(channels, np.uint8).T.ravel()

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import scalars
 
 
 def groups(items: DataFrame, first: str, second: str) -> DataFrame:
-    """A row a fingerprint that several items have, with its kind: within one corpus, or across."""
-    known = items.where(F.col("fingerprint").isNotNull())
+    """A row a fingerprint, neither null nor empty, that several items have, with its kind: within one corpus, or across."""
+    known = items.where(F.col("fingerprint").isNotNull() & (F.col("fingerprint") != ""))
     found = known.groupBy("fingerprint").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("corpus") == first).alias("n_first"),
@@ -70,13 +70,24 @@ def near_pairs(hashes: DataFrame, first: str, second: str, most: int) -> DataFra
 def near_pairs_banded(hashes: DataFrame, first: str, second: str, most: int) -> DataFrame:
     """The same pairs by bands: of most + 1 bands of 64 bits, hashes that differ in at most ``most`` bits share one.
 
-    Pays for small ``most`` and large classes: the key is (class, band, bits) instead of the class alone.
+    Pays for small ``most`` and large classes: the key is (class, band, bits) instead of the class alone. A pair is kept
+    in the first band that both share, so pairs need not be made distinct.
     """
     n = most + 1
     cuts = [64 * i // n for i in range(n + 1)]
-    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(F.col("hash"), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).cast("long")).alias("bits")) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False))))
+
+    def band(x: Column, i: int) -> Column:
+        lo, hi = cuts[i], cuts[i + 1]
+        return F.shiftrightunsigned(x, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).cast("long"))
+
+    bands = F.array(*(F.struct(F.lit(i).alias("band"), band(F.col("hash"), i).alias("bits")) for i in range(n)))
     spread = hashes.where(F.col("hash").isNotNull()).select("klass", "corpus", "id", "hash", "fingerprint", F.explode(bands).alias("b"))
     a, b = spread.where(F.col("corpus") == first).alias("a"), spread.where(F.col("corpus") == second).alias("b")
-    met = a.join(b, (F.col("a.klass") == F.col("b.klass")) & (F.col("a.b") == F.col("b.b")) & ~F.col("a.fingerprint").eqNullSafe(F.col("b.fingerprint")))
-    distance = scalars.hamming(F.col("a.hash"), F.col("b.hash"))
-    return met.where(distance <= most).select(F.col("a.klass").alias("klass"), F.col("a.id").alias("first_id"), F.col("b.id").alias("second_id"), distance.cast("int").alias("distance")).distinct()
+    differ = F.col("a.hash").bitwiseXOR(F.col("b.hash"))
+    distance = F.bit_count(differ)
+    earlier = F.lit(False)
+    for i in range(n):
+        earlier = earlier | ((F.lit(i) < F.col("a.b.band")) & (band(differ, i) == 0))
+    same = (F.col("a.klass") == F.col("b.klass")) & (F.col("a.b.band") == F.col("b.b.band")) & (F.col("a.b.bits") == F.col("b.b.bits"))
+    met = a.join(b, same & ~F.col("a.fingerprint").eqNullSafe(F.col("b.fingerprint")) & (distance <= most) & ~earlier)
+    return met.select(F.col("a.klass").alias("klass"), F.col("a.id").alias("first_id"), F.col("b.id").alias("second_id"), distance.cast("int").alias("distance"))

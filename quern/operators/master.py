@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quern.functions import scalars
 
@@ -20,11 +19,15 @@ def manifest(items: DataFrame, order: list[str]) -> DataFrame:
 
     The first item in scan order of a fingerprint is canonical, valid or not; items without one are their own. Only
     valid canonical items are included, so an invalid canonical item leaves out its copies too. A duplicate is taken
-    as valid, as it is never decoded.
+    as valid, as it is never decoded. ``order`` must tell items apart.
+
+    The first of a fingerprint is a minimum that is pre-aggregated before the shuffle, and is joined back only to
+    fingerprints that several items have; the join can be split where one fingerprint has most of the items.
     """
-    same = Window.partitionBy(F.coalesce(F.col("fingerprint"), F.concat(F.lit("id:"), F.col("id").cast("string")))).orderBy(*order)
-    ranked = items.withColumn("place", F.row_number().over(same)).withColumn("first_id", F.first("id").over(same))
-    duplicate = F.col("place") > 1
+    place = F.struct(*order, F.col("id").alias("first_id"))
+    first = items.where(F.col("fingerprint").isNotNull()).groupBy("fingerprint").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    ranked = items.join(first, "fingerprint", "left").withColumn("first_id", F.col("first.first_id"))
+    duplicate = F.coalesce(F.col("first") < place, F.lit(False))
     return ranked.select(
         *[c for c in items.columns if c not in ("is_valid", "content")],
         (duplicate | F.col("is_valid")).alias("is_valid"),

@@ -31,8 +31,8 @@ def assign(items: DataFrame, seed: int, val_ratio: float = 0.1, test_ratio: floa
 
     The order does not depend on other classes or on partitions. One shuffle by class serves rank and count.
     """
-    if not 0 <= val_ratio + test_ratio < 1:
-        raise ValueError("ratios of validation and test must leave something to train on")
+    if min(val_ratio, test_ratio) < 0 or val_ratio + test_ratio >= 1:
+        raise ValueError("ratios of validation and test must not be negative and must leave something to train on")
     key = F.sha2(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string")), 256)
     by_class = Window.partitionBy("klass")
     ranked = items.withColumn("place", F.row_number().over(by_class.orderBy(key, "id")).cast("long")).withColumn("of", F.count("*").over(by_class))

@@ -14,6 +14,8 @@ from quern.plans.registry import register
 from quern.sources.tables import table
 
 HASHES, PAIRS = f"WITH {s.HASHES_SQL}\n", f"WITH {s.HASHES_SQL}, {s.PAIRS_SQL}\n"
+#: Bits that near duplicates may differ in where bands find them.
+BANDED = 10
 COUNTS = "count(*) AS total, count_if(status = 'valid')::BIGINT AS valid, count_if(status = 'unsupported')::BIGINT AS unsupported, count_if(status = 'corrupt')::BIGINT AS corrupt"
 
 
@@ -345,14 +347,72 @@ NEED = f"(SELECT klass, count(*) AS n_orig, greatest({s.TARGET} - count(*), 0) A
 @register(
     "dataset_statistics",
     with_items(
-        f"""SELECT c.klass, c.first_count, c.second_count, c.combined, st.train_count, st.validation_count, st.test_count, n.n_needed AS augmented_train_count, n.n_orig + n.n_needed AS final_train_count
+        f"""SELECT c.klass, c.first_count, c.second_count, c.combined, coalesce(st.train_count, 0) AS train_count, coalesce(st.validation_count, 0) AS validation_count, coalesce(st.test_count, 0) AS test_count,
+        coalesce(n.n_needed, 0) AS augmented_train_count, coalesce(n.n_orig + n.n_needed, 0) AS final_train_count
         FROM (SELECT klass, count_if(corpus = 'A')::BIGINT AS first_count, count_if(corpus = 'B')::BIGINT AS second_count, count(*) AS combined FROM entries WHERE include_in_master GROUP BY 1) c
         LEFT JOIN (SELECT klass, {STATISTICS} FROM split GROUP BY 1) st USING (klass) LEFT JOIN {NEED} n USING (klass)"""
     ),
 )
 def dataset_statistics(spark: SparkSession, d: str) -> DataFrame:
-    needs = augment.need(s.train(spark, d), s.TARGET).select("klass", F.col("n_needed").alias("augmented_train_count"), (F.col("n_orig") + F.col("n_needed")).alias("final_train_count"))
-    return master.class_counts(s.entries(spark, d), s.FIRST, s.SECOND).join(split.statistics(s.splits(spark, d)).drop("total_count"), "klass", "left").join(needs, "klass", "left")
+    """One pass: the split has the included items alone, so class, split and needed rows are counts of it; a missing count is 0."""
+    rows = s.splits(spark, d)
+    counts = rows.groupBy("klass").agg(
+        F.count_if(F.col("corpus") == s.FIRST).alias("first_count"),
+        F.count_if(F.col("corpus") == s.SECOND).alias("second_count"),
+        F.count("*").alias("combined"),
+        *(F.count_if(F.col("split") == x).alias(f"{x}_count") for x in split.SPLITS),
+    )
+    needed = F.when(F.col("train_count") > 0, F.greatest(F.lit(s.TARGET) - F.col("train_count"), F.lit(0))).otherwise(0)
+    return counts.withColumn("augmented_train_count", needed.cast("long")).withColumn("final_train_count", F.col("train_count") + F.col("augmented_train_count"))
+
+
+@register(
+    "class_split_grid",
+    with_items("SELECT k.klass, x.split, count(split.id) AS n FROM (SELECT DISTINCT klass FROM items) k CROSS JOIN (VALUES ('train'), ('validation'), ('test')) x(split) LEFT JOIN split ON split.klass = k.klass AND split.split = x.split GROUP BY 1, 2"),
+)
+def class_split_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Every class with every split, whether or not it has items."""
+    grid = s.items(spark, d).select("klass").distinct().withColumn("split", F.explode(F.array(*map(F.lit, split.SPLITS))))
+    counts = s.splits(spark, d).groupBy("klass", "split").agg(F.count("*").alias("n"))
+    return grid.join(counts, ["klass", "split"], "left").na.fill(0, ["n"])
+
+
+@register(
+    "global_size_extent",
+    with_items("SELECT count(*) AS n, min(n_chars) AS least, max(n_chars) AS most, round(avg(n_chars), 6) AS mean FROM items WHERE status = 'valid'"),
+)
+def global_size_extent(spark: SparkSession, d: str) -> DataFrame:
+    valid = s.items(spark, d).where("status = 'valid'")
+    return valid.agg(F.count("*").alias("n"), F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.round(F.avg("n_chars"), 6).alias("mean"))
+
+
+@register("fingerprint_prefixes", with_items("SELECT substr(fingerprint, 1, 16) AS prefix, n, dup_type FROM found"))
+def fingerprint_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    return s.groups(spark, d).select(F.substring("fingerprint", 1, 16).alias("prefix"), "n", "dup_type")
+
+
+@register(
+    "dataset_summary",
+    with_items(
+        """SELECT (SELECT count(*) FROM items) AS total_seen, (SELECT count(*) FROM found) AS dup_groups, (SELECT count_if(is_duplicate)::BIGINT FROM entries) AS duplicates, (SELECT count_if(include_in_master)::BIGINT FROM entries) AS total_master,
+        (SELECT count(DISTINCT klass) FROM split) AS classes, (SELECT count_if(split = 'train')::BIGINT FROM split) AS train, (SELECT count_if(split = 'validation')::BIGINT FROM split) AS validation, (SELECT count_if(split = 'test')::BIGINT FROM split) AS test,
+        (SELECT count(*) FROM (SELECT fingerprint FROM split GROUP BY 1 HAVING count(DISTINCT split) > 1)) AS leaked"""
+    ),
+)
+def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
+    """One row of five tables: items, duplicate groups, manifest, split and leakage."""
+    rows = s.splits(spark, d)
+    parts = [
+        s.items(spark, d).agg(F.count("*").alias("total_seen")),
+        s.groups(spark, d).agg(F.count("*").alias("dup_groups")),
+        s.entries(spark, d).agg(F.count_if("is_duplicate").alias("duplicates"), F.count_if("include_in_master").alias("total_master")),
+        rows.agg(F.countDistinct("klass").alias("classes"), *(F.count_if(F.col("split") == x).alias(x) for x in split.SPLITS)),
+        split.leaked(rows).agg(F.count("*").alias("leaked")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:  # one row each
+        out = out.join(F.broadcast(part))
+    return out
 
 
 # --- near duplicates ------------------------------------------------------------------------------------------------
@@ -373,9 +433,18 @@ def near_dup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return s.near(spark, d)
 
 
-@register("near_dup_pairs_banded", PAIRS.replace(f"<= {s.HAMMING}", "<= 22") + "SELECT * FROM pairs")
+@register(
+    "near_dup_pairs_banded",
+    HASHES.rstrip()
+    + f""", flipped AS (SELECT id, klass, xor(hash, (1::BIGINT << (id % 13)::INTEGER) - 1) AS hash FROM hashes)
+    SELECT a.klass, a.id AS first_id, b.id AS second_id, bit_count(xor(a.hash, b.hash))::INTEGER AS distance FROM hashes a JOIN flipped b ON a.klass = b.klass AND bit_count(xor(a.hash, b.hash)) <= {BANDED}""",
+)
 def near_dup_pairs_banded(spark: SparkSession, d: str) -> DataFrame:
-    return duplicates.near_pairs_banded(s.hashes(spark, d), s.FIRST, s.SECOND, 22)
+    """Items against copies of which 0 to 12 bits are flipped."""
+    first = s.hashes(spark, d).select("klass", F.lit(s.FIRST).alias("corpus"), "id", "hash", "fingerprint")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("id") % 13).cast("int")) - 1
+    second = first.withColumn("corpus", F.lit(s.SECOND)).withColumn("hash", F.col("hash").bitwiseXOR(mask)).withColumn("fingerprint", F.concat("fingerprint", F.lit("*")))
+    return duplicates.near_pairs_banded(first.unionByName(second), s.FIRST, s.SECOND, BANDED)
 
 
 @register("near_dup_by_class", PAIRS + "SELECT klass, count(*) AS pairs, count(DISTINCT first_id) AS first_items, count(DISTINCT second_id) AS second_items FROM pairs GROUP BY 1")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions import scalars
 from quern.operators import evaluation as ev
 from quern.plans import surrogates as s
 from quern.plans.registry import register
@@ -175,3 +176,26 @@ def best_epoch(spark: SparkSession, d: str) -> DataFrame:
 def quality_confusion(spark: SparkSession, d: str) -> DataFrame:
     judged = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
     return ev.confusion(judged.select(F.col("quality").alias("y_true"), F.when(F.col("n_chars") >= 400, 1).otherwise(0).alias("y_pred")))
+
+
+@register(
+    "class_result_table",
+    P
+    + """SELECT m.label::VARCHAR AS label, round(m.precision, 6) AS precision, round(m.recall, 6) AS recall, round(m.f1, 6) AS f1, m.support, a.train_accuracy, a.validation_accuracy, a.test_accuracy FROM metrics m
+    LEFT JOIN (SELECT y_true, """
+    + ", ".join(f"round(coalesce(avg((y_true = y_pred)::INTEGER) FILTER (split = '{x}'), 0), 6) AS {x}_accuracy" for x in ("train", "validation", "test"))
+    + " FROM predictions GROUP BY 1) a ON a.y_true = m.label",
+)
+def class_result_table(spark: SparkSession, d: str) -> DataFrame:
+    """Each class's report row with its accuracies by split."""
+    rows = s.predictions(spark, d)
+    report = ev.report(ev.per_class(ev.confusion(rows)))
+    accuracies = ev.accuracy_by_class_and_split(rows, ["train", "validation", "test"])
+    labels = accuracies.withColumn("label", F.col("y_true").cast("string")).drop("y_true")
+    classes = report.where(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))
+    return classes.join(F.broadcast(labels), "label", "left").select("label", "precision", "recall", "f1", "support", "train_accuracy", "validation_accuracy", "test_accuracy")
+
+
+@register("embedding_argmax", "SELECT vec_id AS id, (list_position(embedding, list_max(embedding)) - 1)::INTEGER AS place FROM embeddings")
+def embedding_argmax(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), scalars.argmax(F.col("embedding")).alias("place"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quern.functions import scalars
 from quern.operators import augment, duplicates, inspection, master, split
@@ -99,17 +98,25 @@ metrics AS (SELECT label, CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE hits::DO
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest centroids over embeddings as a classifier: true and predicted label, confidence, probability of the truth."""
-    rows = table(spark, sf_dir, "embeddings")
-    parts = rows.select("vec_id", "label", F.posexplode("embedding").alias("i", "x")).withColumn("x", F.col("x").cast("double"))
-    centers = parts.groupBy(F.col("label").alias("l"), "i").agg(F.round(F.avg("x"), 9).alias("m"))  # classes times dimensions
-    scores = parts.join(F.broadcast(centers), "i").groupBy("vec_id", "label", "l").agg(F.round(F.sum(F.col("x") * F.col("m")), 6).alias("score"))
-    of = Window.partitionBy("vec_id")
-    ranked = scores.withColumn("k", F.row_number().over(of.orderBy(F.desc("score"), "l"))).withColumn("p", F.exp("score") / F.sum(F.exp("score")).over(of))
-    found = ranked.groupBy(F.col("vec_id").alias("id")).agg(
-        F.first("label").alias("y_true"),
-        F.max(F.when(F.col("k") == 1, F.col("l"))).alias("y_pred"),
-        F.round(F.max(F.when(F.col("k") == 1, F.col("p"))), 6).alias("confidence"),
-        F.round(F.max(F.when(F.col("l") == F.col("label"), F.col("p"))), 6).alias("p_true"),
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("y_true"), F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    means = rows.select("y_true", F.posexplode("e").alias("i", "x")).groupBy("y_true", "i").agg(F.round(F.avg("x"), 9).alias("m"))
+    center = F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda p: p["m"])
+    # One row of classes times dimensions goes to every task; each vector is scored where it is read.
+    centers = means.groupBy("y_true").agg(center.alias("c")).agg(F.array_sort(F.collect_list(F.struct(F.col("y_true").alias("l"), "c"))).alias("centers"))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, m: x * m), F.lit(0.0), lambda s, x: s + x)
+
+    scored = rows.join(F.broadcast(centers)).withColumn("scores", F.transform("centers", lambda c: F.round(dot(F.col("e"), c["c"]), 6)))
+    best = F.array_position("scores", F.array_max("scores")).cast("int")  # the first: labels are in order
+    total = F.aggregate("scores", F.lit(0.0), lambda s, x: s + F.exp(x))
+    own = F.array_position(F.transform("centers", lambda c: c["l"]), F.col("y_true")).cast("int")
+    found = scored.withColumn("total", total).select(
+        "id",
+        "y_true",
+        F.element_at("centers", best)["l"].alias("y_pred"),
+        F.round(F.exp(F.element_at("scores", best)) / F.col("total"), 6).alias("confidence"),
+        F.round(F.exp(F.element_at("scores", own)) / F.col("total"), 6).alias("p_true"),
     )
     part = F.when(F.col("id") % 10 < 8, "train").when(F.col("id") % 10 == 8, "validation").otherwise("test")
     return found.withColumn("run", (F.col("id") % 3).cast("int")).withColumn("split", part)

@@ -54,7 +54,7 @@ def inspected(files: DataFrame) -> DataFrame:
             rows = []
             for content in batch["content"]:
                 try:
-                    image = images.decode_png(bytes(content))
+                    image = images.decode_png(content)
                     rows.append((image.shape[1], image.shape[0], images.MODES[image.shape[2]], None, images.perceptual_bits(image), images.gradient_bits(image)))
                 except ValueError as e:
                     rows.append((None, None, None, str(e), None, None))
@@ -104,7 +104,7 @@ def file_counts(spark: SparkSession, root: str, dotted_only: bool = False) -> Da
 
 
 def labelled_images(files: DataFrame, side: int = 64, extensions: tuple[str, ...] = IMAGES) -> DataFrame:
-    """path, class, class_index and pixels (side by side by 3, as shares of 255) of the images that can be decoded."""
+    """path, class, class_index, pixels (side by side by 3, as shares of 255) and error; images that cannot be decoded have null pixels."""
     from quern.operators.evaluation import class_index
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,14 +112,15 @@ def labelled_images(files: DataFrame, side: int = 64, extensions: tuple[str, ...
             rows = []
             for path, klass, content in zip(batch["path"], batch["klass"], batch["content"], strict=True):
                 try:
-                    image = images.decode_png(bytes(content))
-                except ValueError:
+                    image = images.decode_png(content)
+                except ValueError as e:
+                    rows.append((path, klass, None, str(e)))
                     continue
                 colour = image[..., :3] if image.shape[2] >= 3 else image[..., :1].repeat(3, axis=2)
-                rows.append((path, klass, (images.resized(colour, side, side) / 255.0).ravel().astype("float32")))
-            yield pd.DataFrame(rows, columns=["path", "klass", "pixels"])
+                rows.append((path, klass, (images.resized(colour, side, side) / 255.0).ravel().astype("float32"), None))
+            yield pd.DataFrame(rows, columns=["path", "klass", "pixels", "error"])
 
-    rows = supported(files, extensions).select("path", "klass", "content").mapInPandas(run, "path string, klass string, pixels array<float>")
+    rows = supported(files, extensions).select("path", "klass", "content").mapInPandas(run, "path string, klass string, pixels array<float>, error string")
     return rows.join(F.broadcast(class_index(files, "klass")), "klass")  # as many rows as classes
 
 
@@ -133,7 +134,7 @@ def generated(planned: DataFrame, sources: DataFrame, rotation: tuple[float, flo
             made = []
             for content, seed in zip(batch["content"], batch["random_seed"], strict=True):
                 try:
-                    made.append(images.encode_png(images.augmented(images.decode_png(bytes(content)), int(seed), rotation, scaling, sigma)))
+                    made.append(images.encode_png(images.augmented(images.decode_png(content), int(seed), rotation, scaling, sigma)))
                 except ValueError:
                     made.append(None)
             yield batch[kept].assign(content=made)

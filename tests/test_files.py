@@ -100,7 +100,9 @@ def test_scan_and_inspection(spark, corpus):
 
 
 def test_labelled_images(spark, corpus):
-    rows = files.labelled_images(files.scan(spark, corpus, "A")).collect()
+    every = files.labelled_images(files.scan(spark, corpus, "A")).collect()
+    assert [r.pixels for r in every if r.error] == [None]  # told, not dropped
+    rows = [r for r in every if not r.error]
     assert len(rows) == 6 and {(r.klass, r.class_index) for r in rows} == {("a b", 0), ("ka", 1)}
     assert all(len(r.pixels) == 64 * 64 * 3 and 0 <= min(r.pixels) and max(r.pixels) <= 1 for r in rows)
 
@@ -166,3 +168,19 @@ def test_discovery_and_split_counts(spark, tmp_path):
     assert {r.klass: tuple(r)[1:] for r in files.split_counts(spark, found).collect()} == {"a": (2, 1, 0), "b": (1, 0, 3)}
     with pytest.raises(tables.SourceNotFound):
         files.discover(spark, str(tmp_path / "x" / "set" / "train"))
+
+
+def test_damage_is_an_error_row_and_never_an_exception(spark):
+    good = images.encode_png(picture(3))
+    short = images.PNG_SIGNATURE + images.encode_png(picture(3))[8:12] + b"IHDR"
+    import struct
+    import zlib
+
+    header = b"IHDR" + b"\0" * 5
+    wrong = images.PNG_SIGNATURE + struct.pack(">I", 5) + header + struct.pack(">I", zlib.crc32(header))
+    for bad in (None, b"", short, wrong):
+        with pytest.raises(ValueError):
+            images.decode_png(bad)
+    df = spark.createDataFrame([("a/1.png", "a", good), ("a/2.png", "a", None), ("a/3.png", "a", wrong)], "path string, klass string, content binary").withColumn("extension", F.lit(".png"))
+    rows = {r.path: r.error for r in files.inspected(df).collect()}
+    assert rows["a/1.png"] is None and all(rows[f"a/{i}.png"] for i in (2, 3))

@@ -1,6 +1,9 @@
 """Golden arithmetic, edge cases and properties of the relational operators."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -226,3 +229,27 @@ def test_checks(spark):
     checks.require_approval(True, "augmentation")
     left, right = (spark.createDataFrame([(x,) for x in xs], "k string") for xs in ("aab", "abc"))
     assert {r.k: (r.before, r.after, r.unchanged) for r in checks.snapshot_changes(left, right, "k").collect()} == {"a": (2, 1, False), "b": (1, 1, True), "c": (0, 1, False)}
+
+
+def test_ratios_are_not_negative(golden):
+    with pytest.raises(ValueError, match="ratios"):
+        split.assign(golden, 1, -0.1, 0.3)
+
+
+def test_empty_fingerprints_make_no_group(spark):
+    rows = spark.createDataFrame([(1, "A", "k", ""), (2, "B", "k", ""), (3, "A", "k", None), (4, "B", "k", None), (5, "A", "k", "x"), (6, "B", "k", "x")], "id long, corpus string, klass string, fingerprint string")
+    assert [(r.fingerprint, r.n) for r in duplicates.groups(rows, "A", "B").collect()] == [("x", 2)]
+
+
+def test_manifest_of_one_hot_content(spark):
+    rows = spark.range(2000).selectExpr("id", "'k' AS klass", "'A' AS corpus", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('f', id) END AS fingerprint", "id > 0 AS is_valid")
+    got = {r.id: r for r in master.manifest(rows, ["corpus", "klass", "id"]).collect()}
+    assert all(got[i].canonical_id == 0 and got[i].is_duplicate and not got[i].include_in_master for i in range(3, 2000, 3))
+    assert not got[0].is_duplicate and not got[0].include_in_master
+    assert all(got[i].include_in_master and got[i].canonical_id is None for i in range(1, 2000) if i % 3)
+
+
+def test_entries_survive_a_missing_dependency():
+    code = "import sys; sys.modules['quern.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op1') for n in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) > 70 and out[1] == "False"
