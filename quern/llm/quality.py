@@ -5,7 +5,9 @@ beside it. A policy is a versioned set of bits, so changing a policy, comparing
 rule is worth (an ablation) needs only the ledger and no text.
 
 Defined results: a null or empty text has no words, all measurements 0, and fails ``few_words`` alone; rows are
-judged one by one, so ties, repeated rows and null ids pass through unchanged; an empty table gives an empty ledger.
+judged one by one, so ties, repeated rows and null ids pass through unchanged; texts of any length are measured whole,
+and a task holds those of a slice of rows; extra columns are left out of the ledger and kept, whatever their names, where
+documents are returned; an empty table gives an empty ledger, and an ablation without rows.
 """
 
 from __future__ import annotations

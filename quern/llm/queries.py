@@ -95,6 +95,15 @@ SELECT *, failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept FROM f
 """
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ablation(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+ABLATION_SQL = f"""WITH e AS ({OP10_SQL}), r(rule, bit) AS (VALUES {", ".join(f"('{r.name}', {1 << i}::BIGINT)" for i, r in enumerate(quality.RULES) if r.name in quality.POLICIES[quality.CURRENT])})
+SELECT rule, bit, count_if(failures & bit <> 0)::BIGINT AS n_failed, count_if(failures & 127 = bit)::BIGINT AS n_failed_alone, count_if(failures & 127 & ~bit = 0)::BIGINT AS n_kept_without,
+  count_if(failures & 127 = 0)::BIGINT AS n_kept FROM e CROSS JOIN r GROUP BY 1, 2"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # it builds on this module
 
@@ -113,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_personal_data": op9_personal_data,
         "op10_quality_ledger": op10_quality_ledger,
+        "quality_ablation": quality_ablation,
         "pipeline": pipeline,
     }
 
@@ -121,4 +131,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_exact_topk": OP7_SQL,
         "op10_quality_ledger": OP10_SQL,
+        "quality_ablation": ABLATION_SQL,
     }

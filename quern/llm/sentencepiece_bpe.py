@@ -14,7 +14,9 @@ another character, and around characters that no piece has, which become byte pi
 are kept in a bounded memo.
 
 Covered are merge-type models with the identity normaliser, byte fallback and no user-defined pieces; others are
-refused. Defined results: a null or empty text has no pieces and decodes to the empty text.
+refused. Defined results: a null or empty text has no pieces and decodes to the empty text; texts of any length are encoded whole;
+of merges with equal scores the leftmost comes first, as in the library; repeated rows and null ids are rows of their
+own; extra columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

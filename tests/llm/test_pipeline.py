@@ -6,6 +6,7 @@ import pytest
 import test_near_duplicates as near
 import test_packing as packed
 import test_pii as private
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -79,3 +80,22 @@ def test_packing(stages):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+CLASHING = ["ledger", "score", "drop_id", "drop_key", "again", "q_row", "q_text", "d_id", "node", "base", "row_id", "salt", "key", "piece"]
+
+
+def test_columns_with_clashing_names_and_no_documents(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({c: F.lit(c) for c in CLASHING})
+    for n, some in (("some", docs), ("none", docs.limit(0))):
+        plain = some.drop(*CLASHING)
+        for name, stage in corpus_pipeline.STAGES:
+            for kind, df in (("with", some), ("plain", plain)):
+                stage(spark, df, sf_dir).write.parquet(f"{tmp_path}/{n}-{name}-{kind}")
+            some, plain = (spark.read.parquet(f"{tmp_path}/{n}-{name}-{kind}") for kind in ("with", "plain"))
+            if name != "best_fit_packing":
+                assert some.columns == docs.columns
+                assert some.where(" OR ".join(f"`{c}` <> '{c}'" for c in CLASHING)).count() == 0
+            assert sorted(r.doc_id for r in some.collect()) == sorted(r.doc_id for r in plain.collect())
+        assert (some.count() == 0) == (n == "none")

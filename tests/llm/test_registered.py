@@ -15,6 +15,7 @@ COLUMNS = {
     "op7_exact_topk": "query_id rank vec_id score",
     "op8_near_duplicates": "doc_id n_shingles component_id kept",
     "op9_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "quality_ablation": "rule bit n_failed n_failed_alone n_kept_without n_kept",
     "op10_quality_ledger": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
 
