@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and returns a DataFrame, which is
 written as Parquet and read again as the next stage's docs. All stages but the last return the columns of documents.
 An empty or null text fails the first stage's rules. Later stages keep null ids, ties and repeated rows as their
-operators' docstrings say.
+operators' docstrings say. Texts of any length are worked on whole. Columns beside id and text go through unchanged up
+to the last stage, whatever their names, but for n_chars, which follows the text. An empty table stays empty.
 """
 
 from __future__ import annotations
