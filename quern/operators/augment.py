@@ -27,10 +27,11 @@ def plan(train: DataFrame, target: int, seed: int, order: list[str]) -> DataFram
     """A row for each row to generate: its index, the source it takes in turn, its seed and its name.
 
     Sources are ranked within their class and joined by (class, rank), so nothing is collected; a class without rows
-    gets none.
+    gets none. Only classes that lack rows are ranked: they have fewer than ``target``, which bounds what a task sorts.
     """
-    ranked = train.withColumn("rank", (F.row_number().over(Window.partitionBy("klass").orderBy(*order)) - 1).cast("long")).select("klass", F.col("id").alias("source_id"), "rank")
     wanted = need(train, target).where("n_needed > 0")
+    short = train.join(wanted.select("klass"), "klass", "left_semi")
+    ranked = short.withColumn("rank", (F.row_number().over(Window.partitionBy("klass").orderBy(*order)) - 1).cast("long")).select("klass", F.col("id").alias("source_id"), "rank")
     rows = wanted.select("klass", "n_orig", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_needed") - 1)).alias("aug_index"))
     picked = rows.withColumn("rank", F.pmod(F.col("aug_index"), F.col("n_orig"))).join(ranked, ["klass", "rank"])
     return picked.select(

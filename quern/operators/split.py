@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 from quern.functions import scalars
 
 SPLITS = ("train", "validation", "test")
+#: Hex digits of a hash by which a class is ranked in parts: 4,096 of them.
+PART_DIGITS = 3
 
 
 def sizes(n: Column, val_ratio: float, test_ratio: float) -> tuple[Column, Column]:
@@ -29,14 +31,22 @@ def sizes(n: Column, val_ratio: float, test_ratio: float) -> tuple[Column, Colum
 def assign(items: DataFrame, seed: int, val_ratio: float = 0.1, test_ratio: float = 0.1) -> DataFrame:
     """items with split: a class is ordered by a hash of seed and id, and cut by sizes().
 
-    The order does not depend on other classes or on partitions. One shuffle by class serves rank and count.
+    The order does not depend on other classes or on partitions. A class is ranked in parts by the first digits of the
+    hash, so a class with most of the items is not sorted in one task: ranks in a part, and how many rows of the class
+    lie in the parts before it. That takes a second pass over classes and ids.
     """
     if min(val_ratio, test_ratio) < 0 or val_ratio + test_ratio >= 1:
         raise ValueError("ratios of validation and test must not be negative and must leave something to train on")
     key = F.sha2(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string")), 256)
-    by_class = Window.partitionBy("klass")
-    ranked = items.withColumn("place", F.row_number().over(by_class.orderBy(key, "id")).cast("long")).withColumn("of", F.count("*").over(by_class))
-    return _cut(ranked, val_ratio, test_ratio)
+    part = F.substring(key, 1, PART_DIGITS)
+    counts = items.groupBy(F.col("klass").alias("_klass"), part.alias("_part")).agg(F.count("*").alias("n"))
+    by_class = Window.partitionBy("_klass")
+    earlier = F.sum("n").over(by_class.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    starts = counts.select("_klass", "_part", earlier.alias("_earlier"), F.sum("n").over(by_class).alias("of"))
+    within = F.row_number().over(Window.partitionBy("klass", part).orderBy(key, "id"))
+    ranked = items.withColumn("_within", within)
+    placed = ranked.join(starts, F.col("klass").eqNullSafe(F.col("_klass")) & (part == F.col("_part")))
+    return _cut(placed.withColumn("place", F.col("_earlier") + F.col("_within")).drop("_klass", "_part", "_earlier", "_within"), val_ratio, test_ratio)
 
 
 def _cut(ranked: DataFrame, val_ratio: float, test_ratio: float) -> DataFrame:
