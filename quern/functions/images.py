@@ -81,6 +81,39 @@ def swapped(image: np.ndarray) -> np.ndarray:
     return image[..., ::-1] if image.ndim == 3 and image.shape[2] == 3 else image
 
 
+# The demonstration chains, each a list of steps with their parameter; noise has its sigma and seed.
+SEQUENCE = (("rotated", 12.0), ("scaled", 1.08), ("noisy", (10.0, 42)), ("blurred", None))
+CHAINS = {
+    "rotation": SEQUENCE[:1],
+    "scaling": SEQUENCE[1:2],
+    "noise": SEQUENCE[2:3],
+    "blur": SEQUENCE[3:],
+    "rotation+noise": (("rotated", -8.0), ("noisy", (10.0, 43))),
+    "rotation+scaling+blur": (("rotated", 10.0), ("scaled", 0.93), ("blurred", None)),
+    "scaling+blur+noise": (("scaled", 1.05), ("blurred", None), ("noisy", (10.0, 44))),
+}
+
+
+def stepped(image: np.ndarray, steps: tuple) -> list[np.ndarray]:
+    """The image after each of a chain's steps."""
+    made = []
+    for kind, value in steps:
+        before = made[-1] if made else image
+        if kind == "noisy":
+            made.append(noisy(before, value[0], np.random.default_rng(value[1])))
+        elif kind == "blurred":
+            made.append(blurred(before))
+        else:
+            made.append({"rotated": rotated, "scaled": scaled}[kind](before, value))
+    return made
+
+
+def demonstrated(image: np.ndarray) -> dict[str, np.ndarray]:
+    """The image as it is, after every step of the sequence, and after every chain."""
+    sequence = {f"step {i}": made for i, made in enumerate(stepped(image, SEQUENCE), 1)}
+    return {"original": image, **sequence, **{name: stepped(image, steps)[-1] for name, steps in CHAINS.items()}}
+
+
 def augmented(image: np.ndarray, seed: int, rotation: tuple[float, float], scaling: tuple[float, float], sigma: float) -> np.ndarray:
     """Rotated, and scaled, noisy and blurred by the toss of a coin each, all from one seed."""
     rng = random.Random(seed)

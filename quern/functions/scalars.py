@@ -85,3 +85,18 @@ def hours_minutes_seconds(seconds: Column) -> Column:
     """Whole seconds as h:mm:ss."""
     whole = seconds.cast("long")
     return F.format_string("%d:%02d:%02d", F.floor(whole / 3600), F.floor(F.pmod(whole, F.lit(3600)) / 60), F.pmod(whole, F.lit(60)))
+
+
+def timestamp_text(at: Column) -> Column:
+    """A moment as year-month-day hours:minutes:seconds in the session's time zone; null for null."""
+    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+
+
+def milliseconds_each(seconds: Column, items: Column) -> Column:
+    """Milliseconds an item where a number of them took seconds; null where there are none."""
+    return F.try_divide(seconds * F.lit(1000.0), items)
+
+
+def without_fields(record: Column, *names: str) -> Column:
+    """A nested record without some of its fields."""
+    return record.dropFields(*names)

@@ -20,7 +20,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from quern.plans import dataset, evaluation  # noqa: F401  they register themselves
+    from quern.plans import dataset, evaluation, pictures, storage  # noqa: F401  they register themselves
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import json
-import os
+import re
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.sources.tables import SourceNotFound, exists
+
 
 def write_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
     """CSV with a header. One file is for small tables such as counts; let large ones keep their partitions."""
@@ -32,8 +36,18 @@ def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
     df.hint("rebalance").write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name of this application in spark.checkpoint.dir, which all executors share; on a local master where that is unset, in a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = f"file://{tempfile.mkdtemp(prefix='quern-')}"
+    return f"{shared}/quern-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def write_files(df: DataFrame, root: str, folders: list[str], name: str, content: str = "content") -> DataFrame:
-    """One file a row at <root>/<folders...>/<name> in storage that all executors mount: its path, size, and status.
+    """One file a row at <root>/<folders...>/<name>, in any store that Arrow opens by the root's address: its path, size, and status.
 
     A file that is there is kept and counted as such; a failure is a status, not the end of the job. Files are written
     beside their place and then moved, so a task that runs twice leaves whole files.
@@ -41,20 +55,25 @@ def write_files(df: DataFrame, root: str, folders: list[str], name: str, content
 
     def run(batches):
         import pandas as pd
+        from pyarrow import fs
 
+        # Hadoop also writes file:/a for file:///a, which Arrow does not open.
+        store, base = fs.FileSystem.from_uri("file:///" + root[5:].lstrip("/") if root.startswith("file:") else root)
         for batch in batches:
             out = []
-            for _, row in batch.iterrows():
-                path = os.path.join(root, *(str(row[f]) for f in folders), str(row[name]))
+            for place, label, body in zip(batch[folders].astype(str).values.tolist(), batch[name].astype(str), batch[content], strict=True):
+                folder = "/".join([base.rstrip("/"), *place])
+                path, part = f"{folder}/{label}", f"{folder}/.{label}.{uuid.uuid4().hex}.part"
                 try:
-                    if os.path.exists(path):
-                        out.append((path, os.path.getsize(path), "kept"))
+                    found = store.get_file_info(path)
+                    if found.type == fs.FileType.File:
+                        out.append((path, found.size, "kept"))
                         continue
-                    os.makedirs(os.path.dirname(path), exist_ok=True)
-                    with open(f"{path}.{os.getpid()}.part", "wb") as f:
-                        f.write(bytes(row[content]))
-                    os.replace(f"{path}.{os.getpid()}.part", path)
-                    out.append((path, len(row[content]), "written"))
+                    store.create_dir(folder, recursive=True)
+                    with store.open_output_stream(part) as f:
+                        f.write(bytes(body))
+                    store.move(part, path)
+                    out.append((path, len(body), "written"))
                 except (OSError, TypeError) as e:
                     out.append((path, 0, f"failed: {e}"))
             yield pd.DataFrame(out, columns=["path", "size", "status"])
@@ -62,6 +81,34 @@ def write_files(df: DataFrame, root: str, folders: list[str], name: str, content
     return df.select(*folders, name, content).mapInPandas(run, "path string, size long, status string")
 
 
+def write_version(df: DataFrame, root: str) -> str:
+    """df as the next version of a table, so a step may read the last version and write its own: the folder written.
+
+    Versions are numbered folders of root, from 1; a version counts once its write has succeeded.
+    """
+    path = f"{root}/v{max(versions(df.sparkSession, root), default=0) + 1:06d}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The numbers of the whole versions below root, in order; none where there is no such folder."""
+    if not exists(spark, root):
+        return []
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath().getName() for s in store.listStatus(top) if s.isDirectory()]
+    return sorted(int(n[1:]) for n in found if re.fullmatch(r"v[0-9]+", n) and exists(spark, f"{root}/{n}/_SUCCESS"))
+
+
+def read_version(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """A version of a table, the last one by default; SourceNotFound where there is none."""
+    known = versions(spark, root)
+    if not known or number is not None and number not in known:
+        raise SourceNotFound(f"{root} has no version" + ("" if number is None else f" {number}"))
+    return spark.read.parquet(f"{root}/v{number or known[-1]:06d}")
+
+
 def render(title: str, sections: dict[str, DataFrame], most: int = 1000) -> str:
     """A text report of small tables, columns aligned; a table of more than ``most`` rows is cut and says so."""
     lines = [title, "=" * len(title)]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import images
 from quern.operators import augment
+from quern.plans import pictures, registry
 from quern.sources import files, sinks, tables
 from quern.streaming import incremental
 
@@ -184,3 +185,86 @@ def test_damage_is_an_error_row_and_never_an_exception(spark):
     df = spark.createDataFrame([("a/1.png", "a", good), ("a/2.png", "a", None), ("a/3.png", "a", wrong)], "path string, klass string, content binary").withColumn("extension", F.lit(".png"))
     rows = {r.path: r.error for r in files.inspected(df).collect()}
     assert rows["a/1.png"] is None and all(rows[f"a/{i}.png"] for i in (2, 3))
+
+
+def test_versions_keep_what_a_step_has_read(spark, tmp_path):
+    root = str(tmp_path / "t")
+    with pytest.raises(tables.SourceNotFound):
+        sinks.read_version(spark, root)
+    assert sinks.versions(spark, root) == []
+    sinks.write_version(spark.range(3), root)
+    sinks.write_version(sinks.read_version(spark, root).where("id > 0"), root)
+    (tmp_path / "t" / "v000003").mkdir()  # begun, never finished
+    assert sinks.versions(spark, root) == [1, 2]
+    assert [sinks.read_version(spark, root, n).count() for n in (1, 2, None)] == [3, 2, 2]
+    with pytest.raises(tables.SourceNotFound):
+        sinks.read_version(spark, root, 3)
+
+
+@pytest.fixture(scope="module")
+def greys(spark, sf_dir):
+    return {r.id: pictures.grey(r.p) for r in pictures.greys(spark, sf_dir).collect()}
+
+
+def test_noise_equals_the_generator(spark, sf_dir, greys):
+    for r in registry.queries()["image_noisy"](spark, sf_dir).collect():
+        noise = np.random.default_rng(42).normal(0.0, 10.0, (8, 8, 1)).astype(np.float32)
+        want = np.clip(greys[r.id].astype(np.float32) + noise, 0, 255).astype(np.uint8)
+        assert r.pixels == ",".join(map(str, want.ravel()))
+
+
+def test_demonstration_chains(spark, sf_dir, greys):
+    noise = lambda seed: (lambda x: images.noisy(x, 10.0, np.random.default_rng(seed)))
+    turn = lambda a: (lambda x: images.rotated(x, a))
+    size = lambda f: (lambda x: images.scaled(x, f))
+    plain = {
+        "original": [],
+        "step 1": [turn(12.0)],
+        "step 2": [turn(12.0), size(1.08)],
+        "step 3": [turn(12.0), size(1.08), noise(42)],
+        "step 4": [turn(12.0), size(1.08), noise(42), images.blurred],
+        "rotation": [turn(12.0)],
+        "scaling": [size(1.08)],
+        "noise": [noise(42)],
+        "blur": [images.blurred],
+        "rotation+noise": [turn(-8.0), noise(43)],
+        "rotation+scaling+blur": [turn(10.0), size(0.93), images.blurred],
+        "scaling+blur+noise": [size(1.05), images.blurred, noise(44)],
+    }
+    rows = registry.queries()["image_chains"](spark, sf_dir).collect()
+    assert len(rows) == len(greys) * len(plain)
+    for r in rows:
+        image = greys[r.id]
+        for step in plain[r.kind]:
+            image = step(image)
+        assert r.pixels == ",".join(map(str, image.ravel())), (r.id, r.kind)
+
+
+def test_registered_parameters_equal_one_generator_a_seed(spark, sf_dir):
+    import random
+
+    rows = registry.queries()["augment_parameters"](spark, sf_dir).collect()
+    assert rows
+    for r in rows:
+        rng = random.Random(r.random_seed)
+        angle, scale, kinds = rng.uniform(-15.0, 15.0), 1.0, ["rotation"]
+        if rng.random() > 0.5:
+            scale, kinds = rng.uniform(0.9, 1.1), [*kinds, "scaling"]
+        if noise := rng.random() > 0.5:
+            kinds.append("noise")
+        if blur := rng.random() > 0.5:
+            kinds.append("blur")
+        assert (r.augmentation_type, r.rotation_angle, r.scale_factor, r.noise_sigma, r.blur_applied) == ("+".join(kinds), round(angle, 6), round(scale, 6), 10.0 * noise, blur)
+
+
+def test_registered_files_are_made_from_their_source_and_seed(spark, sf_dir, greys):
+    sources = pictures.as_files(pictures.greys(spark, sf_dir))
+    planned = augment.plan(sources.select("id", "klass"), pictures.TARGET, 42, ["id"])
+    rows = files.generated(planned, sources, augment.ROTATION, augment.SCALING, augment.NOISE_SIGMA).collect()
+    assert rows
+    for r in rows:
+        if r.source_id % 17 == 0:
+            assert r.content is None and r.sha256_aug is None
+        else:
+            want = images.augmented(greys[r.source_id], r.random_seed, augment.ROTATION, augment.SCALING, augment.NOISE_SIGMA)
+            assert (images.decode_png(r.content) == want).all()
