@@ -268,3 +268,29 @@ def test_registered_files_are_made_from_their_source_and_seed(spark, sf_dir, gre
         else:
             want = images.augmented(greys[r.source_id], r.random_seed, augment.ROTATION, augment.SCALING, augment.NOISE_SIGMA)
             assert (images.decode_png(r.content) == want).all()
+
+
+def test_formats_that_the_image_source_decodes(spark, tmp_path):
+    jvm, folder = spark._jvm, tmp_path / "a +b%"
+    folder.mkdir()
+    image = picture(9, 4, 6)
+    made = jvm.java.awt.image.BufferedImage(6, 4, 1)
+    for y in range(4):
+        for x in range(6):
+            made.setRGB(x, y, int.from_bytes(image[y, x].tobytes(), "big"))
+    for form in ("png", "jpg", "bmp", "tiff"):
+        assert jvm.javax.imageio.ImageIO.write(made, form, jvm.java.io.File(str(folder / f"x.{form}")))
+    palette = jvm.java.awt.image.BufferedImage(6, 4, 13)  # 256 colours
+    for kind, form in (("palette", "png"), ("moving", "gif")):
+        assert jvm.javax.imageio.ImageIO.write(palette, form, jvm.java.io.File(str(folder / f"{kind}.{form}")))
+    (folder / "bad.jpg").write_bytes(b"bad")
+    (folder / "bad.webp").write_bytes(b"RIFF")
+    rows = {r.file_name: r for r in files.inspected_any(spark, str(tmp_path), "A").collect()}
+    assert len(rows) == 8 and all(len(r.fingerprint) == 64 and r.klass == "a +b%" for r in rows.values())
+    assert {n for n, r in rows.items() if not r.is_valid} == {"bad.jpg", "bad.webp"} == {n for n, r in rows.items() if r.error}
+    assert {(r.width, r.height, r["mode"]) for r in rows.values() if r.is_valid} == {(6, 4, "RGB")}
+    assert rows["x.png"].phash == rows["x.bmp"].phash == rows["x.tiff"].phash == images.perceptual_bits(image)
+    assert rows["x.png"].fingerprint == files.inspected(files.scan(spark, str(tmp_path), "A").where("file_name = 'x.png'")).first().fingerprint
+    pixels = {r.path.rsplit("/", 1)[1]: r.pixels for r in files.labelled_images(files.decoded(spark, str(tmp_path), "A"), 4).collect()}
+    assert pixels["x.bmp"] == pixels["x.png"] == [float(np.float32(v / 255)) for v in images.resized(image, 4, 4).ravel()]
+    assert pixels["bad.jpg"] is None and len(pixels["x.jpg"]) == 48
