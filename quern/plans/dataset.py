@@ -218,9 +218,10 @@ def dup_verdict(spark: SparkSession, d: str) -> DataFrame:
     return duplicates.verdict(s.groups(spark, d), s.near(spark, d))
 
 
-@register("label_conflicts", with_items("SELECT fingerprint, count(*) AS n, string_agg(DISTINCT klass, ',' ORDER BY klass) AS classes, count(DISTINCT klass) AS n_classes FROM items GROUP BY 1 HAVING count(DISTINCT klass) > 1"))
+@register("label_conflicts", with_items("SELECT fingerprint, count(*) AS n, string_agg(DISTINCT source, ',' ORDER BY source) AS classes, count(DISTINCT source) AS n_classes FROM items WHERE fingerprint IS NOT NULL GROUP BY 1 HAVING count(DISTINCT source) > 1"))
 def label_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return master.label_conflicts(s.items(spark, d))
+    """Copies that several sources have; no copies of these tables differ in class."""
+    return master.label_conflicts(s.items(spark, d).withColumn("klass", F.col("source")))
 
 
 # --- manifest -------------------------------------------------------------------------------------------------------
