@@ -156,27 +156,36 @@ def groups(nodes: DataFrame, params: Params) -> DataFrame:
     posted = nodes.select("node", F.posexplode("signature").alias("at", "value")).select("node", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("token"))
     shared = posted.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     # A pair that no other node has comes first in any order by rarity, so only the shared ones need be told apart.
-    ranked = posted.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))  # at most k a node
+    ranked = merged(posted, shared, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))  # at most k a node
     kept = F.slice("tokens", F.lit(1), F.greatest(F.lit(0), F.lit(params.prefix - params.k) + F.size("tokens")))
     prefix = ranked.select("node", F.explode(kept).alias("t")).select("node", "t.token")
     # Sizes of linked sets are at most one step apart; each node is posted at its step and the next.
     step = F.floor(F.log("n_shingles") / float(np.log(100 / params.percent) * (1 + 1e-9))).cast("int")
     sized = nodes.select("node", F.explode(F.array(step, step + 1)).alias("step"))
-    posts = stored(prefix.join(sized, "node").select("node", "token", "step"), "posts")
+    posts = stored(merged(prefix, sized, "node").select("node", "token", "step"), "posts")
     heads = posts.groupBy("token", "step").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("token", "step", "head")
-    return posts.join(heads, ["token", "step"]).select("head", "node").distinct()
+    return merged(posts, heads, ["token", "step"]).select("head", "node").distinct()
+
+
+def merged(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join of which no side goes through the driver.
+
+    Spark takes a side to be as large as the files it comes from. Exploded rows and packed columns are up to a hundred
+    times that, so what it would broadcast can exceed the driver's memory, whatever the threshold.
+    """
+    return left.join(right.hint("merge"), on, how)
 
 
 def salted(left: DataFrame, right: DataFrame, key: str, spread: str | Column, how: str = "inner") -> DataFrame:
     """left joined to right on key, unique in right, with the rows of a key in left dealt by another column."""
     dealt = left.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
     copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return dealt.join(copies, [key, "salt"], how).drop("salt")
+    return merged(dealt, copies, [key, "salt"], how).drop("salt")
 
 
 def placed_of(members: DataFrame, nodes: DataFrame, params: Params) -> DataFrame:
     """head, node, blocks, own, is_pivot: each node's block of its group, which has as many as its weight asks for."""
-    known = members.join(nodes.select("node", "n_shingles"), "node")
+    known = merged(members, nodes.select("node", "n_shingles"), "node")
     pivots = F.array(*(F.min(F.struct(F.xxhash64("node", F.lit(i)), "node"))["node"] for i in range(PIVOTS)))
     weights = known.groupBy("head").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), pivots.alias("pivots"))
     blocks = F.greatest(F.ceil(F.col("n") / params.tile_nodes), F.ceil(F.col("w") / params.tile_shingles)).cast("int")
@@ -199,7 +208,7 @@ def first_tiles(placed: DataFrame) -> DataFrame:
 
 def second_tiles(placed: DataFrame, linked: DataFrame, params: Params) -> DataFrame | None:
     """Tiles in which the nodes outside their group's largest component (block 0) meet all of the group; None if there are none."""
-    large = placed.where("blocks > 1").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    large = merged(placed.where("blocks > 1"), linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = large.groupBy("head", "component").agg(F.count("*").alias("n"))
     most = sizes.groupBy("head").agg(F.max(F.struct("n", "component"))["component"].alias("most"), F.count("*").alias("several"), (F.sum("n") - F.max("n")).alias("n_rest"))
     most = most.where("several > 1").withColumn("rest_blocks", F.ceil(F.col("n_rest") / params.tile_nodes).cast("int")).select("head", "most", "rest_blocks")
@@ -386,7 +395,7 @@ def links(found: DataFrame, nodes: DataFrame, sets: DataFrame, params: Params) -
 
         return work
 
-    rows = found.join(nodes.select("node", "text_key", "set_key"), "node").join(sets, ["text_key", "set_key"])
+    rows = merged(merged(found, nodes.select("node", "text_key", "set_key"), "node"), sets, ["text_key", "set_key"])
     return _tilewise(rows, ["block", "two", "node", "n_partners", "shingles"], "a long, b long", schema, make)
 
 
@@ -430,8 +439,8 @@ def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
     placed = stored(placed_of(stored(groups(nodes, params), "groups"), nodes, params), "placed")
 
     def edges(tiled: DataFrame) -> DataFrame:
-        found = stored(candidates(tiled.join(nodes.select("node", "signature"), "node"), params), "candidates")
-        wanted = stored(found.select("node").distinct().join(nodes.select("node", "text_key", "set_key"), "node"), "wanted")
+        found = stored(candidates(merged(tiled, nodes.select("node", "signature"), "node"), params), "candidates")
+        wanted = stored(merged(found.select("node").distinct(), nodes.select("node", "text_key", "set_key"), "node"), "wanted")
         return links(found, nodes, full_sets(docs, wanted, params, text_col), params)
 
     first = stored(edges(first_tiles(placed)), "links")
@@ -439,9 +448,9 @@ def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
     if (more := second_tiles(placed, linked, params)) is not None:
         linked = components(first.unionByName(stored(edges(more), "links")))
     # The least id of each component; alone are the nodes that no link names.
-    of = nodes.select("node", "set_key", "least", "n").join(linked, "node", "left")
-    joint = of.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
-    told = of.join(joint, "component", "left").where("n > 1 OR component IS NOT NULL").select("set_key", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
+    of = merged(nodes.select("node", "set_key", "least", "n"), linked, "node", "left").withColumn("alone", F.col("component").isNull()).withColumn("component", F.coalesce("component", "node"))
+    joint = of.where("NOT alone").groupBy("component").agg(F.min("least").alias("component_id"))
+    told = merged(of, joint, "component", "left").where("n > 1 OR NOT alone").select("set_key", F.when(F.col("alone"), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
     # Copies of one text, and texts without a word, are dealt by where they were written.
     out = salted(printed, told, "set_key", F.spark_partition_id() + F.xxhash64("doc_id"), "left")
     component = F.when(F.col("is_told"), F.col("told")).otherwise(F.col("doc_id"))
@@ -457,7 +466,7 @@ def keep_one(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
     judged = stored(find(docs, params, id_col, text_col).select("doc_id", "text_key", "component_id", "kept"), "judged")
     gone = judged.where("NOT kept").select("doc_id", "text_key")
     several = judged.where("kept AND doc_id IS NOT NULL").groupBy("component_id").agg(F.count("*").alias("n"), F.min("text_key").alias("first")).where("n > 1")
-    other = judged.where("kept").join(several, "component_id").where("text_key <> first").select("doc_id", "text_key")
+    other = merged(judged.where("kept"), several, "component_id").where("text_key <> first").select("doc_id", "text_key")
     drop_id, drop_key, again = (fresh(docs, n) for n in ("drop_id", "drop_key", "again"))
     drop = gone.unionAll(other).distinct().select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key))
     drop = stored(drop, "drop")
@@ -465,7 +474,7 @@ def keep_one(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
     # At most MARKS marks tell most texts that stay apart; only the others are shuffled to be compared in full.
     marks = F.broadcast(drop.select(F.pmod(drop_key, F.lit(MARKS)).alias(again)).distinct())
     marked = F.pmod(key, F.lit(MARKS)) == F.col(again)
-    doubtful = docs.join(marks, marked, "left_semi").join(drop, one_id.eqNullSafe(F.col(drop_id)) & (key == F.col(drop_key)), "left_anti")
+    doubtful = merged(docs.join(marks, marked, "left_semi"), drop, one_id.eqNullSafe(F.col(drop_id)) & (key == F.col(drop_key)), "left_anti")
     left = docs.join(marks, marked, "left_anti").unionByName(doubtful)
     if several.isEmpty():
         return left

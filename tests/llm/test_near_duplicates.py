@@ -165,3 +165,30 @@ def test_rows_of_a_family_grow_with_its_size(spark, n):
     assert rows.count() <= members * (1 + 2 * near.PIVOTS / 20) + 200
     linked = near.components(near.links(near.stored(near.candidates(rows.join(nodes.select("node", "signature"), "node"), params), "found"), nodes, near.full_sets(docs, nodes, params, "text"), params))
     assert near.second_tiles(placed, linked, params) is None  # pivots have joined the family
+
+
+def broadcast_joins(spark, run):
+    """How many joins with a broadcast side each execution of run() ended with."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(60_000)
+    known = store.executionsList()
+    last = max([-1, *(known.apply(i).executionId() for i in range(known.size()))])
+    run()
+    bus.waitUntilEmpty(60_000)
+    found, out = store.executionsList(), []
+    for x in (found.apply(i).executionId() for i in range(found.size())):
+        if x > last:
+            nodes = store.planGraph(x).allNodes()
+            out.append(sum(nodes.apply(i).name().startswith("Broadcast") and "Join" in nodes.apply(i).name() for i in range(nodes.size())))
+    return out
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark):
+    rng = random.Random(5)
+    texts = [*chain(rng, 40), *family(rng, 40), *family(rng, 3), "a b c", "a b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    params = near.Params(words=2, tile_nodes=8)
+    joins = broadcast_joins(spark, lambda: near.find(docs, params).collect())
+    assert len(joins) > 5 and not any(joins)
+    joins = broadcast_joins(spark, lambda: near.keep_one(docs, params).collect())
+    assert sum(joins) == 2  # the bounded marks, twice
