@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from test_near_duplicates import broadcast_joins
 
 from quern.llm import pii
 
@@ -151,3 +152,10 @@ def test_documents_match_brute_force(spark, sf_dir):
     got = {r.doc_id: r.base_sha256 for r in pii.digests(pii.find(docs)).collect()}
     for r in docs.collect():
         assert got[r.doc_id] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in brute(r.text)).encode()).hexdigest()
+
+
+def test_salted_copies_of_spans_do_not_go_through_the_driver(spark):
+    docs = spark.createDataFrame([(i, f"write to a{i}@b.cd today") for i in range(30)], "doc_id long, text string")
+    out = []
+    joins = broadcast_joins(spark, lambda: out.extend(pii.redact(docs).collect()))
+    assert not joins[-1] and {r.text for r in out} == {"write to <EMAIL> today"}
