@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -47,6 +48,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quern-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    trim_driver(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -81,6 +83,21 @@ def trim_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def trim_driver(spark: SparkSession) -> None:
+    """trim_memory() for the driver: Python, and what its JVM has freed outside the heap.
+
+    Compiling and planning leave some 200 MB in the C library's arenas, of which the threads of many exchanges make
+    many; it is not returned by itself, and comes on top of the heap. JVMs without that command keep it.
+    """
+    trim_memory()
+    java, management = spark._jvm.java, spark._jvm.javax.management
+    call = next(m for m in java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")  # the server's own class is hidden
+    args = spark.sparkContext._gateway.new_array(java.lang.Object, 4)
+    args[0], args[1] = management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    with contextlib.suppress(Py4JJavaError):
+        call.invoke(java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+
+
 def map_slices(df: DataFrame, schema: pa.Schema, ddl: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], done: Callable[[], None] | None = None) -> DataFrame:
     """mapInArrow over slices of at most SLICE_ROWS rows. make() runs once a task and returns the kernel, done() at its end."""
 

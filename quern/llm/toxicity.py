@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quern.llm.common import Memo, fresh, map_slices
+from quern.llm.common import Memo, fresh, map_slices, trim_driver
 
 STRIP = ".,;:!?\"'()[]{}<>«»„“”…*#$%&-_"
 PREFIXES = (4, 5)
@@ -206,7 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params(), **colum
     """Fit on the labels given; keep rows that must stay unseen out of both tables."""
     prior, n = prior_of(labels, columns.get("id_col", "doc_id"), columns.get("label_col", "toxic"))
     pos, unl = sample(docs, labels, params, **columns) if n else ([], [])
-    return fit(pos, unl, prior, params)
+    model = fit(pos, unl, prior, params)
+    del pos, unl
+    trim_driver(docs.sparkSession)
+    return model
 
 
 def scorer(model: Model):
