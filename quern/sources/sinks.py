@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.sources.shared import scratch  # noqa: F401  callers take it from here
 from quern.sources.tables import SourceNotFound, exists
 
 
@@ -36,16 +36,6 @@ def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
     df.hint("rebalance").write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder name of this application in spark.checkpoint.dir, which all executors share; on a local master where that is unset, in a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        shared = f"file://{tempfile.mkdtemp(prefix='quern-')}"
-    return f"{shared}/quern-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
 def write_files(df: DataFrame, root: str, folders: list[str], name: str, content: str = "content") -> DataFrame:
     """One file a row at <root>/<folders...>/<name>, in any store that Arrow opens by the root's address: its path, size, and status.
 
