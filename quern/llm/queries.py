@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import html_extraction, lm_scoring, near_duplicates, packing, pii, quality, sentencepiece_bpe, token_output, topk, toxicity
+from quern.llm import conversation_trie, html_extraction, lm_scoring, near_duplicates, packing, pii, quality, sentencepiece_bpe, token_output, topk, toxicity, url_filters, whitening
 from quern.llm.common import table
 
 
@@ -95,6 +95,35 @@ SELECT *, failures & 3 <> 0 AS base_failed, failures & 127 = 0 AS kept FROM f
 """
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 is folded over the digits' codes, eight shifts each; every node passes its sums to all its beginnings.
+OP11_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, x) AS ts FROM t GROUP BY 1),
+h AS (SELECT *, (xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: unicode(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 6)::INTEGER AS h FROM own),
+reb AS (SELECT h.conv_id, list_concat(coalesce(b.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+m AS (SELECT conv_id, len(ts) AS n, unnest(range(0, len(ts) + 1))::INTEGER AS depth, ts FROM reb),
+p AS (SELECT ts[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM m GROUP BY 1, 2),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM p WHERE depth > 0 GROUP BY 1),
+n AS (SELECT p.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * (CASE WHEN depth = 0 THEN 0 ELSE length(path[depth].x) END) AS saved FROM p LEFT JOIN k USING (path)),
+s AS (SELECT path[1:a] AS path, sum(saved)::BIGINT AS saved_tokens, count_if(n_children = 0)::BIGINT AS n_leaves FROM (SELECT *, unnest(range(0, depth + 1))::INTEGER AS a FROM n) GROUP BY 1)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM n JOIN s USING (path) LEFT JOIN p u ON n.depth > 0 AND u.path = n.path[1:n.depth - 1]
+"""
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"))
+
+
 def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ablation(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -122,6 +151,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_personal_data": op9_personal_data,
         "op10_quality_ledger": op10_quality_ledger,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_url_filters": op13_url_filters,
         "quality_ablation": quality_ablation,
         "pipeline": pipeline,
     }
@@ -131,5 +163,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_exact_topk": OP7_SQL,
         "op10_quality_ledger": OP10_SQL,
+        "op11_conversation_trie": OP11_SQL,
         "quality_ablation": ABLATION_SQL,
     }

@@ -15,6 +15,9 @@ COLUMNS = {
     "op7_exact_topk": "query_id rank vec_id score",
     "op8_near_duplicates": "doc_id n_shingles component_id kept",
     "op9_personal_data": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op11_conversation_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_embedding_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op13_url_filters": "page_id host path rule verdict",
     "quality_ablation": "rule bit n_failed n_failed_alone n_kept_without n_kept",
     "op10_quality_ledger": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
@@ -28,7 +31,7 @@ def test_query(spark, sf_dir, name):
     assert rows
     if name in queries.oracle_sql():
         con = duckdb.connect()
-        for t in ("documents", "embeddings"):
+        for t in ("documents", "embeddings", "conversations"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
         want = con.sql(queries.oracle_sql()[name])
         assert set(want.columns) == set(got.columns)
