@@ -2,9 +2,14 @@
 
 Paragraph-like elements earn points for their length and their commas, discounted by the share of their text that is
 in links, and pass them to their ancestors, the farther the less. The ancestor with the highest score, itself
-discounted by its link density, is the main container; its siblings are kept too where they score well beside it or
-hold a real paragraph. Elements that never belong to an article (menus, page headers and footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments) are cut before scoring, by tag, role, or the words of class and id.
+discounted by its link density, is the best container. Where it lies in an article, the outermost one is taken whole; else
+the main it lies in; else it widens to a parent below the body as long as most of that parent's points are its own and
+nothing beside it is mostly links. What stands beside the way from there to the best container stays but for lists and
+groups that are mostly links. Siblings of the container are kept too where they score well beside it or hold a real
+paragraph. Elements that never belong to an article (menus, page headers and footers, sidebars, notices,
+adverts, forms, scripts, styles, reader comments) are cut before scoring, by tag, role, or the words of class and id. A name
+that also has words of neither kind nor place ("social-security") is a weak reason: what bears it goes only where it is
+mostly links or, outside articles and mains, short.
 Of what a role, a word or a form alone would cut, an element is spared, and what is within it judged anew, when it is
 round the article itself: when it holds more than two thirds of the page's points, the page's only main, or articles
 with more points than all that is left beside what is cut.
@@ -14,7 +19,7 @@ The text is the kept elements' blocks in page order. Inside a block white space
 trimmed; blocks are joined by two line ends. Character references are decoded. Nothing else is dropped or capped.
 
 Defined results: a null or empty page, or one without any text outside what is cut, gives the empty text; unclosed,
-cut-off and crossed markup is read as browsers do, as far as it bears on blocks; pages are read one by one, so
+cut-off and crossed markup is read as browsers do, as far as it bears on blocks (what a head cannot hold ends it); pages are read one by one, so
 repeated rows, ties and extra columns change nothing. Of containers with equal scores the first in the page is taken.
 """
 
@@ -42,6 +47,7 @@ CUT = set("aside button canvas datalist dialog footer head iframe input map menu
 PARAGRAPH = set("p pre blockquote td li dd h1 h2 h3 h4 h5 h6".split())
 ENDS_P = BLOCK - {"html", "body"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+IN_HEAD = set("base link meta noscript script style template title".split())
 #: A start tag of the key closes an open element of the values, unless one of the third stands between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -58,6 +64,12 @@ CUT_WORDS = set(
     "disqus footer masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted recommended related remark replies respond "
     "share sharing shoutbox sidebar sidenav signup skyscraper social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Words of kind and place that make a name no less of a reason.
+PLAIN_WORDS = set(
+    "a an and area article articles bar big block blog body bottom box btn button buttons by card center cell col column columns container content cover desktop dropdown element fixed float floating frame "
+    "global grid group header head holder hover icon icons id in inline inner item items js layout left lg link links list lower main md media mobile mod module more news of overlay outer page panel "
+    "part pane primary post posts right row rt rail section secondary shell side site slot sm small sticky story stories strip tab tablet teaser text the title top unit upper user view wide wrap wrapper x xl xs".split()
+)
 COMMENT_WORDS = set("comment comments commentlist disqus remark replies respond shoutbox".split())
 CUT_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
@@ -65,7 +77,9 @@ POINT_CHARS, MOST_LENGTH_POINTS = 100, 3.0
 SIBLING_SHARE, SIBLING_LEAST = 0.2, 10.0
 SPARED_SHARE = 2 / 3
 REAL_CHARS, REAL_LINKS = 80, 0.25
-WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Below an element are mostly links; an element with a weak reason to be cut is short; most of a parent's points.
+MOSTLY_LINKS, SHORT_POINTS, MOST_POINTS = 0.5, 3.0, 0.5
+WORD, RUN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])"), re.compile("[A-Za-z]+")
 
 
 UNFINISHED = re.compile(r"<[A-Za-z/!?]")
@@ -78,7 +92,7 @@ class Node:
         self.tag, self.parent, self.order = tag, parent, order
         self.children: list[Node | str] = []
         self.score, self.chars, self.link_chars = 0.0, 0, 0
-        self.doubt = ""  # why it may be cut: "named", "comments" or nothing
+        self.doubt = ""  # why it may be cut: "named", "weak", "comments" or nothing
 
     @property
     def link_density(self) -> float:
@@ -97,6 +111,8 @@ class Tree(HTMLParser):
         self.open: defaultdict[str, list[int]] = defaultdict(list)  # depths of the stack by tag
 
     def handle_starttag(self, tag, attrs):
+        if self.open["head"] and tag not in IN_HEAD and (tag == "body" or self.stack[-1].tag == "head"):
+            self._pop_to(self.open["head"][0])
         self._close_implied(tag)
         if tag in VOID:
             if not self.cut:
@@ -124,6 +140,8 @@ class Tree(HTMLParser):
             self._pop_to(self.open[tag][-1])
 
     def handle_data(self, data):
+        if self.stack[-1].tag == "head" and data.strip():
+            self._pop_to(len(self.stack) - 1)
         if not self.cut:
             self.stack[-1].children.append(data)
 
@@ -160,11 +178,20 @@ class Tree(HTMLParser):
         if tag in ("article", "main"):
             return ""
         values = dict(attrs)
-        named = f"{values.get('class') or ''} {values.get('id') or ''}"
-        words = {w.lower() for w in (*WORD.findall(named), *re.findall("[A-Za-z]+", named))}
-        if not words.isdisjoint(COMMENT_WORDS):
+        names = f"{values.get('class') or ''} {values.get('id') or ''}".split()
+        words = [_words(n) for n in names]
+        if any(not (runs | parts).isdisjoint(COMMENT_WORDS) for runs, parts in words):
             return "comments"
-        return "named" if tag == "form" or (values.get("role") or "").lower() in CUT_ROLES or not words.isdisjoint(CUT_WORDS) else ""
+        if tag == "form" or (values.get("role") or "").lower() in CUT_ROLES:
+            return "named"
+        listed = [(runs, parts) for runs, parts in words if not (runs | parts).isdisjoint(CUT_WORDS)]
+        known = CUT_WORDS | PLAIN_WORDS
+        return "" if not listed else "named" if any(runs <= known or parts <= known for runs, parts in listed) else "weak"
+
+
+def _words(name: str) -> tuple[set[str], set[str]]:
+    """The runs of letters of a name, and its words, which capitals begin too."""
+    return {w.lower() for w in RUN.findall(name)}, {w.lower() for w in WORD.findall(name)}
 
 
 def _measure(tree: Tree) -> None:
@@ -208,8 +235,10 @@ def _cut_doubtful(tree: Tree) -> None:
     within = [_points(n) for n in tree.nodes]  # below each element
     named, mains = [0.0] * len(within), [0.0] * len(within)  # of these, in articles and mains, and in mains
     clear = [not n.doubt for n in tree.nodes]  # nothing round it is in doubt
+    inside = [n.tag in ("article", "main") for n in tree.nodes]
     for n in tree.nodes[1:]:
         clear[n.order] &= clear[n.parent.order]
+        inside[n.order] |= inside[n.parent.order]
     left = sum(x for x, c in zip(within, clear, strict=True) if c)
     for n in reversed(tree.nodes):
         if n.tag in ("article", "main"):
@@ -224,6 +253,8 @@ def _cut_doubtful(tree: Tree) -> None:
     def spared(n: Node) -> bool:
         if n.doubt == "comments" and left > 0:
             return False
+        if n.doubt == "weak" and n.link_density < MOSTLY_LINKS and (inside[n.order] or within[n.order] >= SHORT_POINTS):
+            return True
         return within[n.order] > SPARED_SHARE * within[0] or named[n.order] > left or (mains[n.order] > 0 and not main_left)
 
     kept = [True] * len(within)
@@ -247,6 +278,37 @@ def _score(tree: Tree) -> None:
             above, depth = above.parent, depth + 1
 
 
+def _is_links(n: Node | str) -> bool:
+    """A list or a group of mostly links; a heading or a paragraph that is a link may belong to the text."""
+    return not isinstance(n, str) and n.tag in BLOCK and n.tag not in PARAGRAPH and n.link_density > MOSTLY_LINKS
+
+
+def _widened(tree: Tree, best: Node) -> Node:
+    """The article or main that a container lies in, or a parent that it is most of; what is mostly links beside it goes."""
+    way = [best]
+    while way[-1].parent is not None:
+        way.append(way[-1].parent)
+    named = [i for tag in ("article", "main") for i, n in enumerate(way) if n.tag == tag]
+    if named:
+        articles = [i for i in named if way[i].tag == "article"]
+        top = max(articles or named)
+    else:
+        points = {}
+        for n in reversed(tree.nodes):
+            points[n.order] = points.get(n.order, 0.0) + _points(n)
+            if n.parent is not None:
+                points[n.parent.order] = points.get(n.parent.order, 0.0) + points[n.order]
+        top = 0
+        while way[top].parent is not None and way[top + 1].parent is not None:
+            beside = [c for c in way[top + 1].children if c is not way[top]]
+            if points[way[top].order] <= MOST_POINTS * points[way[top + 1].order] or any(map(_is_links, beside)):
+                break
+            top += 1
+    for i in range(1, top + 1):
+        way[i].children = [c for c in way[i].children if c is way[i - 1] or not _is_links(c)]
+    return way[top]
+
+
 def _kept(tree: Tree) -> list[Node]:
     """The main container and the siblings kept with it, in page order."""
     scored = [n for n in tree.nodes if n.score > 0]
@@ -256,14 +318,15 @@ def _kept(tree: Tree) -> list[Node]:
     best = max(scored, key=lambda n: (value[n.order], -n.order))
     if best.parent is None:
         return [best]
+    main = _widened(tree, best)
     least = max(SIBLING_LEAST, SIBLING_SHARE * value[best.order])
     kept = []
-    for n in best.parent.children:
+    for n in main.parent.children:
         if isinstance(n, str) or n.order < 0:
             continue
         real = n.tag == "p" and n.chars > REAL_CHARS and n.link_density < REAL_LINKS
-        heading = n.tag in HEADINGS and n.order < best.order and n.link_density < REAL_LINKS
-        if n is best or value.get(n.order, 0.0) >= least or real or heading:
+        heading = n.tag in HEADINGS and n.order < main.order and n.link_density < REAL_LINKS
+        if n is main or value.get(n.order, 0.0) >= least or real or heading:
             kept.append(n)
     return kept
 

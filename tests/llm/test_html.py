@@ -22,6 +22,9 @@ CASES = {
     "tables": ("<table><tr><td>a, b<td>c</table>", "a, b\n\nc"),
     "header of the article": ("<header>Site</header><article><header><h1>T</h1></header><p>x</p></article>", "T\n\nx"),
     "inline markup": ("<p>a <b>b <i>c</i></b>d<a href=x>e</a></p>", "a b cde"),
+    "head without end": ("<html><head><title>t</title><body><article><p>one</p></article>", "one"),
+    "head without end or body": ("<head><meta charset=x><title>t</title><noscript><img src=x></noscript><p>one</p>", "one"),
+    "text after head": ("<head><title>t</title>one", "one"),
     "crossed": ("<p><b>one<p>two</b> three", "one\n\ntwo three"),
 }
 
@@ -121,6 +124,48 @@ def test_strange_pages_end(page):
     extract(page)
 
 
+PARAGRAPHS = "".join(f"<p>{i} {LONG}</p>" for i in range(8))
+WANTED = [f"{i} {LONG}".strip() for i in range(8)]
+#: Bodies of an article and their blocks, as written by hand.
+BODIES = {
+    "a short last section": ("<h1>Title</h1><section>" + PARAGRAPHS + "</section><section><h2>Closing</h2><p>A short closing remark.</p></section>", ["Title", *WANTED, "Closing", "A short closing remark."]),
+    "list and quote beside": ("<h1>Title</h1><div>" + PARAGRAPHS + "</div><ul><li>First point<li>Second point</ul><blockquote>So it was.</blockquote>", ["Title", *WANTED, "First point", "Second point", "So it was."]),
+    "table and late heading": ("<div>" + PARAGRAPHS + "</div><table><tr><td>1<td>2</table><h2>Late heading</h2><p>Short last.</p>", [*WANTED, "1", "2", "Late heading", "Short last."]),
+    "text of the article itself": ("Lead in.<div>" + PARAGRAPHS + "</div>The end.", ["Lead in.", *WANTED, "The end."]),
+    "a heading that is a link": ("<h1><a href=x>Title</a></h1><div>" + PARAGRAPHS + "</div><p><a href=y>More of it</a></p>", ["Title", *WANTED, "More of it"]),
+    "nested sections": ("<section><h2>One</h2><div>" + PARAGRAPHS + "</div></section><section><h2>Two</h2><div><div><p>Deep.</p></div></div></section>", ["One", *WANTED, "Two", "Deep."]),
+    "names with a listed word": ("<div>" + PARAGRAPHS + "</div><div id='social-security'><p>Pensions.</p></div><div class='banner-history'><p>Flags of old.</p></div>", [*WANTED, "Pensions.", "Flags of old."]),
+    "articles within": ("<article><h2>One</h2>" + PARAGRAPHS + "</article><article><h2>Two</h2><p>Short.</p></article>", ["One", *WANTED, "Two", "Short."]),
+    "links, adverts and notices go": ("<div>" + PARAGRAPHS + "</div><ul><li><a href=1>Link one</a><li><a href=2>Link two</a></ul><div class='ad-slot'><p>Buy, now.</p></div><div class='cookie-notice'><p>We use them, all.</p></div>", WANTED),
+}
+
+
+@pytest.mark.parametrize("name", BODIES)
+@pytest.mark.parametrize("shape", ["<body><nav>Home</nav><article>{}</article><footer>x</footer></body>", "<body><main>{}</main><div>Copyright of this site.</div></body>", "<html><head><title>t</title><body><div><article>{}</article><aside>x</aside></div>"])
+def test_whole_articles_are_kept(name, shape):
+    body, want = BODIES[name]
+    if name == "articles within" and "main" in shape:  # articles side by side in a main are judged one by one
+        want = want[: WANTED.index(WANTED[-1]) + 2]
+    assert extract(shape.format(body)) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("name", ["a short last section", "list and quote beside", "table and late heading", "nested sections"])
+def test_a_plain_container_widens_below_the_body(name):
+    body, want = BODIES[name]
+    assert extract(f"<body><div>Site</div><div id=content>{body}</div><div>Copyright of this site.</div></body>") == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("name", ["social-security", "banner-history", "promoWeek", "share-prices"])
+def test_a_weak_name_in_a_plain_container(name):
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p><div id='{name}'><p>Inside. {LONG}</p></div></div></body>"
+    assert "Inside." in extract(page)
+
+
+def test_a_page_wrapper_with_menus_is_not_the_article():
+    menu = "<ul><li><a href=1>Home</a><li><a href=2>News</a></ul>"
+    assert extract(f"<body><div>{menu}<div>{PARAGRAPHS}</div><div>Copyright of this site.</div></div></body>") == "\n\n".join(WANTED)
+
+
 def brute(page):
     """The text between the article's tags, of pages with h1, p, b and br alone."""
     at = page.index("<article>") + 9
