@@ -309,9 +309,14 @@ def candidates(tiled: DataFrame, params: Params) -> DataFrame:
 def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str) -> DataFrame:
     """text_key, set_key, shingles (64-bit numbers) of the wanted nodes (node, text_key, set_key), from a second look at the texts.
 
-    A bit map of bounded size tells most other texts apart before their sets are made or anything is shuffled.
+    A bit map of bounded size tells most other texts apart before their sets are made or anything is shuffled. Where more
+    texts are wanted than it can tell apart, texts are joined to the wanted ones' keys before any set is made.
     """
-    n_bits = min(MOST_BITS, max(1 << 10, 1 << (BITS_EACH * wanted.count()).bit_length()))
+    many = wanted.count()
+    source = docs.select(F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    if many * BITS_EACH > MOST_BITS:
+        source = salted(source, wanted.select("text_key").distinct(), "text_key", F.spark_partition_id(), "left_semi")
+    n_bits = min(MOST_BITS, max(1 << 10, 1 << (BITS_EACH * many).bit_length()))
     bit = F.pmod("text_key", F.lit(n_bits))
     marks = wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, CAST(pmod(text_key, {n_bits}) % 64 AS int)))").alias("bits")).toArrow()  # a 64th of the marks
     words = np.zeros(n_bits // 64, np.int64)
@@ -333,7 +338,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, params: Params, text_col: str)
 
         return kernel
 
-    made = map_slices(docs.select(F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text")), schema, "text_key long, set_key binary, shingles binary", make)
+    made = map_slices(source, schema, "text_key long, set_key binary, shingles binary", make)
     return made.groupBy("text_key", "set_key").agg(F.first("shingles").alias("shingles"))  # of copies of a text, all have the same
 
 
@@ -450,7 +455,7 @@ def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", tex
     # The least id of each component; alone are the nodes that no link names.
     of = merged(nodes.select("node", "set_key", "least", "n"), linked, "node", "left").withColumn("alone", F.col("component").isNull()).withColumn("component", F.coalesce("component", "node"))
     joint = of.where("NOT alone").groupBy("component").agg(F.min("least").alias("component_id"))
-    told = merged(of, joint, "component", "left").where("n > 1 OR NOT alone").select("set_key", F.when(F.col("alone"), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
+    told = salted(of, joint, "component", "node", "left").where("n > 1 OR NOT alone").select("set_key", F.when(F.col("alone"), F.col("least")).otherwise(F.col("component_id")).alias("told"), F.lit(True).alias("is_told"))
     # Copies of one text, and texts without a word, are dealt by where they were written.
     out = salted(printed, told, "set_key", F.spark_partition_id() + F.xxhash64("doc_id"), "left")
     component = F.when(F.col("is_told"), F.col("told")).otherwise(F.col("doc_id"))

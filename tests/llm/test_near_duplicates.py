@@ -54,6 +54,14 @@ def family(rng, n, length=60, edits=6):
     return out
 
 
+def test_more_wanted_texts_than_marks_can_tell(spark, monkeypatch):
+    monkeypatch.setattr(near, "MOST_BITS", 1 << 10)
+    rng = random.Random(9)
+    texts = [t for _ in range(20) for t in family(rng, 4)] + ["a b c d e f"] * 40 + [" ".join(f"w{rng.randrange(2000)}" for _ in range(40)) for _ in range(60)]
+    rows = list(enumerate(texts))
+    assert got(spark.createDataFrame(rows, SCHEMA).repartition(7), near.Params(words=2)) == brute(rows, 2)
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_families_match_brute_force(spark, words):
     rng = random.Random(words)
