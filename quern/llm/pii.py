@@ -178,10 +178,13 @@ def contexts(scanned: DataFrame, *keys: str) -> DataFrame:
 
 
 def _salted(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int) -> DataFrame:
-    """left joined to right on key, which is unique in right; each key's rows of left are dealt by another column."""
+    """left joined to right on key, which is unique in right; each key's rows of left are dealt by another column.
+
+    Spark judges the copies by the files they come from, so the merge is named: no side goes through the driver.
+    """
     dealt = left.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return dealt.join(copies, [key, "salt"]).drop("salt")
+    return dealt.join(copies.hint("merge"), [key, "salt"]).drop("salt")
 
 
 def score_patterns(edges: DataFrame, params: Params) -> DataFrame:
@@ -192,7 +195,7 @@ def score_patterns(edges: DataFrame, params: Params) -> DataFrame:
     unseen = edges.where("kind IS NULL").select("pattern", "instance")
 
     def scored(gained: DataFrame | None) -> DataFrame:
-        table = counted if gained is None else counted.join(gained, "pattern", "left")
+        table = counted if gained is None else counted.join(gained.hint("merge"), "pattern", "left")
 
         def with_gain(name: str, k: int):
             return F.col(f"seeds_{k}") + (F.lit(0) if gained is None else F.coalesce(F.col(f"{name}_{k}"), F.lit(0)))
@@ -234,7 +237,7 @@ def discover(scanned: DataFrame, keys: list[str], params: Params) -> DataFrame:
 def find(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, base and added spans (kind, start, end) of each row, each in order of kind and start."""
     scanned = stored(scan(docs, id_col, text_col).withColumn("row_id", F.monotonically_increasing_id()), "scanned")
-    found = scanned.select("row_id", "doc_id", "text_key", "base").join(discover(scanned.where("size(seen) > 0"), ["row_id"], params), "row_id", "left")
+    found = scanned.select("row_id", "doc_id", "text_key", "base").join(discover(scanned.where("size(seen) > 0"), ["row_id"], params).hint("merge"), "row_id", "left")
     return found.select("doc_id", "text_key", F.array_sort("base").alias("base"), F.array_sort(F.coalesce("added", F.expr(f"CAST(array() AS array<{SPAN}>)"))).alias("added"))
 
 

@@ -159,3 +159,12 @@ def test_salted_copies_of_spans_do_not_go_through_the_driver(spark):
     out = []
     joins = broadcast_joins(spark, lambda: out.extend(pii.redact(docs).collect()))
     assert not joins[-1] and {r.text for r in out} == {"write to <EMAIL> today"}
+
+
+def test_no_side_of_discovery_goes_through_the_driver(spark):
+    rows = [(i, f"call me at +1 578 555 {1000 + i} or so") for i in range(60)] + [(100 + i, f"call me at 578 555 {1000 + i} or so") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = []
+    joins = broadcast_joins(spark, lambda: out.extend(pii.digests(pii.find(docs)).collect()))
+    assert joins and not any(joins)
+    assert sum(r.n_added for r in out) == 5
