@@ -9,6 +9,8 @@ import zlib
 
 import numpy as np
 
+from quern.functions import draws
+
 # PNG's signature, and channels by its colour types.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 PNG_CHANNELS = {0: 1, 2: 3, 4: 2, 6: 4}
@@ -60,7 +62,7 @@ def scaled(image: np.ndarray, factor: float) -> np.ndarray:
     return new[np.ix_(reflected(rows, new.shape[0]), reflected(columns, new.shape[1]))]
 
 
-def noisy(image: np.ndarray, sigma: float, rng: np.random.Generator) -> np.ndarray:
+def noisy(image: np.ndarray, sigma: float, rng: draws.Stream | np.random.Generator) -> np.ndarray:
     """With normal noise on each channel, added in float32, clipped, cut to whole numbers."""
     noise = rng.normal(0.0, sigma, image.shape).astype(np.float32)
     return np.clip(image.astype(np.float32) + noise, 0.0, 255.0).astype(np.uint8)
@@ -100,7 +102,7 @@ def stepped(image: np.ndarray, steps: tuple) -> list[np.ndarray]:
     for kind, value in steps:
         before = made[-1] if made else image
         if kind == "noisy":
-            made.append(noisy(before, value[0], np.random.default_rng(value[1])))
+            made.append(noisy(before, value[0], draws.Stream(value[1])))
         elif kind == "blurred":
             made.append(blurred(before))
         else:
@@ -114,15 +116,27 @@ def demonstrated(image: np.ndarray) -> dict[str, np.ndarray]:
     return {"original": image, **sequence, **{name: stepped(image, steps)[-1] for name, steps in CHAINS.items()}}
 
 
-def augmented(image: np.ndarray, seed: int, rotation: tuple[float, float], scaling: tuple[float, float], sigma: float) -> np.ndarray:
-    """Rotated, and scaled, noisy and blurred by the toss of a coin each, all from one seed."""
-    rng = random.Random(seed)
-    out = rotated(image, rng.uniform(*rotation))
-    if rng.random() > 0.5:
-        out = scaled(out, rng.uniform(*scaling))
-    if rng.random() > 0.5:
-        out = noisy(out, sigma, np.random.default_rng(seed))
-    return blurred(out) if rng.random() > 0.5 else out
+def augmented(image: np.ndarray, seed: int, rotation: tuple[float, float], scaling: tuple[float, float], sigma: float, sequential: bool = False) -> np.ndarray:
+    """Rotated, and scaled, noisy and blurred by the toss of a coin each, all from one seed.
+
+    Draws are those of augment.with_parameters(), each by its own counter; sequential ones are Python's generator's, each
+    made only where it is used.
+    """
+    if sequential:
+        rng, noise = random.Random(seed), np.random.default_rng(seed)
+        angle, has_scale = rng.uniform(*rotation), rng.random() > 0.5
+        factor = rng.uniform(*scaling) if has_scale else 1.0
+        has_noise, has_blur = (rng.random() > 0.5 for _ in range(2))
+    else:
+        one, noise = draws.Stream(seed), draws.Stream(seed, stream=1)
+        angle, has_scale, factor = one.uniform(*rotation), one.random() > 0.5, one.uniform(*scaling)
+        has_noise, has_blur = (one.random() > 0.5 for _ in range(2))
+    out = rotated(image, angle)
+    if has_scale:
+        out = scaled(out, factor)
+    if has_noise:
+        out = noisy(out, sigma, noise)
+    return blurred(out) if has_blur else out
 
 
 def grey(image: np.ndarray) -> np.ndarray:

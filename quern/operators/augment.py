@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.functions import scalars
+from quern.functions import draws, scalars
 
 # The ranges that parameters are drawn from, and the noise.
 ROTATION = (-15.0, 15.0)
@@ -43,8 +43,32 @@ def plan(train: DataFrame, target: int, seed: int, order: list[str]) -> DataFram
     )
 
 
+#: Counters of a seed's draws; noise has a stream of its own.
+ANGLE, HAS_SCALE, SCALE, HAS_NOISE, HAS_BLUR = range(5)
+NOISE_STREAM = 1
+
+
+def with_parameters(planned: DataFrame) -> DataFrame:
+    """planned with the parameters that each seed stands for: kind, angle, scale, noise, blur. Column expressions only."""
+
+    def draw(counter: int):
+        return draws.uniform(F.col("random_seed"), counter)
+
+    scaled, noise, blur = (draw(i) > 0.5 for i in (HAS_SCALE, HAS_NOISE, HAS_BLUR))
+    made = planned.withColumns({"_scaled": scaled, "_noise": noise, "_blur": blur})
+    kinds = F.concat(F.lit("rotation"), *(F.when(F.col(f"_{k}"), "+" + name).otherwise("") for k, name in (("scaled", "scaling"), ("noise", "noise"), ("blur", "blur"))))
+    return made.select(
+        *planned.columns,
+        kinds.alias("augmentation_type"),
+        F.round(draws.between(*ROTATION, draw(ANGLE)), 6).alias("rotation_angle"),
+        F.when(F.col("_scaled"), F.round(draws.between(*SCALING, draw(SCALE)), 6)).otherwise(1.0).alias("scale_factor"),
+        F.when(F.col("_noise"), NOISE_SIGMA).otherwise(0.0).alias("noise_sigma"),
+        F.col("_blur").alias("blur_applied"),
+    )
+
+
 def drawn(seed: int) -> tuple[str, float, float, float, bool]:
-    """The parameters a seed stands for: kind, angle, scale, noise, blur; a draw is only made where it is used."""
+    """The parameters of a seed by Python's own generator: a draw is only made where it is used."""
     rng = random.Random(seed)
     kinds, angle, scale = ["rotation"], rng.uniform(*ROTATION), 1.0
     if rng.random() > 0.5:
@@ -55,8 +79,8 @@ def drawn(seed: int) -> tuple[str, float, float, float, bool]:
     return "+".join(kinds), round(angle, 6), round(scale, 6), NOISE_SIGMA if noise else 0.0, blur
 
 
-def with_parameters(planned: DataFrame) -> DataFrame:
-    """planned with the parameters of each seed, drawn in Arrow batches."""
+def with_sequential_parameters(planned: DataFrame) -> DataFrame:
+    """with_parameters() of Python's own generator, in Arrow batches."""
     ddl = "augmentation_type string, rotation_angle double, scale_factor double, noise_sigma double, blur_applied boolean"
 
     @F.pandas_udf(ddl)

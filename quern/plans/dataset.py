@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import scalars
+from quern.functions import draws, scalars
 from quern.operators import augment, checks, duplicates, inspection, master, split
 from quern.plans import surrogates as s
 from quern.plans.registry import register
@@ -495,7 +495,24 @@ def augment_plan(spark: SparkSession, d: str) -> DataFrame:
     return s.plan(spark, d)
 
 
-@register("augment_parameters")
+def parameters_sql() -> str:
+    """SQL of the parameters of plan: five draws a seed, side by side."""
+    drawn = draws.words_sql("(SELECT *, unnest(range(5)) AS place FROM plan)", "random_seed", "place")
+    u = "any_value({u}) FILTER (place = {{}})".format(u=draws.uniform_sql()).format
+    names = ("angle", "has_scale", "scale", "has_noise", "has_blur")
+    side = ", ".join(f"{u(i)} AS u_{n}" for i, n in enumerate(names))
+
+    def between(low: float, high: float, name: str) -> str:
+        return f"round('{low!r}'::DOUBLE + '{high - low!r}'::DOUBLE * u_{name}, 6)"
+
+    return f""", five AS (SELECT klass, aug_index, source_id, random_seed, generated_name, {side} FROM ({drawn}) GROUP BY ALL)
+    SELECT klass, aug_index, source_id, random_seed, generated_name,
+    'rotation' || CASE WHEN u_has_scale > 0.5 THEN '+scaling' ELSE '' END || CASE WHEN u_has_noise > 0.5 THEN '+noise' ELSE '' END || CASE WHEN u_has_blur > 0.5 THEN '+blur' ELSE '' END AS augmentation_type,
+    {between(*augment.ROTATION, "angle")} AS rotation_angle, CASE WHEN u_has_scale > 0.5 THEN {between(*augment.SCALING, "scale")} ELSE 1.0::DOUBLE END AS scale_factor,
+    CASE WHEN u_has_noise > 0.5 THEN {augment.NOISE_SIGMA}::DOUBLE ELSE 0.0::DOUBLE END AS noise_sigma, u_has_blur > 0.5 AS blur_applied FROM five"""
+
+
+@register("augment_parameters", s.BASE_SQL.rstrip() + TRAIN_SQL.rstrip() + parameters_sql())
 def augment_parameters(spark: SparkSession, d: str) -> DataFrame:
     return augment.with_parameters(s.plan(spark, d))
 

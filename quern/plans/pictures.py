@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import images
+from quern.functions import draws, images
 from quern.operators import augment
 from quern.plans.registry import register
 from quern.sources import files, sinks
@@ -54,13 +54,13 @@ def folded(at: str, n: int) -> str:
     return f"(CASE WHEN (({at}) % {q} + {q}) % {q} >= {n} THEN {q} - (({at}) % {q} + {q}) % {q} ELSE (({at}) % {q} + {q}) % {q} END)"
 
 
-def sampled_sql(kind: str, side: int, y: str, x: str) -> str:
+def sampled_sql(kind: str, side: int, y: str, x: str, source: str = "greys") -> str:
     """SQL of an image of side by side whose pixel (r, c) is taken at the fractional place (y, x)."""
     value = "p[({0}) * 8 + ({1}) + 1]".format
     row0, row1, col0, col1 = folded("y0", SIDE), folded("y0 + 1", SIDE), folded("x0", SIDE), folded("x0 + 1", SIDE)
     return f"""SELECT id, '{kind}' AS kind, {side} AS height, {side} AS width, string_agg(v::VARCHAR, ',' ORDER BY r, c) AS pixels FROM (
       SELECT id, r, c, greatest(0, least(255, round_even(({value('r0', 'c0')} * (1 - fx) + {value('r0', 'c1')} * fx) * (1 - fy) + ({value('r1', 'c0')} * (1 - fx) + {value('r1', 'c1')} * fx) * fy, 0)))::INTEGER AS v
-      FROM greys, (SELECT r, c, y - y0 AS fy, x - x0 AS fx, {row0} AS r0, {row1} AS r1, {col0} AS c0, {col1} AS c1
+      FROM {source}, (SELECT r, c, y - y0 AS fy, x - x0 AS fx, {row0} AS r0, {row1} AS r1, {col0} AS c0, {col1} AS c1
         FROM (SELECT *, floor(y)::INTEGER AS y0, floor(x)::INTEGER AS x0 FROM (SELECT r, c, {y} AS y, {x} AS x FROM range({side}) a(r), range({side}) b(c)))))
       GROUP BY id"""
 
@@ -70,16 +70,18 @@ def enlarged_sql(at: str, side: int) -> str:
     return f"greatest(0, least({SIDE - 1}, ({at} + '0.5'::DOUBLE) * {SIDE} / {side} - '0.5'::DOUBLE))"
 
 
-def scaled_sql(factor: float) -> str:
+def scaled_sql(factor: float, source: str = "greys") -> str:
     new = round(SIDE * factor)
     shift = (new - SIDE) // 2 if new >= SIDE else -((SIDE - new) // 2)
-    return sampled_sql("scaled", SIDE, *(enlarged_sql(folded(f"{a} + {shift}", new), new) for a in ("r", "c")))
+    return sampled_sql("scaled", SIDE, *(enlarged_sql(folded(f"{a} + {shift}", new), new) for a in ("r", "c")), source)
 
 
-SIN, COS = (f"'{f(math.radians(ANGLE))!r}'::DOUBLE" for f in (math.sin, math.cos))
+def rotated_sql(degrees: float, source: str = "greys") -> str:
+    sin, cos = (f"'{f(math.radians(degrees))!r}'::DOUBLE" for f in (math.sin, math.cos))
+    return sampled_sql("rotated", SIDE, f"(c - 4) * {sin} + (r - 4) * {cos} + 4", f"(c - 4) * {cos} - (r - 4) * {sin} + 4", source)
 
 
-@register("image_rotated", f"WITH {GREY_SQL} " + sampled_sql("rotated", SIDE, f"(c - 4) * {SIN} + (r - 4) * {COS} + 4", f"(c - 4) * {COS} - (r - 4) * {SIN} + 4"))
+@register("image_rotated", f"WITH {GREY_SQL} " + rotated_sql(ANGLE))
 def image_rotated(spark: SparkSession, d: str) -> DataFrame:
     return through(greys(spark, d), lambda image: {"rotated": images.rotated(image, ANGLE)})
 
@@ -121,15 +123,50 @@ def image_swapped(spark: SparkSession, d: str) -> DataFrame:
     return through(greys(spark, d), lambda image: {"swapped": images.swapped(np.concatenate([image, 255 - image, image // 2], axis=2))})
 
 
-@register("image_noisy")
+def noise_sql(source: str, sigma: float, seed: int, stream: str = "0") -> str:
+    """SQL: id and p of a table with normal noise on its pixels."""
+    pixels = f"(SELECT id, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS i FROM {source})"
+    drawn = f"(SELECT id, i, x, {draws.uniform_sql()} AS u FROM ({draws.words_sql(pixels, str(seed), 'i', stream)}))"
+    value = f"floor(greatest(0.0::FLOAT, least(255.0::FLOAT, x::FLOAT + ((z * '{sigma!r}'::DOUBLE)::FLOAT))))::INTEGER"
+    return f"SELECT id, list({value} ORDER BY i) AS p FROM (SELECT id, i, x, {draws.inverse_normal_sql('u')} AS z FROM {drawn}) GROUP BY id"
+
+
+@register("image_noisy", f"WITH {GREY_SQL} SELECT id, 'noisy' AS kind, 8 AS height, 8 AS width, array_to_string(p, ',') AS pixels FROM ({noise_sql('greys', augment.NOISE_SIGMA, 42, 'id')})")
 def image_noisy(spark: SparkSession, d: str) -> DataFrame:
-    """Normal noise is drawn by numpy, which SQL cannot repeat: tested by brute force."""
-    return through(greys(spark, d), lambda image: {"noisy": images.noisy(image, augment.NOISE_SIGMA, np.random.default_rng(42))})
+    """Normal noise, of its own for each image, by column expressions."""
+    made = greys(spark, d).withColumn("p", draws.noisy(F.col("p"), augment.NOISE_SIGMA, 42, F.col("id")))
+    return made.select("id", F.lit("noisy").alias("kind"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("pixels"))
+
+
+def step_sql(source: str, kind: str, value) -> str:
+    """SQL: id and p of a table after a step of a chain."""
+    if kind == "noisy":
+        return noise_sql(source, *value)
+    if kind == "blurred":
+        return f"SELECT id, list(v ORDER BY r, c) AS p FROM (SELECT id, r, c, ({BLUR_SUM} + 8) // 16 AS v FROM {source}, range(8) a(r), range(8) b(c)) GROUP BY id"
+    made = scaled_sql(value, source) if kind == "scaled" else rotated_sql(value, source)
+    return f"SELECT id, list_transform(string_split(pixels, ','), lambda x: x::INTEGER) AS p FROM ({made})"
+
+
+def chains_sql() -> str:
+    """SQL of every demonstration chain, a common table expression for each distinct beginning."""
+    known, tables = {(): "greys"}, []
+
+    def named(steps: tuple) -> str:
+        if steps not in known:
+            before = named(steps[:-1])
+            known[steps] = f"chain_{len(known)}"
+            tables.append(f"{known[steps]} AS MATERIALIZED ({step_sql(before, *steps[-1])})")
+        return known[steps]
+
+    parts = [("original", ())] + [(f"step {i}", images.SEQUENCE[:i]) for i in range(1, len(images.SEQUENCE) + 1)] + list(images.CHAINS.items())
+    rows = [f"SELECT id, '{name}' AS kind, 8 AS height, 8 AS width, array_to_string(p, ',') AS pixels FROM {named(tuple(steps))}" for name, steps in parts]
+    return f"WITH {', '.join([GREY_SQL, *tables])} " + " UNION ALL ".join(rows)
 
 
-@register("image_chains")
+@register("image_chains", chains_sql())
 def image_chains(spark: SparkSession, d: str) -> DataFrame:
-    """The demonstration chains; they have noise, so they are tested by brute force."""
+    """The demonstration chains."""
     return through(greys(spark, d), images.demonstrated)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.functions import images
+from quern.functions import draws, images
 from quern.operators import augment
 from quern.plans import pictures, registry
 from quern.sources import files, sinks, tables
@@ -206,15 +206,14 @@ def greys(spark, sf_dir):
     return {r.id: pictures.grey(r.p) for r in pictures.greys(spark, sf_dir).collect()}
 
 
-def test_noise_equals_the_generator(spark, sf_dir, greys):
+def test_noise_equals_the_kernel(spark, sf_dir, greys):
     for r in registry.queries()["image_noisy"](spark, sf_dir).collect():
-        noise = np.random.default_rng(42).normal(0.0, 10.0, (8, 8, 1)).astype(np.float32)
-        want = np.clip(greys[r.id].astype(np.float32) + noise, 0, 255).astype(np.uint8)
+        want = images.noisy(greys[r.id], 10.0, draws.Stream(42, r.id))
         assert r.pixels == ",".join(map(str, want.ravel()))
 
 
 def test_demonstration_chains(spark, sf_dir, greys):
-    noise = lambda seed: (lambda x: images.noisy(x, 10.0, np.random.default_rng(seed)))
+    noise = lambda seed: (lambda x: images.noisy(x, 10.0, draws.Stream(seed)))
     turn = lambda a: (lambda x: images.rotated(x, a))
     size = lambda f: (lambda x: images.scaled(x, f))
     plain = {
@@ -240,21 +239,14 @@ def test_demonstration_chains(spark, sf_dir, greys):
         assert r.pixels == ",".join(map(str, image.ravel())), (r.id, r.kind)
 
 
-def test_registered_parameters_equal_one_generator_a_seed(spark, sf_dir):
-    import random
-
+def test_registered_parameters_equal_the_draws_of_a_seed(spark, sf_dir):
     rows = registry.queries()["augment_parameters"](spark, sf_dir).collect()
-    assert rows
+    assert rows and len({r.augmentation_type for r in rows}) == 8
     for r in rows:
-        rng = random.Random(r.random_seed)
-        angle, scale, kinds = rng.uniform(-15.0, 15.0), 1.0, ["rotation"]
-        if rng.random() > 0.5:
-            scale, kinds = rng.uniform(0.9, 1.1), [*kinds, "scaling"]
-        if noise := rng.random() > 0.5:
-            kinds.append("noise")
-        if blur := rng.random() > 0.5:
-            kinds.append("blur")
-        assert (r.augmentation_type, r.rotation_angle, r.scale_factor, r.noise_sigma, r.blur_applied) == ("+".join(kinds), round(angle, 6), round(scale, 6), 10.0 * noise, blur)
+        angle, has_scale, scale, noise, blur = draws.uniforms(r.random_seed, np.arange(5)).tolist()
+        kinds = ["rotation", *(["scaling"] * (has_scale > 0.5)), *(["noise"] * (noise > 0.5)), *(["blur"] * (blur > 0.5))]
+        factor = round(0.9 + (1.1 - 0.9) * scale, 6) if has_scale > 0.5 else 1.0
+        assert (r.augmentation_type, r.rotation_angle, r.scale_factor, r.noise_sigma, r.blur_applied) == ("+".join(kinds), round(-15.0 + 30.0 * angle, 6), factor, 10.0 * (noise > 0.5), blur > 0.5)
 
 
 def test_registered_files_are_made_from_their_source_and_seed(spark, sf_dir, greys):

@@ -162,7 +162,7 @@ def test_augmentation_draws(spark):
     assert noise == (10.0 if rng.random() > 0.5 else 0.0) and blur == (rng.random() > 0.5)
     assert kind.startswith("rotation")
     planned = augment.plan(classes(spark, [2]).select("id", "klass"), 5, 42, ["id"])
-    assert [r.augmentation_type for r in augment.with_parameters(planned).orderBy("aug_index").collect()] == [augment.drawn(r.random_seed)[0] for r in planned.orderBy("aug_index").collect()]
+    assert [r.augmentation_type for r in augment.with_sequential_parameters(planned).orderBy("aug_index").collect()] == [augment.drawn(r.random_seed)[0] for r in planned.orderBy("aug_index").collect()]
 
 
 def test_full_classes_need_nothing(spark):
