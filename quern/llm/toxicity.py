@@ -11,7 +11,7 @@ step ascends on it instead, so that a flexible model cannot drive the estimated
 A text's features are its distinct lower-cased words and their 4 and 5 character prefixes, hashed. Labels, language,
 source and id are never features. The fit is made in numpy on the driver, from a sample that a hash of the id picks,
 alike at every input size: at most ``max_positive`` (3,000) texts confirmed as toxic and ``max_unlabelled`` (9,000)
-others, each id once. Of their features the ``max_features`` (20,000) strongest are fitted. The class prior is counted
+others, each id once. All of their features that are strong enough are fitted. The class prior is counted
 over all labels of the training folds. Scoring reads all texts whole in one pass, without a shuffle, and a task holds
 the texts of a slice of rows.
 
@@ -48,7 +48,6 @@ MEMO_WORDS = 120_000
 class Params:
     max_positive: int = 3000
     max_unlabelled: int = 9000
-    max_features: int = 20_000
     min_texts: int = 3
     min_strength: float = 3.0
     epochs: int = 60
@@ -132,8 +131,7 @@ def select_features(pos: list[np.ndarray], unl: list[np.ndarray], prior: float,
     both = count.sum(0) / (len(pos) + len(unl))
     strength = (p - u) / np.sqrt(both * (1 - both) * (1 / len(pos) + 1 / len(unl)) + 1e-12)
     kept = (count[0] >= params.min_texts) & (strength >= params.min_strength) & (p >= u / math.sqrt(prior))
-    best = np.argsort(-strength, kind="stable")
-    return np.sort(names[best[kept[best]][: params.max_features]])
+    return np.sort(names[kept])
 
 
 class _Rows:
