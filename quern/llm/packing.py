@@ -8,9 +8,12 @@ input's size:
 2. The few rounded sizes are packed by configurations (which sizes share a sequence). The relaxed covering problem is
    solved by column generation and rounded down; what that leaves over goes to step 4.
 3. Actual pieces take the configurations' places, longest first within a group, so every sequence gets a remainder of
-   at least what was planned.
+   at least what was planned. From sequences that leave more than a bound the shortest piece is taken out again.
 4. What is left over, and the small pieces, go longest first where they fit best, opening a sequence when none fits.
 
+Rounding pays where small pieces can fill what it leaves. So two groupings and five bounds on what a sequence may leave are
+planned, and the plan with the fewest sequences is taken, of equal ones that with most sequences from configurations.
+
 Sequences that are filled alike are kept as one run, (first sequence, how many, remainder), and pieces of one length as
 ranks, so the plan is a short table of placements. A piece finds its place from its length and its rank among the
 pieces of that length alone. Ranks are counted over salted buckets of a length, so a length that very many pieces have
@@ -44,9 +47,10 @@ from quern.llm.common import Memo, map_slices, stored
 MEMO_WORDS = 500_000
 MEMO_CHARS = 64
 CHUNK_WORDS = 4096
-#: The least large length as a share of the capacity, and how many groups. All are planned, and the plan with fewest
-#: sequences is taken: rounding wastes least where many small pieces can fill what it leaves.
-GROUPINGS = ((1 / 8, 24), (1 / 5, 96), (1 / 3, 96), (1 / 2, 96))
+#: The least large length as a share of the capacity, and how many groups.
+GROUPINGS = ((1 / 5, 96), (1 / 3, 96))
+#: What a configuration's sequence may leave at most, as a share of the capacity; those that leave more lose their shortest piece.
+MOST_LEFT = (0.0, 1 / 512, 1 / 128, 1 / 32, 1.0)
 
 
 # --- pieces -------------------------------------------------------------------------------------------------------
@@ -225,7 +229,7 @@ class _Plan:
         self.capacity, self.left = capacity, dict(counts)
         self.given: dict[int, int] = defaultdict(int)
         self.placements: list[Placement] = []
-        self.n_sequences = 0
+        self.n_sequences = self.grouped = 0
         self.open: dict[int, list[tuple[int, int]]] = defaultdict(list)  # remainder: (first sequence, how many)
 
     def place(self, length: int, sequences: int, first: int, per: int, offset: int, n: int | None = None) -> None:
@@ -330,42 +334,63 @@ def _knapsack(sizes: list[int], price: np.ndarray, capacity: int) -> np.ndarray
     return column
 
 
-def _grouped(counts: dict[int, int], capacity: int, share: float, groups: int) -> _Plan:
-    plan = _Plan(capacity, counts)
-    if n := plan.left.get(capacity, 0):
-        plan.place(capacity, n, plan.new(n), 1, 0)
-    made = linear_groups(plan.left, max(2, share * capacity), groups)
-    if made:
-        rounded = [g[0][0] for g in made]
-        for config, times in configurations(rounded, [sum(n for _, n in g) for g in made], capacity):
-            first = plan.new(times)
-            slots = [i for i, n in enumerate(config) for _ in range(n)]
-            # Runs of sequences whose places all take pieces of the same lengths.
-            runs = [(first, times, 0)]
-            for slot in slots:
-                cut = []
-                for at, n, filled in runs:
-                    while n:
-                        length, there = made[slot][0]
-                        take = min(n, there)
-                        plan.place(length, take, at, 1, filled)
-                        made[slot][0] = (length, there - take)
-                        if take == there:
-                            made[slot].pop(0)
-                        cut.append((at, take, filled + length))
-                        at, n = at + take, n - take
-                runs = cut
-            for at, n, filled in runs:
-                plan.open[capacity - filled].append((at, n))
-    plan.best_fit()
-    return plan
+def substituted(counts: dict[int, int], capacity: int, share: float, groups: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Runs of sequences, (how many, the lengths of their pieces): the configurations' places taken by actual pieces, longest first within a group."""
+    made = linear_groups(counts, max(2, share * capacity), groups)
+    out: list[tuple[int, tuple[int, ...]]] = []
+    if not made:
+        return out
+    rounded = [g[0][0] for g in made]
+    for config, times in configurations(rounded, [sum(n for _, n in g) for g in made], capacity):
+        runs: list[tuple[int, tuple[int, ...]]] = [(times, ())]
+        for slot in (i for i, n in enumerate(config) for _ in range(n)):
+            cut = []
+            for n, lengths in runs:
+                while n:
+                    length, there = made[slot][0]
+                    take = min(n, there)
+                    made[slot][0] = (length, there - take)
+                    if take == there:
+                        made[slot].pop(0)
+                    cut.append((take, (*lengths, length)))
+                    n -= take
+            runs = cut
+        out += runs
+    return out
 
 
-def plan(counts: dict[int, int], capacity: int = 2048) -> tuple[list[Placement], int]:
-    """The placements of all pieces, from the number of pieces of each length, and how many sequences they need."""
+def _planned(counts: dict[int, int], capacity: int, runs: list[tuple[int, tuple[int, ...]]], most_left: int) -> _Plan:
+    """The runs, whose shortest piece is taken out where they leave more than that; those pieces, and all the rest, where they fit best."""
+    made = _Plan(capacity, counts)
+    for n, lengths in runs:
+        if capacity - sum(lengths) > most_left:
+            lengths = tuple(sorted(lengths, reverse=True)[:-1])
+        if not lengths:
+            continue
+        first, at = made.new(n), 0
+        made.grouped += n
+        for length in lengths:
+            made.place(length, n, first, 1, at)
+            at += length
+        made.open[capacity - at].append((first, n))
+    made.best_fit()
+    return made
+
+
+def planned(counts: dict[int, int], capacity: int = 2048) -> _Plan:
+    """Of all groupings and bounds on what a configuration leaves, the plan with fewest sequences, then with most from configurations."""
     if bad := [x for x, n in counts.items() if not 1 <= x <= capacity or n < 0]:
         raise ValueError(f"lengths outside 1..{capacity}: {bad[:5]}")
-    found = min((_grouped(counts, capacity, *g) for g in GROUPINGS), key=lambda p: p.n_sequences)
+    plans = []
+    for grouping in GROUPINGS:
+        runs = substituted(counts, capacity, *grouping)
+        plans += [_planned(counts, capacity, runs, int(share * capacity)) for share in MOST_LEFT]
+    return min(plans, key=lambda p: (p.n_sequences, -p.grouped))
+
+
+def plan(counts: dict[int, int], capacity: int = 2048) -> tuple[list[Placement], int]:
+    """The placements of all pieces, from the number of pieces of each length, and how many sequences they need."""
+    found = planned(counts, capacity)
     return found.placements, found.n_sequences
 
 

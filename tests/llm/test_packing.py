@@ -163,3 +163,13 @@ def test_repeated_and_null_ids_and_empty_tables(spark):
     rows = packing.pack_documents(docs, PATH).collect()
     assert len(rows) == 4 and len({(r.sequence_id, r.offset) for r in rows}) == 4
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_plans_come_from_configurations():
+    """Many lengths: as few sequences as tokens need, or one in a thousand more, most of them begun by configurations."""
+    rng = random.Random(3)
+    counts = Counter(min(2047, max(1, int(rng.lognormvariate(6.2, 0.9)))) for _ in range(8000))
+    made = packing.planned(dict(counts))
+    least = -(-sum(x * n for x, n in counts.items()) // 2048)
+    assert made.n_sequences <= 1.001 * least + 1
+    assert made.grouped > 0.2 * made.n_sequences
