@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,16 +66,23 @@ def bits_of(flags: Column) -> Column:
     return F.aggregate(F.transform(flags, lambda f, i: F.when(f, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f names it; a lambda would repeat it for each element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def median_hash(values: Column) -> Column:
     """The last step of a perceptual hash: 64 coefficients, each a bit if above their median."""
-    ordered = F.array_sort(values)
-    middle = (F.element_at(ordered, 32) + F.element_at(ordered, 33)) / 2
-    return bits_of(F.transform(values, lambda x: x > middle))
+
+    def middle(v: Column) -> Column:
+        return bound(F.array_sort(v), lambda ordered: (F.element_at(ordered, 32) + F.element_at(ordered, 33)) / 2)
+
+    return bound(values, lambda v: bound(middle(v), lambda m: bits_of(F.transform(v, lambda x: x > m))))
 
 
 def gradient_hash(values: Column) -> Column:
     """A difference hash over a row of 64 values: a bit if the next value is larger; the last bit is 0."""
-    return bits_of(F.transform(values, lambda x, i: F.coalesce(F.get(values, i + 1) > x, F.lit(False))))
+    return bound(values, lambda v: bits_of(F.transform(v, lambda x, i: F.coalesce(F.get(v, i + 1) > x, F.lit(False)))))
 
 
 def argmax(values: Column) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quern.operators import ordinals
+
 #: Probabilities are kept this far from 0 before a logarithm.
 EPSILON = 1e-15
 
@@ -13,7 +15,27 @@ EPSILON = 1e-15
 def class_index(labels: DataFrame, label: str) -> DataFrame:
     """Distinct labels in order with a dense index from 0."""
     names = labels.select(label).where(F.col(label).isNotNull()).distinct()
-    return names.withColumn("class_index", (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))
+    return ordinals.ordered(names, label, name="class_index").select(label, F.col("class_index").cast("int").alias("class_index"))
+
+
+def quantiles(rows: DataFrame, value: str, at: list[float], *by: str) -> DataFrame:
+    """by, quantile and value: exact quantiles, between two values in proportion, of the values that are not null.
+
+    A value's position in its group comes from ordinals, so no task holds a group; only the one or two values next to
+    each quantile go on.
+    """
+    if bad := [q for q in at if not 0 <= q <= 1]:
+        raise ValueError(f"quantiles outside 0 to 1: {bad}")
+    known = rows.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("value"))
+    placed = ordinals.within(known, list(by), "value", name="place")
+    groups = placed.groupBy(*by).agg(F.count("*").alias("n"))
+    asked = groups.select(*(F.col(k).alias(f"of_{k}") for k in by), F.explode(F.array(*(F.lit(float(q)) for q in at))).alias("quantile"), "n").withColumn("rank", F.col("quantile") * (F.col("n") - 1))
+    wanted = asked.withColumn("place_", F.explode(F.array_distinct(F.array(F.floor("rank"), F.ceil("rank")))))
+    same = F.col("place") == F.col("place_")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    near = placed.join(wanted, same).groupBy(*by, "quantile", "rank").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    return near.select(*by, "quantile", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("rank") - F.floor("rank"))).alias("value"))
 
 
 def confusion(predictions: DataFrame, *by: str) -> DataFrame:
@@ -111,8 +133,11 @@ def log_loss(predictions: DataFrame, p_true: str = "p_true") -> DataFrame:
 
 
 def confidence_stats(predictions: DataFrame) -> DataFrame:
+    """Mean, exact median, least and most; nulls without rows."""
     c = F.col("confidence")
-    return predictions.agg(F.round(F.avg(c), 6).alias("mean"), F.round(F.median(c), 4).alias("median"), F.round(F.min(c), 6).alias("least"), F.round(F.max(c), 6).alias("most"))
+    stats = predictions.agg(F.round(F.avg(c), 6).alias("mean"), F.round(F.min(c), 6).alias("least"), F.round(F.max(c), 6).alias("most"))
+    middle = quantiles(predictions, "confidence", [0.5]).agg(F.round(F.first("value"), 4).alias("median"))  # one row
+    return stats.join(F.broadcast(middle)).select("mean", "median", "least", "most")
 
 
 def confidence_histogram(predictions: DataFrame, bins: int = 20) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators import ordinals
 
 def with_status(items: DataFrame, supported: Column, valid: Column) -> DataFrame:
     """items with status: unsupported, corrupt or valid. What is unsupported is not looked at further."""
@@ -95,3 +96,11 @@ def first_and_rest(rows: DataFrame, order: list[str], n: int) -> DataFrame:
 def ids_by_status(items: DataFrame, status: str) -> DataFrame:
     """The ids of a status by class, in order."""
     return items.groupBy("klass").agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("status") == status, F.col("id")))), ",").alias("ids"))
+
+
+def id_pages(items: DataFrame, status: str, size: int = 1000) -> DataFrame:
+    """klass, page (from 0) and the ids of a status on it, in order: no list is longer than ``size``, however large a class is."""
+    placed = ordinals.within(items.where(F.col("status") == status).select("klass", "id"), ["klass"], "id", name="place")
+    paged = placed.groupBy("klass", F.floor(F.col("place") / size).cast("long").alias("page"))
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"].cast("string"))
+    return paged.agg(F.array_join(ids, ",").alias("ids"))

@@ -61,6 +61,8 @@ def within(df: DataFrame, keys: list[str], *order: str | Column, name: str = "or
     The rows of a key follow each other in the order of keys and order, so a position is the distance to the key's first.
     """
     placed = ordered(df, *keys, *order, name=name)
+    if not keys:
+        return placed
     names = [free(df, f"key_{i}") for i in range(len(keys))]
     first = free(df, "first_place")
     firsts = placed.groupBy(*(F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True))).agg(F.min(name).alias(first))

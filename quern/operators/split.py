@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.functions import scalars
+from quern.functions import draws, scalars
+from quern.operators import ordinals
 
 SPLITS = ("train", "validation", "test")
 #: Hex digits of a hash by which a class is ranked in parts: 4,096 of them.
@@ -73,6 +74,49 @@ def assign_shuffled(items: DataFrame, seed: int, order: list[str], val_ratio: fl
     return _cut(at.join(table, ["klass", "position"]).drop("position"), val_ratio, test_ratio)
 
 
+#: Rounds of a keyed permutation, and steps after which a position that still leaves the range would be given up: fewer than
+#: four in four positions leave it, so 300 such steps in a row happen to one of 10**37 positions.
+ROUNDS, WALKS = 4, 300
+
+
+def half_bits(n: Column) -> Column:
+    """Half the bits of the least range 0..4**h-1 that holds n positions, h from 1 on."""
+    return F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(2)).cast("double")) / 2)).cast("int")
+
+
+def permuted(position: Column, n: Column, seed: Column) -> Column:
+    """The place of a position in a pseudo-random permutation of 0..n-1, from position, n and seed alone.
+
+    A Feistel network permutes the next range of a power of four; a value beyond n goes through it again until it lies
+    below n, which makes a permutation of 0..n-1. Nothing is sorted, listed or collected.
+    """
+    half = half_bits(n)
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), half) - 1
+
+    def once(x: Column) -> Column:
+        def round_(s: Column, i: Column) -> Column:
+            mixed = draws.words(seed, s["low"], i)["a"].bitwiseAND(mask)
+            return F.struct(s["low"].alias("high"), s["high"].bitwiseXOR(mixed).alias("low"))
+
+        start = F.struct(F.call_function("shiftright", x, half).alias("high"), x.bitwiseAND(mask).alias("low"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, lambda s: F.call_function("shiftleft", s["high"], half).bitwiseOR(s["low"]))
+
+    start = once(position.cast("long"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), start, lambda x, _: F.when(x < n, x).otherwise(once(x)))
+
+
+def assign_permuted(items: DataFrame, seed: int, order: list[str], val_ratio: float = 0.1, test_ratio: float = 0.1) -> DataFrame:
+    """A split by a keyed permutation of each class: a row's place follows from its position in the class's order.
+
+    Unlike assign_shuffled() the driver holds nothing, and a class's permutation depends on its size and name alone.
+    """
+    placed = ordinals.within(items, ["klass"], *order, name="position")
+    sizes_ = items.groupBy(F.col("klass").alias("_klass")).agg(F.count("*").alias("of"))
+    known = placed.join(sizes_, F.col("klass").eqNullSafe(F.col("_klass"))).drop("_klass")
+    key = F.lit(seed).cast("long").bitwiseXOR(F.coalesce(scalars.class_offset(F.col("klass")), F.lit(0).cast("long")))
+    return _cut(known.withColumn("place", permuted(F.col("position"), F.col("of"), key) + 1).drop("position"), val_ratio, test_ratio)
+
+
 def assign_families(items: DataFrame, family: str, seed: int, val_ratio: float = 0.1, test_ratio: float = 0.1) -> DataFrame:
     """A split that keeps families together: the least id of a family is split, its other members follow."""
     heads = items.groupBy(family).agg(F.min_by(F.struct("klass", "id"), F.col("id")).alias("h"))

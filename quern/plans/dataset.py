@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import draws, scalars
-from quern.operators import augment, checks, duplicates, inspection, master, split
+from quern.operators import augment, checks, duplicates, evaluation, inspection, master, ordinals, split
 from quern.plans import surrogates as s
 from quern.plans.registry import register
 from quern.sources.tables import table
@@ -434,18 +434,26 @@ def near_dup_pairs(spark: SparkSession, d: str) -> DataFrame:
     return s.near(spark, d)
 
 
-@register(
-    "near_dup_pairs_banded",
-    HASHES.rstrip()
-    + f""", flipped AS (SELECT id, klass, xor(hash, (1::BIGINT << (id % 13)::INTEGER) - 1) AS hash FROM hashes)
-    SELECT a.klass, a.id AS first_id, b.id AS second_id, bit_count(xor(a.hash, b.hash))::INTEGER AS distance FROM hashes a JOIN flipped b ON a.klass = b.klass AND bit_count(xor(a.hash, b.hash)) <= {BANDED}""",
-)
-def near_dup_pairs_banded(spark: SparkSession, d: str) -> DataFrame:
-    """Items against copies of which 0 to 12 bits are flipped."""
+FLIPPED = f"""{HASHES.rstrip()}, flipped AS (SELECT id, klass, xor(hash, (1::BIGINT << (id % 13)::INTEGER) - 1) AS hash FROM hashes)
+    SELECT a.klass, a.id AS first_id, b.id AS second_id, bit_count(xor(a.hash, b.hash))::INTEGER AS distance FROM hashes a JOIN flipped b ON a.klass = b.klass AND bit_count(xor(a.hash, b.hash)) <= {BANDED}"""
+
+
+def flipped(spark: SparkSession, d: str) -> DataFrame:
+    """Items, and copies of which 0 to 12 bits are flipped as the second corpus."""
     first = s.hashes(spark, d).select("klass", F.lit(s.FIRST).alias("corpus"), "id", "hash", "fingerprint")
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("id") % 13).cast("int")) - 1
-    second = first.withColumn("corpus", F.lit(s.SECOND)).withColumn("hash", F.col("hash").bitwiseXOR(mask)).withColumn("fingerprint", F.concat("fingerprint", F.lit("*")))
-    return duplicates.near_pairs_banded(first.unionByName(second), s.FIRST, s.SECOND, BANDED)
+    return first.unionByName(first.withColumn("corpus", F.lit(s.SECOND)).withColumn("hash", F.col("hash").bitwiseXOR(mask)).withColumn("fingerprint", F.concat("fingerprint", F.lit("*"))))
+
+
+@register("near_dup_pairs_banded", FLIPPED)
+def near_dup_pairs_banded(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.near_pairs_banded(flipped(spark, d), s.FIRST, s.SECOND, BANDED)
+
+
+@register("near_dup_pairs_indexed", FLIPPED)
+def near_dup_pairs_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """The same by neighbours in four bands of 16 bits, which pays for classes of a million hashes."""
+    return duplicates.near_pairs_indexed(flipped(spark, d), s.FIRST, s.SECOND, BANDED, duplicates.bands_of(BANDED, 4))
 
 
 @register("near_dup_by_class", PAIRS + "SELECT klass, count(*) AS pairs, count(DISTINCT first_id) AS first_items, count(DISTINCT second_id) AS second_items FROM pairs GROUP BY 1")
@@ -537,3 +545,62 @@ def augment_seed_repeats(spark: SparkSession, d: str) -> DataFrame:
 @register("augment_combined", s.BASE_SQL.rstrip() + TRAIN_SQL + "SELECT klass, id::VARCHAR AS name, id AS source_id, NULL::BIGINT AS random_seed FROM train UNION ALL SELECT klass, generated_name, source_id, random_seed FROM plan")
 def augment_combined(spark: SparkSession, d: str) -> DataFrame:
     return augment.combined(s.train(spark, d), s.plan(spark, d))
+
+
+# --- positions without a single task --------------------------------------------------------------------------------
+
+
+@register("scan_positions", with_items("SELECT id, corpus, klass, row_number() OVER (ORDER BY corpus, klass, id) - 1 AS position, row_number() OVER (PARTITION BY klass ORDER BY n_chars DESC, id) - 1 AS position_in_class FROM items"))
+def scan_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Each item's position in the scan order of all, and by size in its class."""
+    rows = s.items(spark, d).select("id", "corpus", "klass", "n_chars")
+    placed = ordinals.within(ordinals.ordered(rows, *s.ORDER, name="position"), ["klass"], F.col("n_chars").desc(), "id", name="position_in_class")
+    return placed.select("id", "corpus", "klass", "position", "position_in_class")
+
+
+@register("size_ranks", with_items("SELECT id, n_chars, dense_rank() OVER (ORDER BY n_chars) - 1 AS size_rank FROM items"))
+def size_ranks(spark: SparkSession, d: str) -> DataFrame:
+    return ordinals.dense(s.items(spark, d).select("id", "n_chars"), "n_chars", name="size_rank")
+
+
+@register(
+    "positional_zip",
+    with_items("SELECT coalesce(a.position, b.position) AS position, a.id AS first_id, b.id AS second_id FROM (SELECT id, row_number() OVER (ORDER BY n_chars, id) - 1 AS position FROM items WHERE corpus = 'A') a\n    FULL JOIN (SELECT id, row_number() OVER (ORDER BY n_chars DESC, id) - 1 AS position FROM items WHERE corpus = 'B') b ON a.position = b.position"),
+)
+def positional_zip(spark: SparkSession, d: str) -> DataFrame:
+    """The items of one corpus, by size, beside those of the other from the largest on."""
+    rows = s.items(spark, d)
+    first, second = (rows.where(F.col("corpus") == c).select(F.col("id").alias(f"{n}_id"), F.col("n_chars").alias(f"{n}_chars")) for c, n in ((s.FIRST, "first"), (s.SECOND, "second")))
+    return ordinals.zipped(first, second, ["first_chars", "first_id"], [F.col("second_chars").desc(), "second_id"], name="position").select("position", "first_id", "second_id")
+
+
+@register("size_quantiles", with_items(" UNION ALL ".join(f"SELECT klass, {q}::DOUBLE AS quantile, round(quantile_cont(n_chars::DOUBLE, {q}), 6) AS value FROM items GROUP BY klass" for q in (0.0, 0.05, 0.5, 0.9, 1.0))))
+def size_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact quantiles of text sizes by class."""
+    found = evaluation.quantiles(s.items(spark, d).select("klass", F.col("n_chars").cast("double").alias("n_chars")), "n_chars", [0.0, 0.05, 0.5, 0.9, 1.0], "klass")
+    return found.withColumn("value", F.round("value", 6))
+
+
+@register("id_pages", with_items("SELECT klass, page, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids FROM (SELECT klass, id, (row_number() OVER (PARTITION BY klass ORDER BY id) - 1) // 10 AS page FROM items WHERE status = 'corrupt') GROUP BY 1, 2"))
+def id_pages(spark: SparkSession, d: str) -> DataFrame:
+    return inspection.id_pages(s.items(spark, d), "corrupt", 10)
+
+
+def permuted_sql() -> str:
+    """SQL of the keyed split: a recursive query takes each position through the network until it lies in its range."""
+    source = "(SELECT *, xx >> half AS high, xx & ((1 << half) - 1) AS low FROM (SELECT id, klass, n, half, key, x AS xx FROM walk WHERE NOT done))"
+    for i in range(1, split.ROUNDS + 1):
+        words = draws.words_sql(source, "key", "low", str(i))
+        source = f"(SELECT id, klass, n, half, key, low AS high, xor(high, a & ((1 << half) - 1)) AS low FROM ({words}))"
+    return f"""WITH RECURSIVE {s.ITEMS_SQL}, placed AS (SELECT id, klass, row_number() OVER (PARTITION BY klass ORDER BY id) - 1 AS x, count(*) OVER (PARTITION BY klass) AS n FROM items),
+    start AS (SELECT id, klass, n, greatest(1, ceil(log2(greatest(n, 2)::DOUBLE) / 2))::INTEGER AS half, xor({s.SEED}::BIGINT, ('0x' || substr(md5(klass), 25))::BIGINT & 2147483647) AS key, x FROM placed),
+    walk AS (SELECT id, klass, n, half, key, x, false AS done FROM start UNION ALL SELECT id, klass, n, half, key, y AS x, y < n AS done FROM (SELECT *, (high << half) | low AS y FROM {source})),
+    sized AS (SELECT id, klass, n, x + 1 AS place, greatest(1, round_even(n * 0.1::DOUBLE, 0))::BIGINT AS v FROM walk WHERE done),
+    cut AS (SELECT *, CASE WHEN n - 2 * v < 1 THEN 1 ELSE n - 2 * v END AS n_train, CASE WHEN n - 2 * v < 1 AND 2 * v > n - 1 THEN greatest(1, (n - 1) // 2) ELSE v END AS n_val FROM sized)
+    SELECT id, klass, CASE WHEN place <= n_train THEN 'train' WHEN place <= n_train + n_val THEN 'validation' ELSE 'test' END AS split FROM cut"""
+
+
+@register("split_permuted", permuted_sql())
+def split_permuted(spark: SparkSession, d: str) -> DataFrame:
+    """A split by a keyed permutation of each class."""
+    return split.assign_permuted(s.items(spark, d).select("id", "klass"), s.SEED, ["id"]).select("id", "klass", "split")

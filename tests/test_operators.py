@@ -145,6 +145,9 @@ def test_near_pairs_match_brute_force_with_and_without_bands(spark, most):
     }
     assert {tuple(r) for r in duplicates.near_pairs(df, "A", "B", most).collect()} == want
     assert {tuple(r) for r in duplicates.near_pairs_banded(df, "A", "B", most).collect()} == want
+    for bands in (None, *(duplicates.bands_of(most, n) for n in {1, 2, 3, most // 2 + 1} if most <= 3 or n > most // 4)):
+        got = [tuple(r) for r in duplicates.near_pairs_indexed(df, "A", "B", most, bands).collect()]
+        assert set(got) == want and len(got) == len(want)
 
 
 @pytest.mark.parametrize(("cross", "near", "want"), [(0, 0, "SAFE"), (1, 0, "CAUTION"), (1, 1, "WARNING"), (0, 1, "WARNING")])
