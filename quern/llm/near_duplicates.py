@@ -412,13 +412,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     def large(e: DataFrame) -> DataFrame:
         near = either(e)
-        least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return salted(near, least, "u", "v").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
+        least = near.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top")).where("top > u").select("u", F.least("u", "m").alias("m"))  # the tips of stars have none to hand on
+        return salted(near.where("v > u"), least, "u", "v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
     def small(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        other = salted(down, least, "u", "v").where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        least = down.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("top"))
+        other = salted(down, least.where("top <> m").select("u", "m"), "u", "v").where("v <> m").select(F.col("m").alias("a"), F.col("v").alias("b"))
         return other.unionAll(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
     def digest(e: DataFrame) -> tuple:
