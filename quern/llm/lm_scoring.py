@@ -122,7 +122,7 @@ class Block:
             self.levels.append(Level(_mixed(last.hashes[grams // len(hashes)], hashes[grams % len(hashes)]), everywhere, followed))
 
     def entries(self, bits: int) -> Iterator[tuple[int, list[bytes]]]:
-        """For each partition of the count table the entries of every level: hashes, counts, counts as context."""
+        """For each partition of the count table that has some the entries of every level: hashes, counts, counts as context."""
         cuts = []
         for level in self.levels:
             sorted_ = level.hashes[level.order]
@@ -132,7 +132,8 @@ class Block:
             for hashes, count, context, at in cuts:
                 part = hashes[at[i] : at[i + 1]]
                 out += [packed(np.diff(part, prepend=np.uint64(0))), packed(count[at[i] : at[i + 1]]), packed(context[at[i] : at[i + 1]])]
-            yield i, out
+            if any(at[i] < at[i + 1] for *_, at in cuts):  # most parts of a small block are empty
+                yield i, out
 
     def score(self, others: list[tuple[np.ndarray, np.ndarray]], params: Params) -> tuple[np.ndarray, np.ndarray]:
         """The number of words and the score of each text, by the counts of other blocks in the order of entries."""
@@ -188,9 +189,10 @@ def _own(doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
 class Rows:
     """Rows on their way: to a partition of the count table or back to a block; texts (part -1) or packed numbers."""
 
-    def __init__(self, kind_of_id):
+    def __init__(self, kind_of_id, to_blocks: bool = False):
         self.ddl = f"to long, block long, part int, packed array<binary>, ids array<{kind_of_id.simpleString()}>"
         self.id_type = to_arrow_type(kind_of_id)
+        self.to_blocks = to_blocks
         self.schema = pa.schema([("to", pa.int64()), ("block", pa.int64()), ("part", pa.int32()), ("packed", pa.list_(pa.binary())), ("ids", pa.list_(self.id_type))])
 
     def row(self, to: int, block: int, part: int, blobs: list[bytes], ids: pa.Array | None = None) -> pa.RecordBatch:
@@ -199,7 +201,9 @@ class Rows:
         return pa.RecordBatch.from_arrays([*values, ids], schema=self.schema)
 
     def sent(self, rows: DataFrame, n: int) -> DataFrame:
-        return rows.repartition(n, "to").sortWithinPartitions("to", "block", "part")
+        """Rows at the partition of their number: a count table's own, or one for each of a task's blocks in turn."""
+        place = F.pmod(F.shiftright("to", 32) + F.lit(61) * F.col("to").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(n)) if self.to_blocks else F.col("to")
+        return rows.repartitionById(n, place.cast("int")).sortWithinPartitions("to", "block", "part")
 
 
 def _exploded(docs: DataFrame, rows: Rows, bits: int, params: Params) -> DataFrame:
@@ -301,6 +305,6 @@ def score(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id", te
         return_memory()
 
     asked = rows.sent(_exploded(docs, rows, bits, params), 1 << bits)
-    answered = rows.sent(_joined(asked, rows), 1 << bits)
+    answered = Rows(docs.schema["doc_id"].dataType, to_blocks=True).sent(_joined(asked, rows), 1 << bits)
     found = answered.mapInArrow(run, f"doc_id {rows.ddl.rpartition('array<')[2][:-1]}, n_words long, log_score double")
     return found.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round(F.try_divide("log_score", "n_words"), 6).alias("mean_log_score"))
