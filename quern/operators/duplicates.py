@@ -127,8 +127,8 @@ BAND_SHIFT = 58
 def met(first: DataFrame, second: DataFrame, bands: list[Band]) -> DataFrame:
     """Pairs of distinct (klass, hash) that meet in a band: the second side is posted under each band's bits, the first under
     all its neighbours. The key is (class, band and bits), so a class with most of the items is spread by its hashes."""
-    if len(bands) > 1 and max(b.width for b in bands) > BAND_SHIFT or len(bands) >= 1 << (63 - BAND_SHIFT):
-        raise ValueError("too many bands, or too wide ones, for a key")
+    if len(bands) > 1 and max(b.width for b in bands) > BAND_SHIFT or len(bands) >= 1 << (63 - BAND_SHIFT) or sum(b.n_masks for b in bands) > MOST_PROBES:
+        raise ValueError("too many bands or neighbours, or too wide bands, for a key")
 
     def key(i: int, band: Band) -> Column:
         return band.of(F.col("hash")).bitwiseXOR(F.lit(i << BAND_SHIFT).cast("long"))

@@ -159,6 +159,51 @@ def leaked_rows(rows: DataFrame, held: DataFrame) -> DataFrame:
     return rows.join(held.select("fingerprint").distinct(), "fingerprint", "left_semi")
 
 
+#: Bits of a filter for each key, most bits (4 MB on the driver and in each executor), and how many of them a key sets.
+FILTER_BITS_EACH, FILTER_MOST_BITS, FILTER_HASHES = 12, 1 << 25, 5
+
+
+def filter_bits(n: int) -> int:
+    """A power of two with enough bits for n keys, as far as the bound goes."""
+    return min(FILTER_MOST_BITS, max(64, 1 << (FILTER_BITS_EACH * n - 1).bit_length() if n else 64))
+
+
+def _places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(FILTER_HASHES)]
+
+
+def key_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """One row: the words of a Bloom filter over a column, made by a partial aggregate; what is broadcast has the filter's size."""
+    marks = keys.where(F.col(key).isNotNull()).select(F.explode(F.array(*_places(F.col(key), bits))).alias("bit"))
+    words = marks.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS int)))").alias("word"))
+    every = keys.sparkSession.range(bits // 64).withColumnRenamed("id", "at").join(words, "at", "left").select("at", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("words"))  # bits / 64 numbers
+
+
+def may_hold(words: Column, key: Column, bits: int) -> Column:
+    """The key may be one of the filter's; false means that it is none, or null."""
+    hits = [F.call_function("shiftright", F.get(words, F.shiftright(p, 6).cast("int")), (p % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1 for p in _places(key, bits)]
+    found = hits[0]
+    for h in hits[1:]:
+        found = found & h
+    return key.isNotNull() & found
+
+
+def filtered_rows(rows: DataFrame, held: DataFrame, key: str = "fingerprint", bits: int | None = None) -> DataFrame:
+    """The rows whose key may lie in held-out data, told by a filter where they are scanned; nothing of rows is shuffled."""
+    keys = held.select(key).where(F.col(key).isNotNull()).distinct()
+    bits = bits or filter_bits(keys.count())
+    words = ordinals.free(rows, "filter_words")
+    one = F.broadcast(key_filter(keys, key, bits).withColumnRenamed("words", words))
+    return rows.join(one).where(may_hold(F.col(words), F.col(key), bits)).drop(words)
+
+
+def leaked_rows_filtered(rows: DataFrame, held: DataFrame, bits: int | None = None) -> DataFrame:
+    """leaked_rows() for training data far larger than held-out data: only what passes a filter is shuffled for the exact join."""
+    keys = held.select("fingerprint").distinct()
+    return filtered_rows(rows, held, bits=bits).join(keys.hint("merge"), "fingerprint", "left_semi")
+
+
 def require_no_leakage(split: DataFrame) -> DataFrame:
     """split itself; raises if a fingerprint lies in two splits."""
     if bad := leaked(split).limit(3).collect():

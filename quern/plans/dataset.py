@@ -329,6 +329,13 @@ def leakage_semi(spark: SparkSession, d: str) -> DataFrame:
     return split.leaked_rows(rows.where("split = 'train'"), rows.where("split <> 'train'")).select("id", "klass")
 
 
+@register("leakage_filtered", f"WITH {s.ITEMS_SQL}, {CARELESS_SQL} SELECT id, klass FROM careless WHERE split = 'train' AND fingerprint IN (SELECT fingerprint FROM careless WHERE split <> 'train')")
+def leakage_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """The same, with a filter over the held-out fingerprints before anything of the training side is shuffled."""
+    rows = careless(spark, d)
+    return split.leaked_rows_filtered(rows.where("split = 'train'"), rows.where("split <> 'train'")).select("id", "klass")
+
+
 @register(
     "split_families",
     f"""WITH {s.ITEMS_SQL}, heads AS (SELECT fingerprint, min(id) AS id, arg_min(klass, id) AS klass FROM items GROUP BY 1),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quern.functions import draws, images
 from quern.operators import augment
 from quern.plans.registry import register
-from quern.sources import files, sinks
+from quern.sources import files, listing, sinks
 from quern.sources.tables import table
 
 SIDE = 8
@@ -254,6 +254,21 @@ def files_labelled(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "klass", "class_index", whole.alias("pixels"), F.col("error").isNotNull().alias("failed"))
 
 
+ODD_SQL = f"""{NAMED_SQL}, odd AS (SELECT id, klass, CASE WHEN id % 7 = 0 THEN '_' WHEN id % 5 = 0 THEN '.' ELSE '' END || file_name AS file_name, id % 13 = 0 AS is_empty FROM named)"""
+
+
+@register("files_listed", f"WITH {GREY_SQL}, {ODD_SQL} SELECT klass AS folder, file_name, lower(right(file_name, 4)) AS extension, is_empty FROM odd")
+def files_listed(spark: SparkSession, d: str) -> DataFrame:
+    """Every regular file below a root, whose names begin with underscores and dots too, and some of which are empty."""
+    root = sinks.scratch(spark, "listed")
+    prefix = F.when(F.col("id") % 7 == 0, "_").when(F.col("id") % 5 == 0, ".").otherwise("")
+    odd = as_files(greys(spark, d)).withColumns({"file_name": F.concat(prefix, "file_name"), "content": F.when(F.col("id") % 13 == 0, F.lit(b"")).otherwise(F.col("content"))})
+    status = sinks.write_files(odd, root, ["klass"], "file_name").where("status <> 'written'")
+    if bad := status.limit(3).collect():
+        raise OSError(f"files were not written below {root}: {bad}")
+    return listing.listed(spark, root).select("folder", "file_name", "extension", (F.col("size") == 0).alias("is_empty"))
+
+
 TARGET = 70
 
 

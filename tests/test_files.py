@@ -286,3 +286,32 @@ def test_formats_that_the_image_source_decodes(spark, tmp_path):
     pixels = {r.path.rsplit("/", 1)[1]: r.pixels for r in files.labelled_images(files.decoded(spark, str(tmp_path), "A"), 4).collect()}
     assert pixels["x.bmp"] == pixels["x.png"] == [float(np.float32(v / 255)) for v in images.resized(image, 4, 4).ravel()]
     assert pixels["bad.jpg"] is None and len(pixels["x.jpg"]) == 48
+
+
+def test_every_regular_file_is_listed(spark, tmp_path):
+    from quern.sources import listing
+
+    for name, size in {"top.txt": 3, "a/x.png": 5, "a/empty": 0, "a/.hidden": 2, "a/_under.txt": 4, "_b/y": 1, ".c/z": 1, "a/deep/er/w +%é.gif": 6}.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"x" * size)
+    (tmp_path / "nothing here").mkdir()
+    for parts in (1, 2, 64):
+        rows = {r.path[len(str(tmp_path)) + 1 :]: (r.folder, r.file_name, r.extension, r["size"]) for r in listing.listed(spark, str(tmp_path), parts).collect()}
+        assert rows == {
+            "top.txt": (None, "top.txt", ".txt", 3),
+            "a/x.png": ("a", "x.png", ".png", 5),
+            "a/empty": ("a", "empty", "", 0),
+            "a/.hidden": ("a", ".hidden", "", 2),
+            "a/_under.txt": ("a", "_under.txt", ".txt", 4),
+            "_b/y": ("_b", "y", "", 1),
+            ".c/z": (".c", "z", "", 1),
+            "a/deep/er/w +%é.gif": ("er", "w +%é.gif", ".gif", 6),
+        }
+    found = listing.listed(spark, f"file://{tmp_path}")
+    (tmp_path / "a/x.png").unlink()
+    read = {r.file_name: r for r in listing.with_content(spark.createDataFrame([(f"file://{tmp_path}/a/x.png", "x.png"), (f"file://{tmp_path}/a/empty", "empty"), (f"file://{tmp_path}/a/_under.txt", "_under.txt")], "path string, file_name string"), f"file://{tmp_path}").collect()}
+    assert read["empty"].content == b"" and bytes(read["_under.txt"].content) == b"xxxx" and read["x.png"].content is None and read["x.png"].error
+    assert found.count() == 7
+    (tmp_path / "lone").mkdir()
+    assert listing.listed(spark, str(tmp_path / "lone")).collect() == []

@@ -145,9 +145,28 @@ def test_near_pairs_match_brute_force_with_and_without_bands(spark, most):
     }
     assert {tuple(r) for r in duplicates.near_pairs(df, "A", "B", most).collect()} == want
     assert {tuple(r) for r in duplicates.near_pairs_banded(df, "A", "B", most).collect()} == want
-    for bands in (None, *(duplicates.bands_of(most, n) for n in {1, 2, 3, most // 2 + 1} if most <= 3 or n > most // 4)):
+    for bands in (None, *(duplicates.bands_of(most, n) for n in {0: (1, 2), 3: (2, 3, 4), 10: (3, 6, 11)}[most])):
         got = [tuple(r) for r in duplicates.near_pairs_indexed(df, "A", "B", most, bands).collect()]
         assert set(got) == want and len(got) == len(want)
+    with pytest.raises(ValueError, match="bands"):
+        duplicates.near_pairs_indexed(df, "A", "B", 3, duplicates.bands_of(3, 1))
+
+
+def test_bands_are_chosen_by_the_size_of_a_class():
+    assert duplicates.chosen_bands(10, 1000) == []
+    bands = duplicates.chosen_bands(10, 5e6)
+    assert sum(b.width for b in duplicates.bands_of(10, 4)) == 64 and sum(b.n_masks for b in bands) <= duplicates.MOST_PROBES
+    assert CANDIDATES > sum(b.n_masks / 2.0**b.width for b in bands)
+
+
+#: A multi-index for large classes compares fewer than so many of all pairs of unrelated hashes.
+CANDIDATES = 0.01
+
+
+def test_candidates_of_a_class_with_most_items(spark):
+    hashes = spark.range(3000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("klass"), F.xxhash64("id").alias("hash"))
+    n = duplicates.met(hashes, hashes, duplicates.bands_of(10, 4)).count()
+    assert n < 0.01 * (2700**2 + 300**2) + 4 * 3000
 
 
 @pytest.mark.parametrize(("cross", "near", "want"), [(0, 0, "SAFE"), (1, 0, "CAUTION"), (1, 1, "WARNING"), (0, 1, "WARNING")])
@@ -256,3 +275,20 @@ def test_entries_survive_a_missing_dependency():
     code = "import sys; sys.modules['quern.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op1') for n in e.queries()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, check=True).stdout.split()
     assert int(out[0]) > 70 and out[1] == "False"
+
+
+@pytest.mark.parametrize("bits", [None, 64, 1 << 16])
+def test_filtered_leakage_equals_the_join(spark, bits):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 50 == 0, None).otherwise(F.concat(F.lit("f"), (F.col("id") * 7 % 15_000).cast("string"))).alias("fingerprint"))
+    held = spark.range(300).select(F.when(F.col("id") > 0, F.concat(F.lit("f"), (F.col("id") * 97).cast("string"))).alias("fingerprint"))
+    want = sorted(r.id for r in split.leaked_rows(rows, held).collect())
+    assert want and sorted(r.id for r in split.leaked_rows_filtered(rows, held, bits).collect()) == want
+    passed = split.filtered_rows(rows, held, bits=bits).count()
+    if bits is None:
+        assert passed - len(want) < 0.02 * 20_000  # rows that the filter lets pass by mistake
+    assert split.leaked_rows_filtered(rows, held.limit(0), bits).count() == 0
+    assert split.leaked_rows_filtered(rows.limit(0), held, bits).count() == 0
+
+
+def test_filters_are_bounded():
+    assert split.filter_bits(0) == 64 and split.filter_bits(10) == 128 and split.filter_bits(10**12) == split.FILTER_MOST_BITS
