@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import draws, scalars
-from quern.operators import augment, checks, duplicates, evaluation, inspection, master, ordinals, split
+from quern.operators import augment, checks, duplicates, evaluation, inspection, master, ordinals, split, upkeep
 from quern.plans import surrogates as s
 from quern.plans.registry import register
+from quern.sources import sinks
 from quern.sources.tables import table
 
 HASHES, PAIRS = f"WITH {s.HASHES_SQL}\n", f"WITH {s.HASHES_SQL}, {s.PAIRS_SQL}\n"
@@ -238,6 +239,17 @@ def master_manifest(spark: SparkSession, d: str) -> DataFrame:
     return s.entries(spark, d)
 
 
+@register("manifest_incremental", with_items("SELECT * FROM entries"))
+def manifest_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest after three deltas; the second brings in copies, some of them first in order, that the third removes."""
+    root, rows = sinks.scratch(spark, "manifest"), s.items(spark, d)
+    copies = rows.where("id % 10 = 0").withColumn("id", -F.col("id") - 1)
+    upkeep.update(root, rows.where("id % 3 = 0"), s.ORDER)
+    upkeep.update(root, rows.where("id % 3 = 1").unionByName(copies), s.ORDER)
+    upkeep.update(root, rows.where("id % 3 = 2"), s.ORDER, copies.select("id"))
+    return upkeep.current(spark, root)
+
+
 @register("canonical_map", with_items("SELECT id, canonical_id FROM entries WHERE is_duplicate"))
 def canonical_map(spark: SparkSession, d: str) -> DataFrame:
     return s.entries(spark, d).where("is_duplicate").select("id", "canonical_id")
