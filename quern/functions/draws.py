@@ -116,13 +116,16 @@ def noisy(values: Column, sigma: float, seed: Column | int, stream: Column | int
 # --- the same in numpy ----------------------------------------------------------------------------------------------
 
 
-def word_arrays(seed: int, counters: np.ndarray, stream: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Both words of each counter."""
-    mask = np.uint64(WORD)
-    first, second = np.uint64(seed & WORD), np.uint64((seed >> 32) & WORD)
+def word_arrays(seed: int | np.ndarray, counters: np.ndarray, stream: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Both words of each counter, of one seed or of one for each counter."""
+    mask, half = np.uint64(WORD), np.uint64(32)
+    if isinstance(seed, int):
+        seed = np.uint64(seed & (1 << 64) - 1)
+    seed = seed.astype(np.uint64)
+    first, second = seed & mask, seed >> half
     keys = (first, second, first ^ second ^ np.uint64(PARITY))
     a = ((np.asarray(counters).astype(np.uint64) & mask) + first) & mask
-    b = np.full(a.shape, ((stream & WORD) + int(second)) & WORD, np.uint64)
+    b = np.broadcast_to((np.uint64(stream & WORD) + second) & mask, a.shape)
     for i in range(ROUNDS):
         turn = ROTATIONS[i % len(ROTATIONS)]
         a = (a + b) & mask

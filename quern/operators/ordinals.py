@@ -12,11 +12,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quern.sources.shared import stored
 
 #: Spark numbers the rows of a part in the low bits of monotonically_increasing_id.
 PART_BITS = 33
+#: Rows of a table of parts and keys up to which it is sent to every task.
+FEW_KEYS = 10_000
 
 
 def free(df: DataFrame, name: str) -> str:
@@ -27,27 +30,32 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
-def ordered(df: DataFrame, *order: str | Column, name: str = "ordinal") -> DataFrame:
-    """df, stored in order, with its position from 0 as a long."""
+def _numbered(df: DataFrame, keys: list[str], *order: str | Column, name: str) -> tuple[DataFrame, DataFrame, str, int]:
+    """df, stored in the order of keys and order, with positions and the number of the part; each part's keys with their first position and number of rows there; that number's column; and how many keys parts have, all told."""
     scan, part = free(df, "scan_place"), free(df, "part_place")
-    keys = [F.col(f"`{c}`").asc_nulls_first() if isinstance(c, str) else c for c in order]
-    dealt = df.withColumn(scan, F.monotonically_increasing_id()).repartitionByRange(*keys, F.col(scan)).sortWithinPartitions(*keys, F.col(scan))
+    by = [F.col(f"`{c}`").asc_nulls_first() if isinstance(c, str) else c for c in (*keys, *order)]
+    dealt = df.withColumn(scan, F.monotonically_increasing_id()).repartitionByRange(*by, F.col(scan)).sortWithinPartitions(*by, F.col(scan))
     placed = stored(dealt.withColumn(part, F.monotonically_increasing_id()).drop(scan), "ordered")
-    number = F.shiftright(F.col(part), PART_BITS)
-    counts = placed.groupBy(number.alias("number")).agg(F.count("*").alias("n")).orderBy("number").collect()  # a row a part
+    number, local = F.shiftright(F.col(part), PART_BITS), F.col(part).bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    number_, before_, first, count = (free(df, c) for c in ("number", "before", "first_place", "key_rows"))
+    tops = placed.groupBy(number.alias(number_), *(F.col(f"`{k}`") for k in keys)).agg(F.min(local).alias(first), F.count("*").alias(count))
+    counts = tops.groupBy(F.col(number_).alias("number")).agg(F.sum(count).alias("n"), F.count("*").alias("keys")).orderBy("number").collect()  # a row a part
     before, starts = 0, []
     for r in counts:
         starts.append((r["number"], before))
         before += r["n"]
-    number_, before_ = free(df, "number"), free(df, "before")
     offsets = df.sparkSession.createDataFrame(starts, f"`{number_}` long, `{before_}` long")
-    local = F.col(part).bitwiseAND(F.lit((1 << PART_BITS) - 1))
-    return (
-        placed.withColumn(number_, number)
-        .join(F.broadcast(offsets), number_)  # as many rows as there were parts
-        .withColumn(name, F.col(before_) + local)
-        .drop(part, number_, before_)
-    )
+
+    def moved(rows: DataFrame, to: str, at: Column) -> DataFrame:
+        return rows.join(F.broadcast(offsets), number_).withColumn(to, F.col(before_) + at).drop(before_)  # as many rows as there were parts
+
+    return moved(placed.withColumn(number_, number), name, local).drop(part), moved(tops, first, F.col(first)), number_, sum(r["keys"] for r in counts)
+
+
+def ordered(df: DataFrame, *order: str | Column, name: str = "ordinal") -> DataFrame:
+    """df, stored in order, with its position from 0 as a long."""
+    placed, _, number, _ = _numbered(df, [], *order, name=name)
+    return placed.drop(number)
 
 
 def same(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Column:
@@ -55,19 +63,25 @@ def same(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> Column:
     return reduce(Column.__and__, (left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in keys.items()))
 
 
-def within(df: DataFrame, keys: list[str], *order: str | Column, name: str = "ordinal") -> DataFrame:
-    """df with the position from 0 in the order of the rows that share its keys.
+def within(df: DataFrame, keys: list[str], *order: str | Column, name: str = "ordinal", size: str | None = None) -> DataFrame:
+    """df with the position from 0 in the order of the rows that share its keys, and their number if a column is named for it.
 
     The rows of a key follow each other in the order of keys and order, so a position is the distance to the key's first.
+    That is looked up by part and key, so the rows of one key never meet in one task: where they were stored as long as
+    parts have few keys, else by a join in which a key is dealt by its parts.
     """
-    placed = ordered(df, *keys, *order, name=name)
     if not keys:
-        return placed
-    names = [free(df, f"key_{i}") for i in range(len(keys))]
-    first = free(df, "first_place")
-    firsts = placed.groupBy(*(F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True))).agg(F.min(name).alias(first))
-    joined = placed.join(firsts, same(placed, firsts, dict(zip(keys, names, strict=True))))
-    return joined.withColumn(name, F.col(name) - F.col(first)).drop(first, *names)
+        placed = ordered(df, *order, name=name)
+        return placed if size is None else placed.join(F.broadcast(placed.agg(F.count("*").alias(size))))
+    placed, tops, number, n = _numbered(df, keys, *order, name=name)
+    names = {k: free(df, f"key_{i}") for i, k in enumerate(keys)}
+    number_, first, count = free(placed, "part_number"), free(df, "first_place"), free(df, "key_rows")
+    tops = tops.select(F.col(number).alias(number_), *(F.col(f"`{k}`").alias(x) for k, x in names.items()), first, count)
+    of_key = Window.partitionBy(*names.values())  # a row for each part that has the key
+    known = tops.withColumns({first: F.min(first).over(of_key), count: F.sum(count).over(of_key)})
+    joined = placed.join(F.broadcast(known) if n <= FEW_KEYS else known, (placed[number] == known[number_]) & same(placed, known, names))
+    joined = joined.withColumn(name, F.col(name) - F.col(first)).drop(number, number_, first, *names.values())
+    return joined.withColumnRenamed(count, size) if size else joined.drop(count)
 
 
 def dense(df: DataFrame, *keys: str, name: str = "dense_rank") -> DataFrame:

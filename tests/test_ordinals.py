@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quern.functions import draws
 from quern.operators import evaluation, inspection, ordinals, split
 
 
@@ -93,3 +95,43 @@ def test_permuted_split_has_the_sizes_of_the_others(spark):
     count = lambda df: sorted(map(tuple, df.groupBy("klass", "split").count().collect()), key=str)
     assert count(first) == count(again) == count(split.assign(items, 42))
     assert {r.id: r.split for r in first.collect()} == {r.id: r.split for r in split.assign_permuted(items.repartition(7), 42, ["id"]).collect()} != {r.id: r.split for r in again.collect()}
+
+
+@pytest.mark.parametrize("few", [0, ordinals.FEW_KEYS])
+def test_rows_of_a_hot_key_stay_dealt(spark, monkeypatch, few):
+    """The look-up of a key's first row and the permutation do not bring the key's rows into one task."""
+    monkeypatch.setattr(ordinals, "FEW_KEYS", few)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.openCostInBytes": "128m"}
+    before = {k: spark.conf.get(k) for k in settings}
+    items = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, F.col("id").cast("string")).otherwise("hot").alias("klass")).repartition(8)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        placed = ordinals.within(items, ["klass"], "id", size="n").withColumn("task", F.spark_partition_id()).collect()
+        cut = split.assign_permuted(items, 42, ["id"]).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [(r.id, r.ordinal, r.n) for r in sorted(placed, key=lambda r: r.id) if r.klass == "hot"] == [(i, i - i // 100 - 1, 3960) for i in range(4000) if i % 100]
+    assert all((r.ordinal, r.n) == (0, 1) for r in placed if r.klass != "hot")
+    for rows_ in (placed, cut):
+        tasks = [r.task for r in rows_]
+        assert len(tasks) == 4000 and max(map(tasks.count, set(tasks))) < 2000
+
+
+def test_permutation_equals_its_network_and_is_null_outside_of_its_range(spark):
+    def plain(x, n, seed):
+        half = next(h for h in range(1, 40) if 4**h >= n)
+        while True:
+            high, low = x >> half, x & ((1 << half) - 1)
+            for i in range(1, split.ROUNDS + 1):
+                high, low = low, high ^ (int(draws.word_arrays(seed, np.array([low]), i)[0][0]) & ((1 << half) - 1))
+            x = high << half | low
+            if x < n:
+                return x
+
+    made = [(x, n, s) for n in (1, 2, 4, 5, 17, 4**20, 4**20 + 1, 3 * 10**12) for s in (0, 42, -9, (1 << 62) + 3) for x in {0, n // 3, n - 1}]
+    odd = [(None, 5, 1), (1, None, 1), (1, 5, None), (5, 5, 1), (-1, 5, 1), (0, 0, 1)]
+    df = spark.createDataFrame(made + odd, "x long, n long, s long").coalesce(1)
+    for r in df.withColumn("y", split.permuted(F.col("x"), F.col("n"), F.col("s"))).collect():
+        assert r.y == (None if (r.x, r.n, r.s) in odd else plain(r.x, r.n, r.s)), r
