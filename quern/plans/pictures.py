@@ -41,7 +41,7 @@ def through(rows: DataFrame, made: Callable[[np.ndarray], dict[str, np.ndarray]]
     """A row for each image that is made of each grey image: id, its name, height, width and values row by row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in images.few(batches):
             out = [(i, name, *image.shape[:2], shown(image)) for i, p in zip(batch["id"], batch["p"], strict=True) for name, image in made(grey(p)).items()]
             yield pd.DataFrame(out, columns=["id", "kind", "height", "width", "pixels"])
 
@@ -177,7 +177,7 @@ def as_files(rows: DataFrame) -> DataFrame:
     """The images as files: class, file name and content; one in 17 is damaged, one in 11 is no image by its name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in images.few(batches):
             content = [b"damaged" if i % 17 == 0 else images.encode_png(grey(p)) for i, p in zip(batch["id"], batch["p"], strict=True)]
             yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "content": content})
 

@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,3 +316,24 @@ def test_every_regular_file_is_listed(spark, tmp_path):
     assert found.count() == 7
     (tmp_path / "lone").mkdir()
     assert listing.listed(spark, str(tmp_path / "lone")).collect() == []
+
+
+@pytest.fixture
+def steps(spark, monkeypatch):
+    """The functions given to mapInPandas, in order."""
+    kind, given = type(spark.range(1)), []
+    real = kind.mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, run, *more, **named: given.append(run) or real(self, run, *more, **named))
+    return given
+
+
+def test_image_rows_are_made_by_a_few_at_a_time(spark, steps):
+    """What a task holds of made images does not grow with its batches, and no image is left out."""
+    rows = spark.createDataFrame([(1, 1, [0] * 64)], "id long, label int, p array<int>")
+    batch = pd.DataFrame({"id": range(1000), "label": 1, "p": [[i % 256] * 64 for i in range(1000)]})
+    for make, each in ((lambda: pictures.through(rows, images.demonstrated), 12), (lambda: pictures.as_files(rows), 1)):
+        steps.clear()
+        make()
+        made = list(steps[0](iter([batch, batch.iloc[:0], batch.iloc[:5]])))
+        assert max(map(len, made)) <= images.FEW * each and sum(map(len, made)) == 1005 * each
+        assert list(pd.concat(made)["id"].drop_duplicates()) == list(range(1000))
