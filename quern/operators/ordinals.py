@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,11 +41,13 @@ def _numbered(df: DataFrame, keys: list[str], *order: str | Column, name: str) -
     number_, before_, first, count = (free(df, c) for c in ("number", "before", "first_place", "key_rows"))
     tops = placed.groupBy(number.alias(number_), *(F.col(f"`{k}`") for k in keys)).agg(F.min(local).alias(first), F.count("*").alias(count))
     counts = tops.groupBy(F.col(number_).alias("number")).agg(F.sum(count).alias("n"), F.count("*").alias("keys")).orderBy("number").collect()  # a row a part
-    before, starts = 0, []
+    numbers, befores, before = [], [], 0
     for r in counts:
-        starts.append((r["number"], before))
+        numbers.append(r["number"])
+        befores.append(before)
         before += r["n"]
-    offsets = df.sparkSession.createDataFrame(starts, f"`{number_}` long, `{before_}` long")
+    # From Arrow, as rows of Python would be sent through a Python worker of every core.
+    offsets = df.sparkSession.createDataFrame(pa.table({number_: pa.array(numbers, pa.int64()), before_: pa.array(befores, pa.int64())}))
 
     def moved(rows: DataFrame, to: str, at: Column) -> DataFrame:
         return rows.join(F.broadcast(offsets), number_).withColumn(to, F.col(before_) + at).drop(before_)  # as many rows as there were parts

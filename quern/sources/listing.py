@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quern.functions import scalars
+from quern.functions.images import few
 
 COLUMNS = "relative string, size long"
 READ = "content binary, error string"
@@ -95,7 +96,7 @@ def with_content(files: DataFrame, root: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = opened(root)
-        for batch in batches:
+        for batch in few(batches):
             made = []
             for path in batch["path"]:
                 try:

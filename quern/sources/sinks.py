@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.images import few
 from quern.sources.shared import scratch  # noqa: F401  callers take it from here
 from quern.sources.tables import SourceNotFound, exists
 
@@ -49,7 +50,7 @@ def write_files(df: DataFrame, root: str, folders: list[str], name: str, content
 
         # Hadoop also writes file:/a for file:///a, which Arrow does not open.
         store, base = fs.FileSystem.from_uri("file:///" + root[5:].lstrip("/") if root.startswith("file:") else root)
-        for batch in batches:
+        for batch in few(batches):
             out = []
             for place, label, body in zip(batch[folders].astype(str).values.tolist(), batch[name].astype(str), batch[content], strict=True):
                 folder = "/".join([base.rstrip("/"), *place])

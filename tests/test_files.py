@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import draws, images
-from quern.operators import augment
+from quern.operators import augment, ordinals
 from quern.plans import pictures, registry
-from quern.sources import files, sinks, tables
+from quern.sources import files, listing, sinks, tables
 from quern.streaming import incremental
 
 
@@ -337,3 +337,33 @@ def test_image_rows_are_made_by_a_few_at_a_time(spark, steps):
         made = list(steps[0](iter([batch, batch.iloc[:0], batch.iloc[:5]])))
         assert max(map(len, made)) <= images.FEW * each and sum(map(len, made)) == 1005 * each
         assert list(pd.concat(made)["id"].drop_duplicates()) == list(range(1000))
+
+
+def test_file_rows_are_made_by_a_few_at_a_time(spark, tmp_path, steps):
+    """Files are written, read, decoded and made by a few at a time, whatever the size of a batch."""
+    content = images.encode_png(picture(3, 5, 5, 3))
+    batch = pd.DataFrame({"path": [f"k/{i}.png" for i in range(300)], "klass": "k", "content": [b"" if i % 50 == 7 else content for i in range(300)], "random_seed": range(300), "source_id": range(300)})
+    some = spark.createDataFrame([("k/0.png", "k", ".png", content)], "path string, klass string, extension string, content binary")
+    planned = spark.createDataFrame([(1, 1, "k")], "source_id long, random_seed long, klass string")
+    sources = spark.createDataFrame([(1, content)], "id long, content binary")
+    batch["name"], batch["extension"] = batch["path"].str[2:], ".png"
+    for make in (
+        lambda: files.labelled_images(some, 4),
+        lambda: files.inspected(some),
+        lambda: files.generated(planned, sources, augment.ROTATION, augment.SCALING, augment.NOISE_SIGMA),
+        lambda: sinks.write_files(some, f"file://{tmp_path}/out", ["klass"], "path"),
+        lambda: listing.with_content(some.select("path"), f"file://{tmp_path}"),
+    ):
+        steps.clear()
+        make()
+        given = batch.assign(path=[f"file://{tmp_path}/none/{n}" for n in batch["name"]]) if make.__code__.co_names[0] == "listing" else batch
+        given = given.assign(path=given["name"]) if "write_files" in make.__code__.co_names else given
+        made = list(steps[0](iter([given])))
+        assert max(map(len, made)) <= images.FEW and sum(map(len, made)) == 300, make.__code__.co_names
+    assert sorted(p.name for p in (tmp_path / "out" / "k").iterdir()) == sorted(batch["name"])
+
+
+def test_positions_start_no_python_worker(spark, sf_dir):
+    placed = ordinals.ordered(spark.range(100).repartition(5), "id")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and sorted(map(tuple, placed.collect())) == [(i, i) for i in range(100)]
